@@ -24,6 +24,10 @@ from segmentry.operators.search import in_blocks
 from segmentry.operators.vectors import l2_normalize
 
 
+# Stop rule of the K-Means starts, relative to the spread of the data.
+RELATIVE_TOLERANCE = 1e-4
+
+
 def _features(df: DataFrame, vector: str) -> DataFrame:
     return df.withColumn("_f", array_to_vector(F.col(vector).cast("array<double>")))
 
@@ -94,12 +98,28 @@ def silhouette(labelled: DataFrame, label: str = "segment_id", vector: str = "em
     return float(evaluator.evaluate(ready))
 
 
-def _worst_ratio(own: np.ndarray, spread: np.ndarray, others: np.ndarray, other_spread: np.ndarray, same: np.ndarray) -> np.ndarray:
-    distance = np.sqrt(np.maximum(((own[:, None, :] - others[None, :, :]) ** 2).sum(axis=2), 0.0))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        ratio = (spread[:, None] + other_spread[None, :]) / distance
-    # Two segments on one spot count as 0, like a segment against itself.
-    return np.where(same | ~np.isfinite(ratio), 0.0, ratio).max(axis=1, initial=0.0)
+def _worst_ratios(
+    ids: np.ndarray,
+    places: np.ndarray,
+    spread: np.ndarray,
+    other_ids: np.ndarray | None = None,
+    others: np.ndarray | None = None,
+    other_spread: np.ndarray | None = None,
+) -> np.ndarray:
+    """Per segment the largest (s_i + s_j) / d_ij over the other segments; two on one spot count as 0."""
+    if others is None:
+        other_ids, others, other_spread = ids, places, spread
+    worst = np.zeros(len(ids))
+    if len(ids) == 0 or len(other_ids) == 0:
+        return worst
+    step = max(1, 4_000_000 // others.size)
+    for start in range(0, len(ids), step):
+        part = slice(start, start + step)
+        distance = np.sqrt(((places[part][:, None, :] - others[None, :, :]) ** 2).sum(axis=2))
+        apart = (ids[part][:, None] != other_ids[None, :]) & (distance > 0)
+        ratio = (spread[part][:, None] + other_spread[None, :]) / np.where(apart, distance, 1.0)
+        worst[part] = np.where(apart, ratio, 0.0).max(axis=1)
+    return worst
 
 
 def davies_bouldin(
@@ -117,29 +137,36 @@ def davies_bouldin(
     known = bounded_rows(means, rows)
     if known is not None:
         # Measured small: as a local table its size is known to the planner, which then broadcasts it.
-        means = spark.createDataFrame(known, means.schema) if known else means
+        means = spark.createDataFrame(known, means.schema)
     spread = (
         kept.join(means, label)
         .groupBy(label)
         .agg(F.avg(euclidean(F.col(vector).cast("array<double>"), F.col("centroid"))).alias("spread"))
     )
+    if known is not None:
+        # One row per segment, no more than were counted above.
+        by_label = {r[label]: r["spread"] for r in spread.collect()}
+        order = [r[label] for r in known]
+        places = np.array([r["centroid"] for r in known], dtype=np.float64)
+        found = _worst_ratios(np.array(order), places, np.array([by_label[i] for i in order]))
+        value = float(found.mean()) if len(found) else 0.0
+        return spark.createDataFrame([(value,)], "davies_bouldin double")
     described = means.join(spread, label).select(F.col(label).cast("string").alias("segment"), "centroid", "spread")
     per_block = min(rows, 2048)
-    blocks = 1 if known is not None and len(known) <= per_block else max(1, -(-means.count() // per_block))
+    blocks = max(1, -(-means.count() // per_block))
     left = in_blocks(described, "segment", blocks, "_a", "_b", blocks).groupBy("_a", "_b")
     right = in_blocks(described, "segment", blocks, "_b", "_a", blocks).groupBy("_a", "_b")
 
     def worst(a: pa.Table, b: pa.Table) -> pa.Table:
         ids, other_ids = (np.array(t.column("segment").to_pylist(), dtype=object) for t in (a, b))
-        found = np.zeros(len(ids))
-        if len(ids) and len(other_ids):
-            others, other_spread = to_matrix(b.column("centroid")), np.asarray(b.column("spread"))
-            own, own_spread = to_matrix(a.column("centroid")), np.asarray(a.column("spread"))
-            step = max(1, 4_000_000 // others.size)
-            for start in range(0, len(ids), step):
-                part = slice(start, start + step)
-                same = ids[part, None] == other_ids[None, :]
-                found[part] = _worst_ratio(own[part], own_spread[part], others, other_spread, same)
+        found = _worst_ratios(
+            ids,
+            to_matrix(a.column("centroid")),
+            np.asarray(a.column("spread")),
+            other_ids,
+            to_matrix(b.column("centroid")),
+            np.asarray(b.column("spread")),
+        )
         return pa.table({"segment": pa.array(ids, pa.string()), "worst": pa.array(found)})
 
     ratios = left.cogroup(right).applyInArrow(worst, "segment string, worst double")
@@ -167,12 +194,13 @@ def kmeans_labels(
     seed: int = fv.SEED,
     starts: int = fv.KMEANS_STARTS,
     max_iter: int = fv.KMEANS_MAX_ITER,
-    parallel: int = 4,
+    parallel: int = 10,
 ) -> DataFrame:
     """Adds ``segment_id`` of the cheapest of several K-Means starts.
 
-    The input is read once and kept; a few starts run side by side, so that one start's last tasks do
-    not leave the cluster idle.
+    The input is read once and kept; the starts run side by side, so that one start's last tasks do
+    not leave the cluster idle. A start ends when its centres together move by no more than a
+    ten-thousandth of the mean variance of the features (squared).
     """
     ready = _features(vectors, vector).persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -181,13 +209,15 @@ def kmeans_labels(
             k=k,
             seed=seed + start,
             maxIter=max_iter,
+            tol=tolerance,
             initMode="k-means||",
             featuresCol="_f",
             predictionCol="segment_id",
         ).fit(ready)
 
     try:
-        ready.count()
+        variance = ready.select(Summarizer.variance(F.col("_f")).alias("v")).first()["v"]
+        tolerance = float(np.sqrt(RELATIVE_TOLERANCE * np.mean(variance.toArray()) / k))
         with ThreadPoolExecutor(parallel) as pool:
             models = list(pool.map(fit, range(starts)))
         best = min(models, key=lambda m: m.summary.trainingCost)

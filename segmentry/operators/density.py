@@ -110,23 +110,24 @@ def _per_block_pair(placed: DataFrame, work: Callable, schema: str, block_rows:
         "cell int, o int, m int",
     )
     sized = members.join(F.broadcast(blocks), "cell")  # at most MAX_PIVOTS rows
-    code = F.xxhash64("id")
-    last = F.lit(1)
-    owners = sized.where("cell = own").select(
-        "id", "v", "weight", "cell", F.pmod(code, "o").cast("int").alias("a"),
-        F.explode(F.sequence(F.lit(0), F.col("m") - last)).alias("b"),
-    )
-    guests = sized.select(
-        "id", "v", "weight", "cell", F.pmod(code, "m").cast("int").alias("b"),
-        F.explode(F.sequence(F.lit(0), F.col("o") - last)).alias("a"),
-    )
+
+    def side(rows: DataFrame, mine: str, blocks_of: str, other: str, other_blocks: str) -> DataFrame:
+        # Fresh column identities, as both sides of the cogroup come from one table.
+        return rows.select(
+            *[F.col(c).alias(c) for c in ("id", "v", "weight", "cell")],
+            F.pmod(F.xxhash64("id"), F.col(blocks_of)).cast("int").alias(mine),
+            F.explode(F.sequence(F.lit(0), F.col(other_blocks) - F.lit(1))).alias(other),
+        )
+
+    owners = side(sized.where("cell = own"), "a", "o", "b", "m")
+    guests = side(sized, "b", "m", "a", "o")
     keys = ["cell", "a", "b"]
     return owners.groupBy(*keys).cogroup(guests.groupBy(*keys)).applyInArrow(work, schema)
 
 
 def _chunks(n: int, other: int) -> list[slice]:
     step = max(1, 4_000_000 // max(other, 1))
-    return [slice(s, s + step) for s in range(0, n, step)]
+    return [slice(s, min(s + step, n)) for s in range(0, n, step)]
 
 
 def _count_neighbours(eps: float) -> Callable:

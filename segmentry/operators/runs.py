@@ -25,7 +25,12 @@ def log_run(
     """Writes one run; a repeated run_id replaces its earlier row."""
     done = completed_at or dt.datetime.now(dt.timezone.utc)
     row = spark.createDataFrame([(dag_id, run_id, target_month, row_count, status, done)], schemas.RUN_LOG)
-    tables.replace_by_key(row, path, "run_id", buckets=1)
+    log_runs(row, path)
+
+
+def log_runs(finished: DataFrame, path: str) -> None:
+    """Writes finished runs (columns of the run log); repeated run ids replace their earlier rows."""
+    tables.replace_by_key(finished.select(*schemas.RUN_LOG.fieldNames()), path, "run_id", buckets=1)
 
 
 def pipeline_stats(statuses: DataFrame, batch_size: int = fv.EMBEDDING_BATCH, elapsed_seconds: float = 0.0) -> DataFrame:

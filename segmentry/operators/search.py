@@ -125,8 +125,11 @@ def in_blocks(df: DataFrame, key: str, blocks: int, mine: str, other: str, other
     The task number is added to the hash, so copies of one id are spread too.
     """
     block = F.pmod(F.xxhash64(key) + F.spark_partition_id(), F.lit(blocks)).cast("int")
-    return df.withColumn(mine, block).withColumn(
-        other, F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1)))
+    # Fresh column identities: both sides of a cogroup may come from one table.
+    return df.select(
+        *[F.col(c).alias(c) for c in df.columns],
+        block.alias(mine),
+        F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1))).alias(other),
     )
 
 

@@ -19,8 +19,9 @@ from segmentry.sources import tables
 
 def _scaled(spark, sf):
     """Embeddings away from unit length, some all zero."""
-    factor = (F.col("vec_id") % 4).cast("float")
-    return table(spark, sf, "embeddings").withColumn("embedding", F.transform("embedding", lambda x: x * factor))
+    factor = (F.col("vec_id") % 4).cast("double")
+    wide = F.col("embedding").cast("array<double>")
+    return table(spark, sf, "embeddings").withColumn("embedding", F.transform(wide, lambda x: x * factor))
 
 
 def rounded_elements(df, column, keep, places=5):
@@ -157,7 +158,7 @@ def core_distances(spark, sf):
 
 @query(
     f"""WITH words AS (SELECT CAST(doc_id AS VARCHAR) AS record_id, len(regexp_extract_all(lower({clean_sql('text')}), '{WORDS}')) AS n FROM documents)
-    SELECT record_id, CAST(n AS DOUBLE) AS words, CAST(384 AS INT) AS dim, CASE WHEN n > 0 THEN 1.0 ELSE 0.0 END AS norm FROM words"""
+    SELECT record_id, CAST(n AS DOUBLE) AS words, CAST(384 AS INT) AS dim, CAST(CASE WHEN n > 0 THEN 1 ELSE 0 END AS DOUBLE) AS norm FROM words"""
 )
 def embed_hash(spark, sf):
     """Shape of every embedded document: hashed words add up to all words, and the vector has unit length."""

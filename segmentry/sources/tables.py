@@ -21,7 +21,8 @@ from pyspark.sql import Window as W
 from segmentry.sources.trips import in_month, month_of, spread_by_partition
 
 BUCKET = "key_bucket"
-DEFAULT_BUCKETS = 64
+# Enough for small tables; a table of terabytes wants one bucket per few GB, given when it is created.
+DEFAULT_BUCKETS = 16
 
 
 class SchemaMismatch(ValueError):
