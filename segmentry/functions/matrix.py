@@ -12,25 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from segmentry.functions.kernels import scores_of, to_matrix
+
 # A matrix is copied to every executor only below this size; beyond it the callers use a shuffle.
 MAX_MATRIX_BYTES = 128 * 1024 * 1024
-# Scores are compared at this many places, so that the order of additions cannot decide a tie.
-SCORE_PLACES = 9
-
-
-def to_matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """A list column as an (n, dim) double matrix. Rows must be non-null and of one length."""
-    if isinstance(vectors, pa.ChunkedArray):
-        vectors = vectors.combine_chunks()
-    n = len(vectors)
-    if n == 0:
-        return np.empty((0, 0))
-    if vectors.null_count:
-        raise ValueError("null vector")
-    lengths = np.diff(np.asarray(vectors.offsets))
-    if (lengths != lengths[0]).any():
-        raise ValueError("vectors of different dimensions")
-    return np.asarray(vectors.flatten(), dtype=np.float64).reshape(n, int(lengths[0]))
 
 
 def max_rows(dim: int, limit_bytes: int = MAX_MATRIX_BYTES) -> int:
@@ -82,8 +67,8 @@ def nearest_row(spark: SparkSession, ids: list[int], matrix: np.ndarray):
         if len(vectors) == 0:
             best, score = np.empty(0, dtype=np.int32), np.empty(0)
         else:
-            scores = to_matrix(vectors) @ rows.T
-            at = np.round(scores, SCORE_PLACES).argmax(axis=1)
+            scores = scores_of(to_matrix(vectors), rows)
+            at = scores.argmax(axis=1)
             best, score = known[at].astype(np.int32), scores[np.arange(len(at)), at]
         return pa.StructArray.from_arrays(
             [pa.array(best, pa.int32()), pa.array(score)], names=["id", "score"]

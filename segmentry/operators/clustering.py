@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segmentry import fixed_values as fv
-from segmentry.functions.matrix import bounded_rows, euclidean, max_rows, to_matrix
+from segmentry.functions.kernels import texts, to_matrix, worst_ratios
+from segmentry.functions.matrix import bounded_rows, euclidean, max_rows
 from segmentry.operators.search import in_blocks
 from segmentry.operators.vectors import l2_normalize
 
@@ -98,30 +99,6 @@ def silhouette(labelled: DataFrame, label: str = "segment_id", vector: str = "em
     return float(evaluator.evaluate(ready))
 
 
-def _worst_ratios(
-    ids: np.ndarray,
-    places: np.ndarray,
-    spread: np.ndarray,
-    other_ids: np.ndarray | None = None,
-    others: np.ndarray | None = None,
-    other_spread: np.ndarray | None = None,
-) -> np.ndarray:
-    """Per segment the largest (s_i + s_j) / d_ij over the other segments; two on one spot count as 0."""
-    if others is None:
-        other_ids, others, other_spread = ids, places, spread
-    worst = np.zeros(len(ids))
-    if len(ids) == 0 or len(other_ids) == 0:
-        return worst
-    step = max(1, 4_000_000 // others.size)
-    for start in range(0, len(ids), step):
-        part = slice(start, start + step)
-        distance = np.sqrt(((places[part][:, None, :] - others[None, :, :]) ** 2).sum(axis=2))
-        apart = (ids[part][:, None] != other_ids[None, :]) & (distance > 0)
-        ratio = (spread[part][:, None] + other_spread[None, :]) / np.where(apart, distance, 1.0)
-        worst[part] = np.where(apart, ratio, 0.0).max(axis=1)
-    return worst
-
-
 def davies_bouldin(
     labelled: DataFrame,
     label: str = "segment_id",
@@ -147,8 +124,12 @@ def davies_bouldin(
         # One row per segment, no more than were counted above.
         by_label = {r[label]: r["spread"] for r in spread.collect()}
         order = [r[label] for r in known]
-        places = np.array([r["centroid"] for r in known], dtype=np.float64)
-        found = _worst_ratios(np.array(order), places, np.array([by_label[i] for i in order]))
+        side = (
+            np.array(order),
+            np.array([r["centroid"] for r in known], dtype=np.float64),
+            np.array([by_label[i] for i in order]),
+        )
+        found = worst_ratios(*side, *side)
         value = float(found.mean()) if len(found) else 0.0
         return spark.createDataFrame([(value,)], "davies_bouldin double")
     described = means.join(spread, label).select(F.col(label).cast("string").alias("segment"), "centroid", "spread")
@@ -158,15 +139,11 @@ def davies_bouldin(
     right = in_blocks(described, "segment", blocks, "_b", "_a", blocks).groupBy("_a", "_b")
 
     def worst(a: pa.Table, b: pa.Table) -> pa.Table:
-        ids, other_ids = (np.array(t.column("segment").to_pylist(), dtype=object) for t in (a, b))
-        found = _worst_ratios(
-            ids,
-            to_matrix(a.column("centroid")),
-            np.asarray(a.column("spread")),
-            other_ids,
-            to_matrix(b.column("centroid")),
-            np.asarray(b.column("spread")),
-        )
+        def side(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            return texts(t.column("segment")), to_matrix(t.column("centroid")), np.asarray(t.column("spread"))
+
+        ids, *_ = own = side(a)
+        found = worst_ratios(*own, *side(b))
         return pa.table({"segment": pa.array(ids, pa.string()), "worst": pa.array(found)})
 
     ratios = left.cogroup(right).applyInArrow(worst, "segment string, worst double")

@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segmentry import fixed_values as fv
-from segmentry.functions.matrix import max_rows, to_matrix
+from segmentry.functions.kernels import chunks, local_roots, squared_distances, texts, to_matrix, within
+from segmentry.functions.matrix import max_rows
 from segmentry.functions.ordering import exact_quantiles, global_row_number
 from segmentry.operators.components import connected_components
 from segmentry.operators.search import exact_top_k
@@ -61,11 +62,6 @@ def eps_at_quantile(vectors: DataFrame, record_id: str, share: float, vector: st
     return exact_quantiles(distances, "core_distance", {"eps": share}).first()["eps"]
 
 
-def _within(a: np.ndarray, b: np.ndarray, eps: float) -> np.ndarray:
-    squared = (a**2).sum(axis=1)[:, None] + (b**2).sum(axis=1)[None, :] - 2 * a @ b.T
-    return squared <= eps * eps
-
-
 def _place(points: DataFrame, pivots: np.ndarray, eps: float) -> DataFrame:
     """Adds ``own``, the nearest pivot, and ``cells``, all cells the point takes part in."""
     shared = points.sparkSession.sparkContext.broadcast(pivots)
@@ -78,14 +74,11 @@ def _place(points: DataFrame, pivots: np.ndarray, eps: float) -> DataFrame:
         at = shared.value
         own, cells = [], []
         matrix = to_matrix(vectors)
-        step = max(1, 4_000_000 // len(at))
-        for start in range(0, len(matrix), step):
-            part = matrix[start : start + step]
-            squared = (part**2).sum(axis=1)[:, None] + (at**2).sum(axis=1)[None, :] - 2 * part @ at.T
-            distance = np.sqrt(np.maximum(squared, 0.0))
+        for part in chunks(len(matrix), len(at)):
+            distance = np.sqrt(np.maximum(squared_distances(matrix[part], at), 0.0))
             nearest = distance.argmin(axis=1)
             # A hair more than 2 eps, so rounding can only add visits.
-            reach = distance[np.arange(len(part)), nearest] + 2 * eps * (1 + 1e-6) + 1e-6
+            reach = distance[np.arange(len(distance)), nearest] + 2 * eps * (1 + 1e-6) + 1e-6
             own.extend(nearest.tolist())
             cells.extend(np.flatnonzero(row).tolist() for row in distance <= reach[:, None])
         return pa.StructArray.from_arrays(
@@ -125,55 +118,26 @@ def _per_block_pair(placed: DataFrame, work: Callable, schema: str, block_rows:
     return owners.groupBy(*keys).cogroup(guests.groupBy(*keys)).applyInArrow(work, schema)
 
 
-def _chunks(n: int, other: int) -> list[slice]:
-    step = max(1, 4_000_000 // max(other, 1))
-    return [slice(s, min(s + step, n)) for s in range(0, n, step)]
-
-
 def _count_neighbours(eps: float) -> Callable:
     def count(owners: pa.Table, members: pa.Table) -> pa.Table:
-        ids = owners.column("id").to_pylist()
-        total = np.zeros(len(ids), dtype=np.int64)
-        if len(ids) and members.num_rows:
+        total = np.zeros(owners.num_rows, dtype=np.int64)
+        if owners.num_rows and members.num_rows:
             a, b = to_matrix(owners.column("v")), to_matrix(members.column("v"))
             weight = np.asarray(members.column("weight"))
-            for part in _chunks(len(a), len(b)):
-                total[part] = _within(a[part], b, eps) @ weight
-        return pa.table({"id": pa.array(ids, pa.string()), "near": pa.array(total)})
+            for part in chunks(len(a), len(b)):
+                total[part] = within(a[part], b, eps) @ weight
+        return pa.table({"id": owners.column("id").cast(pa.string()), "near": pa.array(total)})
 
     return count
 
 
 def _local_groups(eps: float) -> Callable:
     def link(owners: pa.Table, members: pa.Table) -> pa.Table:
-        names = np.array(owners.column("id").to_pylist() + members.column("id").to_pylist(), dtype=object)
-        if owners.num_rows == 0 or members.num_rows == 0:
-            return pa.table({"id": pa.array([], pa.string()), "root": pa.array([], pa.string())})
-        a, b = to_matrix(owners.column("v")), to_matrix(members.column("v"))
-        n = len(a)
-        # Labels of both sides are lowered to the smallest label among their neighbours until stable.
-        order = np.argsort(np.argsort(names, kind="stable"), kind="stable")
-        labels = order.astype(np.int64)
-        near = [(part, _within(a[part], b, eps)) for part in _chunks(n, len(b))]
-        big = np.iinfo(np.int64).max
-        while True:
-            before = labels.copy()
-            reach = np.full(len(b), big)
-            for part, m in near:
-                up = np.where(m, labels[n:][None, :], big).min(axis=1)
-                labels[part] = np.minimum(labels[part], up)
-            for part, m in near:
-                reach = np.minimum(reach, np.where(m, labels[part][:, None], big).min(axis=0))
-            labels[n:] = np.minimum(labels[n:], reach)
-            if (labels == before).all():
-                break
-        by_rank = np.empty(len(names), dtype=object)
-        by_rank[order] = names
-        has_owner = np.any([m.any(axis=0) for _, m in near], axis=0)
-        linked = np.concatenate([*[m.any(axis=1) for _, m in near], has_owner])
-        return pa.table(
-            {"id": pa.array(names[linked], pa.string()), "root": pa.array(by_rank[labels][linked], pa.string())}
-        )
+        ids, roots = [], []
+        if owners.num_rows and members.num_rows:
+            names = np.concatenate([texts(owners.column("id")), texts(members.column("id"))])
+            ids, roots = local_roots(names, to_matrix(owners.column("v")), to_matrix(members.column("v")), eps)
+        return pa.table({"id": pa.array(ids, pa.string()), "root": pa.array(roots, pa.string())})
 
     return link
 

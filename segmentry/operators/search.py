@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segmentry import fixed_values as fv
-from segmentry.functions.matrix import MAX_MATRIX_BYTES, SCORE_PLACES, bounded_rows, max_rows, to_matrix
+from segmentry.functions.kernels import RunningBest, best, chunks, result_rows, scores_of, slices, texts, to_matrix
+from segmentry.functions.matrix import MAX_MATRIX_BYTES, bounded_rows, max_rows
 
 BLOCK_BYTES = 64 * 1024 * 1024
-SCORE_BLOCK = 4_000_000
 RESULT = T.StructType(
     [
         T.StructField("query_id", T.StringType()),
@@ -42,43 +42,12 @@ def _as_side(df: DataFrame, key: str, vector: str, name: str) -> DataFrame:
     return df.select(F.col(key).cast("string").alias(name), F.col(vector).alias("v"))
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k best scores of one query: highest first, ties by lowest id."""
-    if len(scores) > k:
-        floor = np.partition(scores, len(scores) - k)[len(scores) - k]
-        keep = np.flatnonzero(scores >= floor)  # all ties of the k-th stay in until ids decide
-    else:
-        keep = np.arange(len(scores))
-    order = np.lexsort((ids[keep], -scores[keep]))
-    return keep[order[:k]]
-
-
-def _rows(query_ids: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.repeat(query_ids, [len(ids) for ids, _ in found]), pa.string()),
-            pa.array(np.concatenate([ids for ids, _ in found]) if found else [], pa.string()),
-            pa.array(np.concatenate([s for _, s in found]) if found else [], pa.float64()),
-        ],
-        names=["query_id", "record_id", "score"],
-    )
-
-
 def _final(partial: DataFrame, k: int) -> DataFrame:
     """Best k per query out of the tasks' own best; rank starts at 1."""
     w = W.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("record_id"))
     return partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def _slices(batches: Iterator[pa.RecordBatch], key: str, other_side: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Ids and vectors, cut so that the scores against the other side stay in a few tens of MB."""
-    step = max(1, SCORE_BLOCK // max(other_side, 1))
-    for batch in batches:
-        for start in range(0, batch.num_rows, step):
-            part = batch.slice(start, step)
-            yield np.array(part.column(key).to_pylist(), dtype=object), to_matrix(part.column("v"))
-
-
 def _search_few_queries(queries: list, store: DataFrame, k: int) -> DataFrame:
     spark = store.sparkSession
     ids = np.array([r[0] for r in queries], dtype=object)
@@ -87,18 +56,10 @@ def _search_few_queries(queries: list, store: DataFrame, k: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, wanted = shared.value
-        best: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, object), np.empty(0))] * len(query_ids)
-        floor = np.full(len(query_ids), -np.inf)  # a score below its query's k-th best cannot enter
-        for record_ids, vectors in _slices(batches, "record_id", len(query_ids)):
-            scores = np.round(wanted @ vectors.T, SCORE_PLACES)
-            for q in np.flatnonzero((scores >= floor[:, None]).any(axis=1)):
-                ids_q = np.concatenate([best[q][0], record_ids])
-                scores_q = np.concatenate([best[q][1], scores[q]])
-                at = _best(scores_q, ids_q, k)
-                best[q] = (ids_q[at], scores_q[at])
-                if len(at) == k:
-                    floor[q] = scores_q[at[-1]]
-        yield _rows(query_ids, best)
+        everyone, kept = np.arange(len(query_ids)), RunningBest(len(query_ids), k)
+        for record_ids, vectors in slices(batches, "record_id", len(query_ids)):
+            kept.add(everyone, scores_of(wanted, vectors), record_ids)
+        yield result_rows(query_ids, kept.kept)
 
     return store.mapInArrow(scan, RESULT)
 
@@ -111,10 +72,10 @@ def _search_small_store(queries: DataFrame, store: list, k: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         record_ids, known = shared.value
-        for query_ids, vectors in _slices(batches, "query_id", len(record_ids)):
-            scores = np.round(vectors @ known.T, SCORE_PLACES)
-            found = [_best(row, record_ids, k) for row in scores]
-            yield _rows(query_ids, [(record_ids[at], row[at]) for row, at in zip(scores, found)])
+        for query_ids, vectors in slices(batches, "query_id", len(record_ids)):
+            scores = scores_of(vectors, known)
+            found = [best(row, record_ids, k) for row in scores]
+            yield result_rows(query_ids, [(record_ids[at], row[at]) for row, at in zip(scores, found)])
 
     return queries.mapInArrow(scan, RESULT)
 
@@ -138,17 +99,15 @@ def _search_in_blocks(queries: DataFrame, store: DataFrame, k: int, q_blocks: in
     right = in_blocks(store, "record_id", s_blocks, "_s", "_q", q_blocks).groupBy("_q", "_s")
 
     def pair(a: pa.Table, b: pa.Table) -> pa.Table:
-        if a.num_rows == 0 or b.num_rows == 0:
-            return pa.Table.from_batches([], _rows(np.empty(0, object), []).schema)
-        record_ids = np.array(b.column("record_id").to_pylist(), dtype=object)
-        known, wanted = to_matrix(b.column("v")), to_matrix(a.column("v"))
-        query_ids = np.array(a.column("query_id").to_pylist(), dtype=object)
+        query_ids, record_ids = texts(a.column("query_id")), texts(b.column("record_id"))
+        wanted, known = to_matrix(a.column("v")), to_matrix(b.column("v"))
         found = []
-        for start in range(0, len(wanted), 256):
-            for row in np.round(wanted[start : start + 256] @ known.T, SCORE_PLACES):
-                at = _best(row, record_ids, k)
-                found.append((record_ids[at], row[at]))
-        return pa.Table.from_batches([_rows(query_ids, found)])
+        if len(record_ids):
+            for part in chunks(len(query_ids), len(record_ids)):
+                for row in scores_of(wanted[part], known):
+                    at = best(row, record_ids, k)
+                    found.append((record_ids[at], row[at]))
+        return pa.Table.from_batches([result_rows(query_ids[: len(found)], found)])
 
     return left.cogroup(right).applyInArrow(pair, RESULT)
 
@@ -222,25 +181,16 @@ def approximate_top_k(
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, wanted, probing = shared.value
-        best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        kept = RunningBest(len(query_ids), k)
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            cell = np.asarray(batch.column("cell"))
-            vectors = to_matrix(batch.column("v"))
-            record_ids = np.array(batch.column("record_id").to_pylist(), dtype=object)
-            for c in np.unique(cell):
-                inside = np.flatnonzero(cell == c)
-                members = probing[int(c)]
-                scores = np.round(wanted[members] @ vectors[inside].T, SCORE_PLACES)
-                for row, q_index in zip(scores, members):
-                    have_ids, have = best.get(q_index, (np.empty(0, object), np.empty(0)))
-                    merged_ids = np.concatenate([have_ids, record_ids[inside]])
-                    merged = np.concatenate([have, row])
-                    at = _best(merged, merged_ids, k)
-                    best[q_index] = (merged_ids[at], merged[at])
-        hit = sorted(best)
-        yield _rows(query_ids[hit], [best[i] for i in hit])
+            for part in chunks(batch.num_rows, len(query_ids)):
+                piece = batch.slice(part.start, part.stop - part.start)
+                cell, record_ids = np.asarray(piece.column("cell")), texts(piece.column("record_id"))
+                vectors = to_matrix(piece.column("v"))
+                for c in np.unique(cell):
+                    inside, members = np.flatnonzero(cell == c), probing[int(c)]
+                    kept.add(members, scores_of(wanted[members], vectors[inside]), record_ids[inside])
+        yield result_rows(query_ids, kept.kept)
 
     store = cell_table.where(F.col("cell").isin(list(by_cell))).select(
         F.col(record_id).cast("string").alias("record_id"), F.col(vector).alias("v"), "cell"
