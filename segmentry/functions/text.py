@@ -1,5 +1,4 @@
-"""Text expressions. Character classes are written out so that white space and word characters
-mean the Unicode sets, not Java's ASCII default."""
+"""Text expressions. White space and word characters mean the Unicode sets, not Java's ASCII default."""
 
 from __future__ import annotations
 
@@ -9,20 +8,19 @@ from pyspark.sql import functions as F
 from segmentry import fixed_values as fv
 from segmentry.functions.numeric import round_even
 
-# White space and its complement, word characters: Unicode, including the four ASCII separators.
-SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# All Unicode white space, including the four ASCII separators; word characters.
 SPACE_CHARS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
     + "".join(map(chr, range(0x2000, 0x200B)))
     + "\u2028\u2029\u202f\u205f\u3000"
 )
-NOT_SPACE = f"[^{SPACE}]"
 WORD = r"[\p{L}\p{N}_]"
 
-URL = f"https?://{NOT_SPACE}+|www\\.{NOT_SPACE}+"
+# After ``blank_space`` a blank is the only white space left, which keeps the patterns cheap.
+URL = r"https?://[^ ]+|www\.[^ ]+"
 # An address match always covers a whole run of non-space, so it may only start where a run starts;
 # without that anchor a long run would be scanned once per character.
-EMAIL = f"(?<!{NOT_SPACE}){NOT_SPACE}+@{NOT_SPACE}+\\.{NOT_SPACE}+"
+EMAIL = r"(?<![^ ])[^ ]+@[^ ]+\.[^ ]+"
 # Every character that composition can change, or combine with, lies at or above U+0300.
 MAY_COMPOSE = "[^\\x{0}-\\x{2ff}]"
 
@@ -42,9 +40,14 @@ def strip_space(text: Column) -> Column:
     return F.btrim(text, F.lit(SPACE_CHARS))
 
 
-def collapse_space(text: Column) -> Column:
-    """Every run of white space becomes one blank, none at the ends."""
-    return F.trim(F.regexp_replace(text, f"[{SPACE}]+", " "))
+def blank_space(text: Column) -> Column:
+    """Every white-space character becomes a blank."""
+    return F.translate(text, SPACE_CHARS, " " * len(SPACE_CHARS))
+
+
+def collapse_blanks(text: Column) -> Column:
+    """Every run of blanks becomes one, none at the ends."""
+    return F.trim(F.regexp_replace(text, " {2,}", " "))
 
 
 def clean_text(
@@ -58,14 +61,16 @@ def clean_text(
     ``max_chars`` cuts the finished text (``truncation_limit()`` gives the usual bound); by default
     the whole text is kept.
     """
-    out = nfc(F.coalesce(text, F.lit("")))
+    out = blank_space(nfc(F.coalesce(text, F.lit(""))))
     out = F.regexp_replace(out, fv.HTML_TAG, " ")
     if remove_urls:
         out = F.regexp_replace(out, URL, " ")
     if remove_emails:
-        # Most texts hold no address: the literal search is far cheaper than the pattern.
-        out = F.when(F.contains(out, F.lit("@")), F.regexp_replace(out, EMAIL, " ")).otherwise(out)
-    out = collapse_space(out)
+        # Most texts hold no address; there a pattern that cannot match replaces the costly one. The
+        # text itself appears once, so it is cleaned once.
+        pattern = F.when(F.contains(text, F.lit("@")), F.lit(EMAIL)).otherwise(F.lit("@"))
+        out = F.regexp_replace(out, pattern, F.lit(" "))
+    out = collapse_blanks(out)
     return F.substring(out, 1, max_chars) if max_chars is not None else out
 
 
@@ -83,7 +88,9 @@ def fingerprint(clean: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """White-space separated tokens; empty and blank texts have none."""
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(f"{NOT_SPACE}+"))
+    spaced = F.ltrim(blank_space(F.coalesce(text, F.lit(""))))
+    # Each token with the blanks behind it shrinks to one character.
+    return F.length(F.regexp_replace(spaced, "[^ ]+ *", "x"))
 
 
 def words(text: Column) -> Column:
@@ -102,8 +109,17 @@ def _lexicon_hits(text: Column) -> Column:
 
 def sentiment_proxy(text: Column) -> Column:
     """(p - n) / (p + n) over distinct positive and negative words, 0 without any; three places."""
-    hits = _lexicon_hits(text)
-    total = F.size(hits)
-    positive = F.size(F.array_intersect(hits, F.array(*map(F.lit, fv.POSITIVE_WORDS))))
-    score = (F.lit(2) * positive - total) / F.nullif(total, F.lit(0))
-    return F.coalesce(round_even(score, 3), F.lit(0.0))
+
+    def add(seen: Column, word: Column) -> Column:
+        sign = F.when(word.isin(fv.POSITIVE_WORDS), 1).otherwise(-1)
+        return F.struct((seen["score"] + sign).alias("score"), (seen["words"] + 1).alias("words"))
+
+    nothing = F.struct(F.lit(0).alias("score"), F.lit(0).alias("words"))
+    return F.aggregate(
+        _lexicon_hits(text),
+        nothing,
+        add,
+        lambda seen: F.when(
+            seen["words"] > 0, round_even(seen["score"] / F.nullif(seen["words"], F.lit(0)), 3)
+        ).otherwise(F.lit(0.0)),
+    )

@@ -14,14 +14,16 @@ from segmentry.session import scratch_path
 from segmentry.sources import reviews as src
 from segmentry.sources import tables
 
-# The character classes are shared with the Spark expressions; both engines read \x{...}.
-SPACES = tx.SPACE
-NOT_SPACE = tx.NOT_SPACE
+# White space as a character class of the comparison engine, which keeps the original patterns.
+SPACES = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+NOT_SPACE = f"[^{SPACES}]"
+URLS = f"https?://{NOT_SPACE}+|www\\.{NOT_SPACE}+"
+EMAILS = f"{NOT_SPACE}+@{NOT_SPACE}+\\.{NOT_SPACE}+"
 
 
 def clean_sql(column: str) -> str:
     out = f"nfc_normalize(coalesce({column}, ''))"
-    for pattern in (fv.HTML_TAG, tx.URL, f"{NOT_SPACE}+@{NOT_SPACE}+\\.{NOT_SPACE}+", f"[{SPACES}]+"):
+    for pattern in (fv.HTML_TAG, URLS, EMAILS, f"[{SPACES}]+"):
         out = f"regexp_replace({out}, '{pattern}', ' ', 'g')"
     return f"trim({out})"
 
