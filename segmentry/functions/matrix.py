@@ -16,14 +16,17 @@ from segmentry.functions.kernels import scores_of, to_matrix
 
 # A matrix is copied to every executor only below this size; beyond it the callers use a shuffle.
 MAX_MATRIX_BYTES = 128 * 1024 * 1024
+MAX_DIMENSION = 1024
 
 
-def max_rows(dim: int, limit_bytes: int = MAX_MATRIX_BYTES) -> int:
-    return max(1, limit_bytes // (8 * max(dim, 1)))
+def rows_within(limit_bytes: int = MAX_MATRIX_BYTES) -> int:
+    """How many vectors of the longest dimension in use fit into the limit."""
+    return max(1, limit_bytes // (8 * MAX_DIMENSION))
 
 
-def bounded_rows(df: DataFrame, rows: int) -> list | None:
-    """All rows of ``df`` if there are at most ``rows`` of them, else None. Reads one row more to know."""
+def bounded_rows(df: DataFrame, limit_bytes: int = MAX_MATRIX_BYTES) -> list | None:
+    """All rows of a vector table if they fit into the limit, else None. ``df`` is evaluated once."""
+    rows = rows_within(limit_bytes)
     found = df.take(rows + 1)
     return found if len(found) <= rows else None
 

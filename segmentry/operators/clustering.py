@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from segmentry import fixed_values as fv
 from segmentry.functions.kernels import texts, to_matrix, worst_ratios
-from segmentry.functions.matrix import bounded_rows, euclidean, max_rows
+from segmentry.functions.matrix import MAX_MATRIX_BYTES, bounded_rows, euclidean, rows_within
 from segmentry.operators.search import in_blocks
 from segmentry.operators.vectors import l2_normalize
 
@@ -103,15 +103,13 @@ def davies_bouldin(
     labelled: DataFrame,
     label: str = "segment_id",
     vector: str = "embedding",
-    limit_bytes: int | None = None,
+    limit_bytes: int = MAX_MATRIX_BYTES,
 ) -> DataFrame:
     """One row ``davies_bouldin``: mean over segments of the worst (s_i + s_j) / d_ij; 0 below two segments."""
     spark = labelled.sparkSession
     kept = without_noise(labelled, label)
     means = mean_vectors(kept, label, vector).select(label, "centroid")
-    first = kept.select(F.size(vector)).first()
-    rows = max_rows(first[0] if first else 1, *([limit_bytes] if limit_bytes else []))
-    known = bounded_rows(means, rows)
+    known = bounded_rows(means, limit_bytes)
     if known is not None:
         # Measured small: as a local table its size is known to the planner, which then broadcasts it.
         means = spark.createDataFrame(known, means.schema)
@@ -133,8 +131,7 @@ def davies_bouldin(
         value = float(found.mean()) if len(found) else 0.0
         return spark.createDataFrame([(value,)], "davies_bouldin double")
     described = means.join(spread, label).select(F.col(label).cast("string").alias("segment"), "centroid", "spread")
-    per_block = min(rows, 2048)
-    blocks = max(1, -(-means.count() // per_block))
+    blocks = max(1, -(-means.count() // min(rows_within(limit_bytes), 2048)))
     left = in_blocks(described, "segment", blocks, "_a", "_b", blocks).groupBy("_a", "_b")
     right = in_blocks(described, "segment", blocks, "_b", "_a", blocks).groupBy("_a", "_b")
 

@@ -25,7 +25,6 @@ from pyspark.sql import types as T
 
 from segmentry import fixed_values as fv
 from segmentry.functions.kernels import chunks, local_roots, squared_distances, texts, to_matrix, within
-from segmentry.functions.matrix import max_rows
 from segmentry.functions.ordering import exact_quantiles, global_row_number
 from segmentry.operators.components import connected_components
 from segmentry.operators.search import exact_top_k
@@ -162,8 +161,7 @@ def density_segments(
     total = points.count()
     if total == 0:
         return named.select("record_id", F.lit(fv.NOISE).alias("segment_id"))
-    dim = points.select(F.size("v")).first()[0]
-    wanted = min(pivots or math.ceil(total / block_rows), MAX_PIVOTS, max_rows(dim))
+    wanted = min(pivots or math.ceil(total / block_rows), MAX_PIVOTS)
     # Which points serve as pivots decides speed only.
     chosen = points.select("v").orderBy(F.xxhash64("id")).limit(wanted).collect()
     placed = checkpointed(_place(points, np.array([r[0] for r in chosen], dtype=np.float64), eps))

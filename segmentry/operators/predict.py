@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segmentry import fixed_values as fv
-from segmentry.functions.matrix import MAX_MATRIX_BYTES, bounded_rows, max_rows, nearest_row
+from segmentry.functions.matrix import MAX_MATRIX_BYTES, bounded_rows, nearest_row
 from segmentry.operators.search import exact_top_k
 from segmentry.operators.segments import segment_name
 from segmentry.operators.vectors import Encoder, embed_reviews
@@ -28,10 +28,9 @@ def nearest_centroid(
     size has been measured, and the vectors never move; more centroids than that are searched in blocks.
     """
     model = centroids.select("segment_id", "centroid")
-    first = model.first()
-    if first is None:
+    rows = bounded_rows(model, limit_bytes)
+    if rows == []:
         raise ValueError("no centroids")
-    rows = bounded_rows(model, max_rows(len(first["centroid"]), limit_bytes))
     if rows is not None:
         ids = [r["segment_id"] for r in rows]
         matrix = np.array([r["centroid"] for r in rows], dtype=np.float64)

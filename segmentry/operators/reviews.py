@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from segmentry import fixed_values as fv
 from segmentry.functions import text as tx
 from segmentry.functions.numeric import flag
+from segmentry.session import checkpointed
 from segmentry.sources.tables import first_per_key
 
 
@@ -62,39 +63,44 @@ def tagged(
     min_length: int = fv.MIN_CLEAN_CHARS,
     **options,
 ) -> DataFrame:
-    """Every row with its cleaned text and ``reason``: valid, filtered (too short) or duplicate.
+    """``reason`` of every row: valid, filtered (too short) or duplicate; with its fingerprint.
 
-    The first row of each fingerprint is found by a minimum that is combined on the map side, and
-    attached by the unique row id. Copies of one text, however many, never meet in one task.
+    Texts are cleaned once, into a narrow table of fingerprints. The first row of each fingerprint is
+    a minimum that is combined on the map side, and it is attached by the unique row id. Copies of one
+    text, however many, never meet in one task.
     """
     clean = with_clean_text(df, text, **options)
-    long_enough = tx.is_long_enough(F.col("clean"), min_length)
+    narrow = checkpointed(
+        clean.select(
+            row_id,
+            F.when(tx.is_long_enough(F.col("clean"), min_length), tx.fingerprint(F.col("clean"))).alias("fingerprint"),
+        )
+    )
     first = (
-        clean.where(long_enough)
-        .groupBy(tx.fingerprint(F.col("clean")).alias("_fp"))
+        narrow.where(F.col("fingerprint").isNotNull())
+        .groupBy("fingerprint")
         .agg(F.min(row_id).alias(row_id))
         .select(row_id, F.lit(True).alias("_first"))
     )
     reason = (
-        F.when(~long_enough, F.lit("filtered"))
+        F.when(F.col("fingerprint").isNull(), F.lit("filtered"))
         .when(F.col("_first"), F.lit("valid"))
         .otherwise(F.lit("duplicate"))
     )
-    return clean.join(first, row_id, "left").withColumn("reason", reason).drop("_first")
+    return narrow.join(first, row_id, "left").withColumn("reason", reason).drop("_first")
 
 
 def preprocess_counts(df: DataFrame, text: str = "text", min_length: int = fv.MIN_CLEAN_CHARS, **options) -> DataFrame:
     """One row: total, filtered, duplicates, valid. Two aggregations, no row keeps its text past the first."""
     hashed = with_clean_text(df, text, **options).select(
-        tx.is_long_enough(F.col("clean"), min_length).alias("ok"),
-        F.when(tx.is_long_enough(F.col("clean"), min_length), tx.fingerprint(F.col("clean"))).alias("fp"),
+        F.when(tx.is_long_enough(F.col("clean"), min_length), tx.fingerprint(F.col("clean"))).alias("fp")
     )
-    per_text = hashed.groupBy("ok", "fp").agg(F.count(F.lit(1)).alias("n"))
+    per_text = hashed.groupBy("fp").agg(F.count(F.lit(1)).alias("n"))
     return per_text.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
-        F.coalesce(F.sum(F.when(~F.col("ok"), F.col("n"))), F.lit(0)).alias("filtered"),
-        F.coalesce(F.sum(F.when(F.col("ok"), F.col("n") - 1)), F.lit(0)).alias("duplicates"),
-        F.count_if("ok").alias("valid"),
+        F.coalesce(F.sum(F.when(F.col("fp").isNull(), F.col("n"))), F.lit(0)).alias("filtered"),
+        F.coalesce(F.sum(F.when(F.col("fp").isNotNull(), F.col("n") - 1)), F.lit(0)).alias("duplicates"),
+        F.count("fp").alias("valid"),
     )
 
 

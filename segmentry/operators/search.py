@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from segmentry import fixed_values as fv
 from segmentry.functions.kernels import RunningBest, best, chunks, result_rows, scores_of, slices, texts, to_matrix
-from segmentry.functions.matrix import MAX_MATRIX_BYTES, bounded_rows, max_rows
+from segmentry.functions.matrix import MAX_MATRIX_BYTES, bounded_rows, rows_within
 
 BLOCK_BYTES = 64 * 1024 * 1024
 RESULT = T.StructType(
@@ -51,7 +51,7 @@ def _final(partial: DataFrame, k: int) -> DataFrame:
 def _search_few_queries(queries: list, store: DataFrame, k: int) -> DataFrame:
     spark = store.sparkSession
     ids = np.array([r[0] for r in queries], dtype=object)
-    matrix = np.array([r[1] for r in queries], dtype=np.float64)
+    matrix = np.array([r[1] for r in queries], dtype=np.float64).reshape(len(queries), -1)
     shared = spark.sparkContext.broadcast((ids, matrix))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,18 +125,13 @@ def exact_top_k(
     """The k stored vectors of highest score per query (all of them if the store is smaller)."""
     q = _as_side(queries, query_id, vector, "query_id")
     s = _as_side(store, record_id, vector, "record_id")
-    probe = q.select(F.size("v")).first()
-    if probe is None:
-        return _final(q.sparkSession.createDataFrame([], RESULT), k)
-    rows = max_rows(probe[0], limit_bytes)
-    few = bounded_rows(q, rows)
+    few = bounded_rows(q, limit_bytes)
     if few is not None:
         return _final(_search_few_queries(few, s, k), k)
-    small = bounded_rows(s, rows)
+    small = bounded_rows(s, limit_bytes)
     if small is not None:
         return _final(_search_small_store(q, small, k), k)
-    per_block = max_rows(probe[0], block_bytes)
-    q_blocks, s_blocks = (max(1, math.ceil(side.count() / per_block)) for side in (q, s))
+    q_blocks, s_blocks = (max(1, math.ceil(side.count() / rows_within(block_bytes))) for side in (q, s))
     return _final(_search_in_blocks(q, s, k, q_blocks, s_blocks), k)
 
 
@@ -168,8 +163,7 @@ def approximate_top_k(
     splits, never as one group.
     """
     q = _as_side(queries, query_id, vector, "query_id")
-    dim = centers.shape[1]
-    few = bounded_rows(q, max_rows(dim))
+    few = bounded_rows(q)
     if few is None:
         return exact_top_k(queries, cell_table, query_id, record_id, k, vector)
     ids = np.array([r[0] for r in few], dtype=object)

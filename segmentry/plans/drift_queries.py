@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from segmentry.functions.numeric import round_even
 from segmentry.operators import clustering, drift
-from segmentry.plans.inputs import CURRENT_SQL, PREVIOUS_SQL, current_run, mean_sql, previous_run, table
+from segmentry.plans.inputs import CURRENT_SQL, PREVIOUS_SQL, current_run, mean_sql, previous_run, table, texts
 from segmentry.plans.registry import query
 from segmentry.plans.text_queries import NOT_SPACE, count_sql
 from segmentry.session import checkpointed
@@ -82,7 +82,7 @@ measured AS (SELECT lang, CAST(length(text) AS DOUBLE) AS text_length, CAST({cou
 
 def _documents(spark, sf, condition="true"):
     rating = F.when(F.col("doc_id") % 11 == 0, "x").otherwise((1 + F.col("doc_id") % 5).cast("string"))
-    return table(spark, sf, "documents").where(condition).select("text", rating.alias("rating"))
+    return texts(spark, sf, "documents", "doc_id").where(condition).select("text", rating.alias("rating"))
 
 
 @query(

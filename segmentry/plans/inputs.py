@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from segmentry.session import spread
+
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -18,6 +20,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf: str, name: str, key: str) -> DataFrame:
+    """A text table over all cores; text work is heavy per row."""
+    return spread(table(spark, sf, name), key)
+
+
 def trips(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as trips, with the edge cases of real ones (bad durations, distances, fares, counts)."""
     key, part, supp = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
@@ -81,7 +88,7 @@ def reviews(spark: SparkSession, sf: str) -> DataFrame:
         .when(doc % 5 == 2, " Amazing idea, useless result, awful box.")
         .otherwise("")
     )
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf, "documents", "doc_id").select(
         F.concat(F.lit("review_"), F.lpad(doc.cast("string"), 6, "0")).alias("id"),
         F.concat("text", tail).alias("text"),
         (1 + doc % 5).cast("int").alias("rating"),

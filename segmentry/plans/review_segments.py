@@ -59,7 +59,9 @@ def run(
     """The whole job. Vectors already stored are not embedded again; assignments are replaced by record."""
     spark = raw.sparkSession
     run_id = run_id or uuid.uuid4().hex
-    ready = valid_reviews(raw)
+    # Cleaned once, kept as a table: embedding and assignment both read it.
+    valid_reviews(raw).write.mode("overwrite").parquet(f"{base}/reviews/run_id={run_id}")
+    ready = spark.read.parquet(f"{base}/reviews/run_id={run_id}")
     vectors_path, assignments_path = f"{base}/embeddings", f"{base}/segment_assignments"
     # The text is clean already, so the embedding step does not clean it a second time.
     vectors.embed_new(spark, ready, vectors_path, clean=False)

@@ -15,6 +15,7 @@ from segmentry.plans.inputs import (
     requests,
     run_log,
     table,
+    texts,
 )
 from segmentry.plans.registry import query
 from segmentry.plans.text_queries import CLEAN_SQL, NORMAL_SQL, RAW_SQL, TAG_SQL, raw_reviews
@@ -42,7 +43,7 @@ def batch_fingerprint(spark, sf):
     round_even(count(*) FILTER (reason = 'valid') / count(*) * 1e6, 0) / 1e6 AS success_rate FROM tags"""
 )
 def pipeline_stats(spark, sf):
-    tags = tagged(table(spark, sf, "documents"), "doc_id", min_length=200)
+    tags = tagged(texts(spark, sf, "documents", "doc_id"), "doc_id", min_length=200)
     status = F.when(F.col("reason") == "valid", "processed").when(F.col("reason") == "duplicate", "skipped").otherwise("failed")
     out = runs.pipeline_stats(tags.select(status.alias("status")), elapsed_seconds=8.0)
     return out.withColumns({c: round_even(F.col(c), 6) for c in ("throughput_rps", "success_rate")})
@@ -152,7 +153,7 @@ def stream_ingest(spark, sf):
 def stream_dedup(spark, sf):
     """Documents as a stream in one event-time hour: the same fingerprints remain as in batch."""
     base = scratch_path(spark, "dedup")
-    docs = table(spark, sf, "documents").select(
+    docs = texts(spark, sf, "documents", "doc_id").select(
         "doc_id", "text", F.timestamp_seconds(F.pmod("doc_id", F.lit(3600)) + 1704067200).alias("ts")
     )
     docs.write.parquet(f"{base}/in")

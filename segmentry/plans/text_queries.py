@@ -8,7 +8,7 @@ from segmentry import fixed_values as fv
 from segmentry import schemas
 from segmentry.functions import text as tx
 from segmentry.operators import reviews as op
-from segmentry.plans.inputs import MESSAGES_SQL, REVIEWS_SQL, messages, reviews, table
+from segmentry.plans.inputs import MESSAGES_SQL, REVIEWS_SQL, messages, reviews, table, texts
 from segmentry.plans.registry import query
 from segmentry.session import scratch_path
 from segmentry.sources import reviews as src
@@ -45,7 +45,7 @@ RAW_SQL = """raw AS (
 
 def raw_reviews(spark, sf):
     doc = F.col("doc_id")
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf, "documents", "doc_id").select(
         F.when(doc % 17 == 0, None).when(doc % 19 == 0, "").otherwise(F.concat(F.lit("R"), doc)).alias("review_id"),
         F.when(doc % 23 == 0, F.substring("text", 1, 12))
         .otherwise(F.concat(F.lit("  "), "text", F.lit("\xa0 ")))
@@ -145,12 +145,12 @@ def sentiment_proxy(spark, sf):
 
 @query(f"SELECT doc_id, {clean_sql('text')} AS clean FROM documents")
 def text_clean(spark, sf):
-    return op.with_clean_text(table(spark, sf, "documents")).select("doc_id", "clean")
+    return op.with_clean_text(texts(spark, sf, "documents", "doc_id")).select("doc_id", "clean")
 
 
 @query(f"SELECT page_id, {clean_sql('html')} AS clean FROM pages")
 def page_clean(spark, sf):
-    return op.with_clean_text(table(spark, sf, "pages"), "html").select("page_id", "clean")
+    return op.with_clean_text(texts(spark, sf, "pages", "page_id"), "html").select("page_id", "clean")
 
 
 @query(
@@ -160,7 +160,7 @@ def page_clean(spark, sf):
 def address_options(spark, sf):
     """Addresses kept and removed: the page's own address is put in front of its text."""
     text = F.concat_ws(" ", "url", "html")
-    return table(spark, sf, "pages").select(
+    return texts(spark, sf, "pages", "page_id").select(
         "page_id",
         tx.clean_text(text, remove_urls=False, remove_emails=False).alias("kept"),
         tx.clean_text(text).alias("removed"),
@@ -170,18 +170,18 @@ def address_options(spark, sf):
 @query(f"SELECT doc_id, substr({clean_sql('text')}, 1, 3072) AS clean FROM documents")
 def text_truncate(spark, sf):
     """The cleaner's own length limit, the one place where a text is cut; everything else reads whole texts."""
-    return op.with_clean_text(table(spark, sf, "documents"), max_chars=tx.truncation_limit()).select("doc_id", "clean")
+    return op.with_clean_text(texts(spark, sf, "documents", "doc_id"), max_chars=tx.truncation_limit()).select("doc_id", "clean")
 
 
 @query(f"SELECT doc_id, CAST(length({clean_sql('text')}) >= 200 AS INT) AS is_valid FROM documents")
 def text_valid(spark, sf):
-    clean = op.with_clean_text(table(spark, sf, "documents"))
+    clean = op.with_clean_text(texts(spark, sf, "documents", "doc_id"))
     return clean.select("doc_id", tx.is_long_enough(F.col("clean"), 200).cast("int").alias("is_valid"))
 
 
 @query(f"SELECT doc_id, sha256({clean_sql('text')}) AS fingerprint FROM documents")
 def text_fingerprint(spark, sf):
-    clean = op.with_clean_text(table(spark, sf, "documents"))
+    clean = op.with_clean_text(texts(spark, sf, "documents", "doc_id"))
     return clean.select("doc_id", tx.fingerprint(F.col("clean")).alias("fingerprint"))
 
 
@@ -190,7 +190,7 @@ CLEAN_SQL = f"cleaned AS (SELECT doc_id, {clean_sql('text')} AS clean FROM docum
 
 @query(f"WITH {CLEAN_SQL} SELECT min(doc_id) AS doc_id, sha256(clean) AS fingerprint FROM cleaned GROUP BY clean")
 def text_dedup(spark, sf):
-    clean = op.with_clean_text(table(spark, sf, "documents")).select("doc_id", "clean")
+    clean = op.with_clean_text(texts(spark, sf, "documents", "doc_id")).select("doc_id", "clean")
     return op.deduplicate(clean, "clean", "doc_id").select("doc_id", "fingerprint")
 
 
@@ -199,7 +199,7 @@ def text_dedup(spark, sf):
     WHERE length({clean_sql('clean')}) >= 10 GROUP BY clean"""
 )
 def batch_clean(spark, sf):
-    return op.batch_clean(table(spark, sf, "documents"), "doc_id", drop_duplicates=True)
+    return op.batch_clean(texts(spark, sf, "documents", "doc_id"), "doc_id", drop_duplicates=True)
 
 
 TAG_SQL = f"""{CLEAN_SQL},
@@ -209,7 +209,7 @@ tags AS (SELECT doc_id, CASE WHEN length(clean) < 200 THEN 'filtered'
 
 @query(f"WITH {TAG_SQL} SELECT doc_id, reason FROM tags")
 def preprocess_tags(spark, sf):
-    return op.tagged(table(spark, sf, "documents"), "doc_id", min_length=200).select("doc_id", "reason")
+    return op.tagged(texts(spark, sf, "documents", "doc_id"), "doc_id", min_length=200).select("doc_id", "reason")
 
 
 @query(
@@ -217,12 +217,12 @@ def preprocess_tags(spark, sf):
     count(*) FILTER (reason = 'duplicate') AS duplicates, count(*) FILTER (reason = 'valid') AS valid FROM tags"""
 )
 def preprocess_counts(spark, sf):
-    return op.preprocess_counts(table(spark, sf, "documents"), min_length=200)
+    return op.preprocess_counts(texts(spark, sf, "documents", "doc_id"), min_length=200)
 
 
 @query("SELECT doc_id, lang, n_chars FROM documents WHERE lang = 'en'")
 def language_filter(spark, sf):
-    return op.in_language(table(spark, sf, "documents")).select("doc_id", "lang", "n_chars")
+    return op.in_language(texts(spark, sf, "documents", "doc_id")).select("doc_id", "lang", "n_chars")
 
 
 REASON_SQL = """CASE WHEN record_id IS NULL THEN 'missing record_id' WHEN length(text) < 1 THEN 'empty text'

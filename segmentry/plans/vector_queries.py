@@ -10,7 +10,7 @@ from segmentry.functions.matrix import dot
 from segmentry.functions.numeric import round_even
 from segmentry.operators import clustering, density, predict, search, vectors
 from segmentry.plans import review_segments
-from segmentry.plans.inputs import CURRENT_SQL, PREVIOUS_SQL, current_run, mean_sql, previous_run, reviews, table
+from segmentry.plans.inputs import CURRENT_SQL, PREVIOUS_SQL, current_run, mean_sql, previous_run, reviews, table, texts
 from segmentry.plans.registry import query
 from segmentry.plans.text_queries import WORDS, clean_sql
 from segmentry.session import scratch_path
@@ -166,7 +166,7 @@ def embed_hash(spark, sf):
 
     from segmentry.functions import text as tx
 
-    ready = table(spark, sf, "documents").select(
+    ready = texts(spark, sf, "documents", "doc_id").select(
         F.col("doc_id").cast("string").alias("record_id"), tx.clean_text(F.col("text")).alias("clean")
     )
     counted = vectors.term_vectors(ready, "clean").withColumn("tf", vector_to_array("tf"))
@@ -186,7 +186,7 @@ def embed_hash(spark, sf):
 def embed_idempotent(spark, sf):
     """Half of the documents are embedded, then all, then all again: one vector each, none left to do."""
     path = scratch_path(spark, "vectors")
-    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    docs = texts(spark, sf, "documents", "doc_id").select(F.col("doc_id").alias("id"), "text")
     for load in (docs.where("id % 2 = 0"), docs, docs):
         vectors.embed_new(spark, load, path)
     stored = tables.read_keyed(spark, path)
@@ -200,7 +200,7 @@ def embed_idempotent(spark, sf):
 
 def _language_centroids(spark, sf):
     """One centroid per language, numbered by name: a supervised stand-in for trained segments."""
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf, "documents", "doc_id")
     codes = F.when(F.col("lang") == "de", 0).when(F.col("lang") == "en", 1).when(F.col("lang") == "es", 2).otherwise(3)
     embedded = vectors.embed_reviews(docs, "doc_id")
     labelled = embedded.join(docs.select(F.col("doc_id").cast("string").alias("record_id"), codes.alias("segment_id")), "record_id")
@@ -210,7 +210,7 @@ def _language_centroids(spark, sf):
 @query()
 def predict_segment(spark, sf):
     """Every document assigned to the nearest of the language centroids."""
-    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    docs = texts(spark, sf, "documents", "doc_id").select(F.col("doc_id").alias("id"), "text")
     return predict.predict_segments(docs, _language_centroids(spark, sf)).select(
         "record_id", "segment_id", "segment_label", round_even(F.col("confidence"), 6).alias("confidence")
     )
@@ -219,7 +219,7 @@ def predict_segment(spark, sf):
 @query()
 def predict_raw(spark, sf):
     """The same without cleaning; segment ids only."""
-    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    docs = texts(spark, sf, "documents", "doc_id").select(F.col("doc_id").alias("id"), "text")
     return predict.predict_segments(docs, _language_centroids(spark, sf), clean=False).select("record_id", "segment_id")
 
 

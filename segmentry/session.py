@@ -59,3 +59,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over at least as many tasks as there are cores, for work that is heavy per row.
+
+    A table of few files or very large row groups would otherwise leave most cores idle. Tables with
+    enough splits pass unchanged; the count comes from the scan's plan, nothing is read.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= 4 * wanted else df.repartition(wanted, key)
