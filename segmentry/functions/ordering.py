@@ -21,7 +21,8 @@ CUT_ERROR = 0.001
 def _with_bin(df: DataFrame, order: str, bins: int) -> DataFrame:
     """Adds ``_bin``, non-decreasing in ``order``. Which cut points are used cannot change results."""
     numeric = df.withColumn("_order", F.col(order).cast("double"))
-    cuts = sorted(set(numeric.approxQuantile("_order", [i / bins for i in range(1, bins)], CUT_ERROR)))
+    shares = [i / bins for i in range(1, bins)]
+    cuts = sorted(set(numeric.approxQuantile("_order", shares, CUT_ERROR))) if shares else []
     if not cuts:
         return numeric.withColumn("_bin", F.lit(0.0)).drop("_order")
     splits = [float("-inf"), *cuts, float("inf")]

@@ -51,7 +51,7 @@ def _final(partial: DataFrame, k: int) -> DataFrame:
 def _search_few_queries(queries: list, store: DataFrame, k: int) -> DataFrame:
     spark = store.sparkSession
     ids = np.array([r[0] for r in queries], dtype=object)
-    matrix = np.array([r[1] for r in queries], dtype=np.float64).reshape(len(queries), -1)
+    matrix = np.array([r[1] for r in queries], dtype=np.float64)
     shared = spark.sparkContext.broadcast((ids, matrix))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,6 +126,8 @@ def exact_top_k(
     q = _as_side(queries, query_id, vector, "query_id")
     s = _as_side(store, record_id, vector, "record_id")
     few = bounded_rows(q, limit_bytes)
+    if few == []:
+        return _final(q.sparkSession.createDataFrame([], RESULT), k)
     if few is not None:
         return _final(_search_few_queries(few, s, k), k)
     small = bounded_rows(s, limit_bytes)

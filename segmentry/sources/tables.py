@@ -47,8 +47,9 @@ def _hadoop_path(spark: SparkSession, path: str):
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table has committed files; what an aborted first write left behind does not count."""
     fs, p = _hadoop_path(spark, path)
-    return fs.exists(p)
+    return fs.exists(p) and any(s.getPath().getName()[0] not in "._" for s in fs.listStatus(p))
 
 
 def _columns(df: DataFrame, ignore: tuple[str, ...] = ()) -> dict[str, str]:
