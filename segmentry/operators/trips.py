@@ -82,11 +82,11 @@ def clean_trips(trips: DataFrame) -> DataFrame:
 def trip_mart(clean: DataFrame) -> DataFrame:
     """The mart layer: one row per pickup month and pickup location.
 
-    Aggregated on the map side first, so a location with most of the trips adds one row per task.
+    Aggregated on the map side first, so a location with most of the trips adds one row per task. Months
+    are grouped as dates and spelled out once per group.
     """
-    return clean.groupBy(
-        F.date_format(PICKUP, "yyyy-MM").alias("pickup_month"), F.col("PULocationID")
-    ).agg(
+    month = F.trunc(F.col(PICKUP).cast("date"), "MM")
+    grouped = clean.groupBy(month.alias("_month"), "PULocationID").agg(
         F.count(F.lit(1)).alias("trips"),
         F.avg("fare_amount").alias("avg_fare"),
         F.avg("speed_mph").alias("avg_speed_mph"),
@@ -94,3 +94,4 @@ def trip_mart(clean: DataFrame) -> DataFrame:
         F.avg("is_airport_trip").alias("airport_share"),
         F.avg("is_rush_hour").alias("rush_share"),
     )
+    return grouped.select(F.date_format("_month", "yyyy-MM").alias("pickup_month"), *grouped.columns[1:])

@@ -119,7 +119,7 @@ def brute(queries, store, k):
 
 
 # The three ways: few queries, small store, both sides in blocks.
-@pytest.mark.parametrize("limit, block", [(10**8, 10**8), (8 * 1024 * 200, 10**8), (1, 8 * 1024 * 13)])
+@pytest.mark.parametrize("limit, block", [(10**8, 10**8), (8 * 1024 * 201, 10**8), (1, 8 * 1024 * 60)])
 def test_exact_search(spark, unit_vectors, vectors, limit, block):
     rng = np.random.default_rng(3)
     wanted = np.concatenate([rng.normal(0, 1, (205, 16)), unit_vectors[:3]])
@@ -147,7 +147,7 @@ def test_search_with_hot_copies(spark, unit_vectors):
     rows = named(matrix[:40]) + [("r000", [float(x) for x in unit_vectors[0]])] * 20
     store = spark.createDataFrame(rows, "record_id string, embedding array<double>").repartition(4)
     queries = store.where("record_id = 'r000'").limit(1)
-    found = search.exact_top_k(queries, store, "record_id", "record_id", k=25, limit_bytes=1, block_bytes=8 * 1024 * 7)
+    found = search.exact_top_k(queries, store, "record_id", "record_id", k=25, limit_bytes=1, block_bytes=8 * 1024 * 20)
     assert sum(r["record_id"] == "r000" for r in found.collect()) == 21
 
 
