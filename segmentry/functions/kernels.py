@@ -1,11 +1,19 @@
-"""Small numpy helpers that run inside Arrow tasks. Imports nothing heavy: every Python worker loads this."""
+"""Small numpy helpers that run inside Arrow tasks.
+
+They travel to the Python workers inside the pickled function that uses them, so the package need not
+be installed on the executors.
+"""
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Scores are compared at this many places, so that the order of additions cannot decide a tie.
 SCORE_PLACES = 9
