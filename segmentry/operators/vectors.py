@@ -95,8 +95,8 @@ def not_embedded(reviews: DataFrame, vectors: DataFrame, record_id: str = "id",
     """Reviews without a vector of this model version. The vector table itself is the ledger."""
     done = vectors.where(
         (F.col("model_name") == model[0]) & (F.col("model_version") == model[1])
-    ).select(F.col("record_id").alias("_done"))
-    return reviews.join(done, F.col(record_id).cast("string") == F.col("_done"), "left_anti")
+    ).select(F.col("record_id").cast(reviews.schema[record_id].dataType).alias(record_id))
+    return reviews.join(done, record_id, "left_anti")
 
 
 def append_vectors(vectors: DataFrame, path: str, dim: int = fv.EMBEDDING_DIM) -> None:
@@ -121,12 +121,15 @@ def embed_new(
     path: str,
     record_id: str = "id",
     model: tuple[str, str] = HASH_MODEL,
+    text: str = "text",
     **options,
 ) -> None:
-    """Embeds only what the table lacks, so a repeated or resumed run does no work twice."""
+    """Embeds only what the table lacks, so a repeated or resumed run does no work twice.
+
+    Known and repeated records are removed before the encoder runs: both steps shuffle by record, and
+    no vector is made that would not be stored. Vectors of several model versions live side by side.
+    """
     if tables.exists(spark, path):
         reviews = not_embedded(reviews, tables.read_keyed(spark, path), record_id, model)
-    # The version is part of the key: vectors of several model versions live side by side.
-    vectors = embed_reviews(reviews, record_id, model=model, **options)
-    keyed = vectors.withColumn("vector_key", F.concat_ws("|", "record_id", "model_name", "model_version"))
-    tables.insert_if_absent(keyed, path, "vector_key", "created_at")
+    once = tables.first_per_key(reviews, record_id, text)
+    tables.append_keyed(embed_reviews(once, record_id, text, model, **options), path, "record_id")

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmentry.session import spread
+from segmentry.session import size_shuffles, spread
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -17,7 +17,9 @@ TABLES = [
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    path = f"{sf}/{name}.parquet"
+    size_shuffles(spark, path)
+    return spark.read.parquet(path)
 
 
 def texts(spark: SparkSession, sf: str, name: str, key: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from segmentry import fixed_values as fv
 from segmentry.operators import clustering, density, reviews, segments, vectors
 from segmentry.operators.clustering import Clustering
+from segmentry.session import size_shuffles
 from segmentry.sources import tables
 from segmentry.sources.reviews import normalize
 
@@ -61,6 +62,7 @@ def run(
     run_id = run_id or uuid.uuid4().hex
     # Cleaned once, kept as a table: embedding and assignment both read it.
     valid_reviews(raw).write.mode("overwrite").parquet(f"{base}/reviews/run_id={run_id}")
+    size_shuffles(spark, f"{base}/reviews/run_id={run_id}")
     ready = spark.read.parquet(f"{base}/reviews/run_id={run_id}")
     vectors_path, assignments_path = f"{base}/embeddings", f"{base}/segment_assignments"
     # The text is clean already, so the embedding step does not clean it a second time.

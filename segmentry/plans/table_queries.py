@@ -13,23 +13,22 @@ from segmentry.sources import tables
 from segmentry.sources import trips as src
 
 
-def _customers(spark, sf):
-    return table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+def _customers(spark, sf, condition="true"):
+    return table(spark, sf, "customer").where(condition).select("c_custkey", "c_name", "c_acctbal")
 
 
 @query(
-    """SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 3 <> 0
-    UNION ALL SELECT c_custkey, c_name, c_acctbal + 1 FROM customer WHERE c_custkey % 3 = 0
-    UNION ALL SELECT c_custkey, c_name, c_acctbal + 2 FROM customer WHERE c_custkey % 3 = 0"""
+    """SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_mktsegment <> 'BUILDING'
+    UNION ALL SELECT c_custkey, c_name, c_acctbal + 1 FROM customer WHERE c_mktsegment = 'BUILDING'
+    UNION ALL SELECT c_custkey, c_name, c_acctbal + 2 FROM customer WHERE c_mktsegment = 'BUILDING'"""
 )
 def keyed_replace(spark, sf):
-    """Every third customer is replaced by two corrected rows; the load is run twice."""
+    """Every customer of one market segment is replaced by two corrected rows; the load is run twice."""
     path = scratch_path(spark, "keyed")
-    customers = _customers(spark, sf)
-    tables.replace_by_key(customers, path, "c_custkey")
-    third = customers.where("c_custkey % 3 = 0")
-    load = third.withColumn("c_acctbal", F.col("c_acctbal") + 1).unionByName(
-        third.withColumn("c_acctbal", F.col("c_acctbal") + 2)
+    tables.replace_by_key(_customers(spark, sf), path, "c_custkey")
+    building = _customers(spark, sf, "c_mktsegment = 'BUILDING'")
+    load = building.withColumn("c_acctbal", F.col("c_acctbal") + 1).unionByName(
+        building.withColumn("c_acctbal", F.col("c_acctbal") + 2)
     )
     for _ in range(2):
         tables.replace_by_key(load, path, "c_custkey")
@@ -211,16 +210,16 @@ def dimension_check(spark, sf):
     return quality.check_dimension(table(spark, sf, "embeddings").withColumn("embedding", cut), 64)
 
 
-@query("SELECT doc_id, quality AS segment_id FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 7 <> 0)")
+@query("SELECT doc_id, quality AS segment_id FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE lang <> 'fr')")
 def orphan_check(spark, sf):
     children = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("segment_id"))
-    return quality.orphans(children, table(spark, sf, "documents").where("doc_id % 7 <> 0"), "doc_id")
+    return quality.orphans(children, table(spark, sf, "documents").where("lang <> 'fr'"), "doc_id")
 
 
-@query("SELECT doc_id, quality AS segment_id FROM labels WHERE doc_id IN (SELECT doc_id FROM documents WHERE doc_id % 7 <> 0)")
+@query("SELECT doc_id, quality AS segment_id FROM labels WHERE doc_id IN (SELECT doc_id FROM documents WHERE lang <> 'fr')")
 def orphan_cascade(spark, sf):
     children = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("segment_id"))
-    return quality.cascade(children, table(spark, sf, "documents").where("doc_id % 7 <> 0"), "doc_id")
+    return quality.cascade(children, table(spark, sf, "documents").where("lang <> 'fr'"), "doc_id")
 
 
 @query(

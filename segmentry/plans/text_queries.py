@@ -37,7 +37,7 @@ STRIP_CHARS = "||".join(f"chr({ord(c)})" for c in tx.SPACE_CHARS)
 # Source-style raw reviews: other column names, ids and ratings missing or broken in some rows.
 RAW_SQL = """raw AS (
   SELECT CASE WHEN doc_id % 17 = 0 THEN NULL WHEN doc_id % 19 = 0 THEN '' ELSE concat('R', doc_id) END AS review_id,
-    CASE WHEN doc_id % 23 = 0 THEN substr(text, 1, 12) ELSE concat('  ', text, chr(160), ' ') END AS review_body,
+    CASE WHEN doc_id % 23 = 0 THEN 'Too short.' ELSE concat('  ', text, chr(160), ' ') END AS review_body,
     CASE WHEN doc_id % 13 = 0 THEN NULL WHEN doc_id % 29 = 0 THEN 'x' WHEN doc_id % 31 = 0 THEN '4.7' ELSE CAST(1 + doc_id % 5 AS VARCHAR) END AS star_rating,
     CAST(doc_id % 200 AS VARCHAR) AS product_id, CAST(doc_id % 500 AS VARCHAR) AS customer_id, '2015-08-31' AS review_date
   FROM documents)"""
@@ -47,7 +47,7 @@ def raw_reviews(spark, sf):
     doc = F.col("doc_id")
     return texts(spark, sf, "documents", "doc_id").select(
         F.when(doc % 17 == 0, None).when(doc % 19 == 0, "").otherwise(F.concat(F.lit("R"), doc)).alias("review_id"),
-        F.when(doc % 23 == 0, F.substring("text", 1, 12))
+        F.when(doc % 23 == 0, "Too short.")
         .otherwise(F.concat(F.lit("  "), "text", F.lit("\xa0 ")))
         .alias("review_body"),
         F.when(doc % 13 == 0, None)
@@ -107,12 +107,12 @@ def batched_read(spark, sf):
 
 
 @query(
-    """SELECT DISTINCT url AS path FROM pages WHERE url NOT IN (SELECT url FROM pages WHERE page_id % 3 = 0)"""
+    """SELECT DISTINCT url AS path FROM pages WHERE url NOT IN (SELECT url FROM pages WHERE contains(html, 'lang="de"'))"""
 )
 def unseen_paths(spark, sf):
-    """Page addresses as input paths; every third page was recorded by an earlier run."""
-    pages = table(spark, sf, "pages").select("page_id", F.col("url").alias("path"))
-    return src.unseen_paths(pages, pages.where("page_id % 3 = 0"))
+    """Page addresses as input paths; the German pages were recorded by an earlier run."""
+    pages = table(spark, sf, "pages").select("html", F.col("url").alias("path"))
+    return src.unseen_paths(pages, pages.where(F.contains("html", F.lit('lang="de"'))))
 
 
 WORDS = "[\\p{L}\\p{N}_]+"

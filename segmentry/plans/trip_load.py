@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from segmentry import fixed_values as fv
 from segmentry.operators import quality, runs, trips
+from segmentry.session import size_shuffles
 from segmentry.sources import tables
 from segmentry.sources import trips as src
 
@@ -61,7 +62,9 @@ def load_month(
     if rows < min_rows:
         raise CheckFailed(f"{rows} rows before the load, expected at least {min_rows}")
 
-    landed = spark.read.parquet(src.land_month(raw, layout.landing, month))
+    path = src.land_month(raw, layout.landing, month)
+    size_shuffles(spark, path)
+    landed = spark.read.parquet(path)
     tables.replace_month(landed, layout.staging, month)
     staged = spark.read.parquet(layout.staging).where(F.col("load_month") == month).drop("load_month")
 

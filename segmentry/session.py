@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -15,8 +16,14 @@ RUNTIME_CONF = {
     # Split hot join keys even when that costs one more exchange afterwards.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Checkpoints are dropped when the tables that read them are gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
+# Text and vector columns grow when they are unpacked for a shuffle.
+UNPACKED_FACTOR = 4
+BYTES_PER_TASK = 128 * 1024 * 1024
+
 
 def build_session(app_name: str = "segmentry", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings above; ``conf`` keys use ``__`` in place of dots."""
@@ -61,6 +68,24 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def size_shuffles(spark: SparkSession, *paths: str) -> int:
+    """Raises the number of shuffle partitions to suit the stored size of the inputs; never lowers it.
+
+    Adaptive execution merges partitions that turn out small but cannot split all of them, so the
+    starting number has to grow with the data. Only file lengths are read.
+    """
+    jvm_path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    stored = 0
+    for path in map(jvm_path, paths):
+        fs = path.getFileSystem(conf)
+        stored += fs.getContentSummary(path).getLength() if fs.exists(path) else 0
+    wanted = math.ceil(stored * UNPACKED_FACTOR / BYTES_PER_TASK)
+    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > now:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return max(wanted, now)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Rows over at least as many tasks as there are cores, for work that is heavy per row.
 

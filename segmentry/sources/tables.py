@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import StructType
 
 from segmentry.sources.trips import in_month, month_of, spread_by_partition
 
@@ -97,6 +98,17 @@ def read_keyed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(BUCKET)
 
 
+def append_keyed(df: DataFrame, path: str, key: str, buckets: int = DEFAULT_BUCKETS) -> None:
+    """Adds rows to a keyed table without looking at the stored ones."""
+    new = df.withColumn(BUCKET, _bucket(key, buckets))
+    spread_by_partition(new, [BUCKET]).write.mode("append").partitionBy(BUCKET).parquet(path)
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A table that may not have been written yet."""
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+
+
 def replace_by_key(df: DataFrame, path: str, key: str, buckets: int = DEFAULT_BUCKETS) -> None:
     """Deletes stored rows whose key occurs in ``df`` and stores every row of ``df``.
 
