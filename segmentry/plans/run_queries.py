@@ -69,13 +69,13 @@ def stalled_runs(spark, sf):
 @query(
     f"""WITH {RUN_LOG_SQL}, m AS (SELECT DISTINCT target_month FROM run_log)
     SELECT target_month FROM m WHERE CAST(target_month || '-01' AS DATE) + INTERVAL 1 MONTH + INTERVAL 2 DAY <= TIMESTAMP '2001-08-01'
-      AND target_month NOT IN (SELECT target_month FROM run_log WHERE status = 'success' AND dag_id = '1-URGENT')"""
+      AND target_month NOT IN (SELECT target_month FROM run_log WHERE status = 'success' AND dag_id = '1-URGENT' AND row_count >= 1400)"""
 )
 def overdue_months(spark, sf):
-    """Months of the whole log in which the urgent pipeline had no successful run in time."""
+    """Months of the whole log without a successful urgent run that loaded enough rows."""
     log = run_log(spark, sf)
     now = F.lit("2001-08-01 00:00:00").cast("timestamp_ntz")
-    return runs.overdue_months(log.where("dag_id = '1-URGENT'"), log.select("target_month").distinct(), now)
+    return runs.overdue_months(log.where("dag_id = '1-URGENT' AND row_count >= 1400"), log.select("target_month").distinct(), now)
 
 
 @query(f"WITH {RUN_LOG_SQL} SELECT dag_id, CAST(count(*) AS BIGINT) AS row_count, 'success' AS status FROM run_log GROUP BY 1")

@@ -40,13 +40,14 @@ def l2_normalize(spark, sf):
     return rounded_elements(vectors.l2_normalize(_scaled(spark, sf), element="float64"), "embedding", ["vec_id"])
 
 
-@query(
-    f"""WITH {CURRENT_SQL}, {mean_sql('cur', 'c')},
+TOP_SQL = f"""WITH {CURRENT_SQL}, {mean_sql('cur', 'c')},
     scored AS (SELECT segment_id, record_id, round_even(list_inner_product(embedding, centroid) * 1e9, 0) / 1e9 AS score
       FROM c, (SELECT record_id, embedding FROM cur)),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY segment_id ORDER BY score DESC, record_id) AS rank FROM scored)
     SELECT segment_id, CAST(rank AS INT) AS rank, record_id, round_even(score * 1e6, 0) / 1e6 AS score FROM ranked WHERE rank <= 10"""
-)
+
+
+@query(TOP_SQL)
 def vector_topk(spark, sf):
     """The ten records closest to each segment's centre, over the whole store."""
     run = current_run(spark, sf)
@@ -263,15 +264,26 @@ def holdout_eval(spark, sf):
     return clustering.holdout_evaluation(table(spark, sf, "embeddings"))
 
 
+def _search_cells(spark, sf, probes):
+    path = scratch_path(spark, "cells")
+    centers = search.build_cells(_stored(spark, sf), path)
+    queries = clustering.centroids(current_run(spark, sf)).select("segment_id", F.col("centroid").alias("embedding"))
+    found = search.approximate_top_k(queries, spark.read.parquet(path), centers, "segment_id", "record_id", probes=probes)
+    return found.select(
+        F.col("query_id").cast("int").alias("segment_id"), "rank", "record_id", round_even(F.col("score"), 6).alias("score")
+    )
+
+
 @query()
 def ann_topk(spark, sf):
     """Ten nearest records of each segment centre, from the ten closest of a hundred cells."""
-    path = scratch_path(spark, "cells")
-    store = _stored(spark, sf)
-    centers = search.build_cells(store, path)
-    run = current_run(spark, sf)
-    queries = clustering.centroids(run).select("segment_id", F.col("centroid").alias("embedding"))
-    return search.approximate_top_k(queries, spark.read.parquet(path), centers, "segment_id", "record_id")
+    return _search_cells(spark, sf, 10)
+
+
+@query(TOP_SQL)
+def ann_all_cells(spark, sf):
+    """The same search over all cells, which makes it exact."""
+    return _search_cells(spark, sf, 100)
 
 
 @query()
