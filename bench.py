@@ -21,7 +21,7 @@ HEADLINE = [
     "review_normalize", "review_features", "text_clean", "text_dedup", "preprocess_tags",
     "keyed_replace", "insert_if_absent", "copy_parquet", "dq_expectations", "null_rates", "orphan_check",
     "l2_normalize", "vector_topk", "nearest_centroid", "centroids", "silhouette_cosine", "davies_bouldin",
-    "embed_hash", "predict_segment", "kmeans_summary", "density_segments", "ann_topk", "train_run",
+    "embed_hash", "predict_segment", "train_run", "kmeans_summary", "density_segments", "ann_topk",
     "segment_lookup", "enrich_assignments", "segment_breakdown", "segment_summary", "segment_profile",
     "drift_verdict", "stats_report", "column_drift", "column_quality",
     "batch_fingerprint", "error_rate_windows", "latency_p99_windows", "stream_dedup", "stream_alerts",
