@@ -157,7 +157,7 @@ def stream_dedup(spark, sf):
         "doc_id", "text", F.timestamp_seconds(F.pmod("doc_id", F.lit(3600)) + 1704067200).alias("ts")
     )
     docs.write.parquet(f"{base}/in")
-    source = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/in")
+    source = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 4).parquet(f"{base}/in")
     unique = stream.clean_and_deduplicate(source, "ts", delay="2 hours").select("fingerprint")
     writer = unique.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state")
     writer.trigger(availableNow=True).start().awaitTermination()
