@@ -322,3 +322,12 @@ def test_prediction(spark):
     assert (got["2"]["segment_id"], got["2"]["segment_label"]) == (9, "segment_9")
     assert got["3"]["confidence"] == 0.5
     assert all(0 <= r["confidence"] <= 1 for r in got.values())
+
+
+def test_nothing_to_order_and_nothing_dense(spark, vectors):
+    empty = spark.createDataFrame([], "g string, v double")
+    assert exact_quantiles(empty, "v", {"p": 0.5}, by=["g"]).count() == 0
+    assert global_row_number(empty, "v", "rn").count() == 0
+    noise = density.density_segments(vectors, "record_id", 1e-6, 10, 20)
+    assert {tuple(r) for r in noise.groupBy("segment_id").count().collect()} == {(-1, 200)}
+    assert density.density_segments(vectors.limit(0), "record_id", 0.1).count() == 0
