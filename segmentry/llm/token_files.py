@@ -14,6 +14,7 @@ come first; repeated rows are written as often as they occur; other columns are
 from __future__ import annotations
 
 import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -30,7 +31,8 @@ COUNTS = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 BITS = np.array([0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.int64)
 IDS_PER_BLOCK = 1 << 16
 IDS_PER_OFFSET = 4096
-PIECES_KEPT = 200_000
+# A worker process remembers the ids of so many pieces, over all tasks that it runs (about 150 MB).
+PIECES_KEPT = 600_000
 PIECE_CHARS_KEPT = 64
 
 BLOCK_SCHEMA = (
@@ -117,11 +119,19 @@ class PieceIds(dict):
         return np.frombuffer(b"".join(map(self.__getitem__, pieces)) + end, "<u4")
 
 
+def piece_ids(tokenizer_path: str) -> PieceIds:
+    """The worker's own memory for a tokenizer; a module of that name keeps it from task to task."""
+    from tokenizers import Tokenizer
+
+    kept = vars(sys.modules.setdefault("_segmentry_worker", types.ModuleType("_segmentry_worker")))
+    if tokenizer_path not in kept:
+        kept[tokenizer_path] = PieceIds(Tokenizer.from_file(tokenizer_path))
+    return kept[tokenizer_path]
+
+
 def _blocks(tokenizer_path: str, end_id: int, ids_per_block: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        pieces = PieceIds(Tokenizer.from_file(tokenizer_path))
+        pieces = piece_ids(tokenizer_path)
         end = np.array([end_id], "<u4").tobytes()
         part, block = TaskContext.get().partitionId(), 0
         names, counts, ids, held = [], [], [], 0
