@@ -31,9 +31,13 @@ COUNTS = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 BITS = np.array([0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.int64)
 IDS_PER_BLOCK = 1 << 16
 IDS_PER_OFFSET = 4096
-# A worker process remembers the ids of so many pieces, over all tasks that it runs (about 150 MB).
-PIECES_KEPT = 600_000
+# A worker process remembers the ids of so many pieces and of so many words, over all tasks that it runs
+# (together about 200 MB).
+PIECES_KEPT = 300_000
+WORDS_KEPT = 600_000
 PIECE_CHARS_KEPT = 64
+# Apostrophes are left out: some tokenizers join them with the letters around them.
+PUNCTUATION = "!\"#$%&()*+,-./:;=?@[]^_`{}~"
 
 BLOCK_SCHEMA = (
     "part int, block int, doc_ids array<bigint>, n_tokens array<bigint>, n_ids bigint, words binary,"
@@ -98,16 +102,55 @@ def unpack(words: np.ndarray, escapes: np.ndarray) -> np.ndarray:
 class PieceIds(dict):
     """The ids of each piece of text between blanks and line ends, as little-endian 32-bit integers.
 
-    Words never span white space in a tokenizer that drops it, so a text's ids are those of its pieces.
+    Words never span white space in a tokenizer that drops it, so a text's ids are those of its pieces. For
+    tokenizers that lower-case, cut between letters and other characters and write bytes as characters, a
+    piece of Latin letters with ASCII punctuation behind it has the ids of the lower-case word and of the
+    punctuation; the word goes straight to the BPE model. Every other piece is encoded as it is.
     """
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.words: dict[str, bytes] = {}
+        self.letters = self._letters()
+
+    def _letters(self) -> dict[int, str] | None:
+        """What the model sees for each Latin letter; None if the tokenizer does not work as above."""
+        table = {}
+        try:
+            for c in map(chr, range(0x250)):
+                if c.isalpha():
+                    lower = self.tokenizer.normalizer.normalize_str(c)
+                    cut = self.tokenizer.pre_tokenizer.pre_tokenize_str(lower)
+                    if len(lower) == 1 and len(cut) == 1:
+                        table[ord(c)] = cut[0][0]
+            pairs = [("aZ", "az"), ("éÄ", "éä")]
+            normal = all(self.tokenizer.normalizer.normalize_str(a) == b for a, b in pairs)
+            cut = [x for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str("ab,.b!")]
+        except (AttributeError, ValueError):
+            return None
+        return table if normal and cut == ["ab", ",.", "b", "!"] else None
+
+    def _encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _word(self, word: str) -> bytes:
+        seen = word.translate(self.letters)
+        value = self.words.get(seen)
+        if value is None:
+            value = np.array([t.id for t in self.model.tokenize(seen)], "<u4").tobytes()
+            if len(word) <= PIECE_CHARS_KEPT:
+                if len(self.words) >= WORDS_KEPT:
+                    self.words.clear()
+                self.words[seen] = value
+        return value
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        value = np.array(ids, "<u4").tobytes()
+        word = piece.rstrip(PUNCTUATION)
+        if self.letters and word and self.letters.keys() >= set(map(ord, word)):
+            value = self._word(word) + (self[piece[len(word) :]] if len(word) < len(piece) else b"")
+        else:
+            value = self._encode(piece)
         if len(piece) <= PIECE_CHARS_KEPT:
             if len(self) >= PIECES_KEPT:
                 self.clear()
