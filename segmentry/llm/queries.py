@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmentry.llm import language, mixing, token_files
+from segmentry.llm import language, mixing, near_dups, token_files
 from segmentry.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,31 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+OP1_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) = 1 THEN [words[1]]
+    ELSE list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) END AS sh
+  FROM w),
+sized AS (SELECT doc_id, CAST(len(sh) AS BIGINT) AS n, sh FROM s),
+e AS (SELECT doc_id, n, unnest(sh) AS g FROM sized),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id AND a.n * 5 >= b.n * 4 AND b.n * 5 >= a.n * 4
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+least AS (SELECT x, min(y) AS m FROM reach GROUP BY x)
+SELECT doc_id, n AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id, doc_id = least(doc_id, coalesce(m, doc_id)) AS kept
+FROM sized LEFT JOIN least ON x = doc_id"""
+
+
+@query(OP1_SQL)
+def op1_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    found = near_dups.near_duplicates(documents(spark, sf), shingle_words=2, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query()
 def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
