@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmentry.llm import language, mixing, near_dups, token_files
+from segmentry.llm import language, mixing, near_dups, substrings, token_files
 from segmentry.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,27 @@ def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language.predict(held, model, keep=("doc_id", "held_out"))
 
 
+OP7_SQL = """
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM documents),
+g AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS gram FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM w)),
+f AS (SELECT gram, min(doc_id) AS first_doc FROM g GROUP BY gram),
+gone AS (
+  SELECT DISTINCT doc_id, i + j AS pos FROM g JOIN f USING (gram), range(13) r(j) WHERE first_doc < doc_id),
+gone_list AS (SELECT doc_id, list(pos) AS places FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, words, CASE WHEN places IS NULL THEN words ELSE list_filter(words, lambda x, i: NOT list_contains(places, i)) END AS kept
+  FROM w LEFT JOIN gone_list USING (doc_id))
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - len(kept) AS BIGINT) AS n_removed,
+  sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM kept"""
+
+
+@query(OP7_SQL)
+def op7_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
+    return substrings.remove_repeats(documents(spark, sf), with_text=False).drop("kept_text")
+
+
 @query()
 def op8_token_files(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
