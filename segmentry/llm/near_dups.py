@@ -7,9 +7,10 @@ stands first in an order of its own. Bands of registers are hashed; classes with
 
 Candidates are compared without making all pairs of a bucket:
 1. every class is compared with the smallest class of each of its buckets;
-2. what is confirmed is joined to components, and only classes that share a bucket but not a component are
-   compared with each other. A bucket of a thousand copies is one component by then and gives no pair.
-So every pair that a band finds is either compared or known to be connected.
+2. what is confirmed is joined to components. Classes of buckets that then still hold several components are
+   joined by their rarest shingles, as many as a similar pair must share (``_pairs_across``), and pairs in
+   different components are compared. A bucket of a thousand copies is one component by then.
+So every similar pair that a band finds is either compared or known to be connected.
 
 A comparison first estimates the similarity from the sketches, corrected for registers that agree by chance,
 and drops pairs that are far below; the rest is confirmed on the full sets of shingles of the whole texts.
@@ -165,28 +166,74 @@ def _confirmed(size: int, percent: int):
     return run
 
 
-def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs of classes (_a, _b) whose full sets are similar."""
-    facts = classes.select("_node", "_n", "_regs")
-    side = lambda c: facts.select(F.col("_node").alias(f"_{c}"), F.col("_n").alias(f"_n_{c}"), F.col("_regs").alias(f"_regs_{c}"))
-    known = pairs.join(side("b"), "_b").join(side("a"), "_a")
-    likely = checkpointed(
-        known.select("_a", "_b", "_n_a", "_n_b", "_regs_a", "_regs_b").mapInArrow(
-            _likely(percent / 100 - MARGIN), "_a binary, _b binary"
-        )
-    )
-    if likely.isEmpty():
-        return likely
-    needed = likely.select(F.col("_a").alias("_node")).unionByName(likely.select(F.col("_b").alias("_node"))).distinct()
-    # The text of one document of each class; its id and the hash of its text lead to it.
-    places = classes.join(needed, "_node").select("_node", F.col("_first.id").alias("_id"), F.col("_first.hash").alias("_hash"))
+def _texts(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``_node`` and the whole text of one document of each class; its id and text hash lead to it."""
+    places = classes.join(nodes, "_node").select("_node", F.col("_first.id").alias("_id"), F.col("_first.hash").alias("_hash"))
     same = docs["_id"].eqNullSafe(places["_id"]) & (docs["_hash"] == places["_hash"])
-    texts = checkpointed(docs.join(places, same).select("_node", "_text").dropDuplicates(["_node"]))
+    return checkpointed(docs.join(places, same).select("_node", "_text").dropDuplicates(["_node"]))
+
+
+def _likely_pairs(pairs: DataFrame, classes: DataFrame, limit: float) -> DataFrame:
+    """The pairs (_a, _b) whose sketches do not rule them out."""
+    side = lambda c: classes.select(*(F.col(f"_{x}").alias(f"_{c}" if x == "node" else f"_{x}_{c}") for x in ("node", "n", "regs")))
+    known = pairs.join(side("b"), "_b").join(side("a"), "_a")
+    known = known.select("_a", "_b", "_n_a", "_n_b", "_regs_a", "_regs_b")
+    return known.mapInArrow(_likely(limit), "_a binary, _b binary")
+
+
+def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (_a, _b) whose full sets are similar."""
     side = lambda c: texts.select(F.col("_node").alias(f"_{c}"), F.col("_text").alias(f"_text_{c}"))
-    both = likely.join(side("b"), "_b").join(side("a"), "_a")
+    both = pairs.join(side("b"), "_b").join(side("a"), "_a")
     return both.select("_a", "_b", "_text_a", "_text_b").mapInArrow(_confirmed(size, percent), "_a binary, _b binary")
 
 
+def _nodes(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("_a").alias("_node")).unionByName(pairs.select(F.col("_b").alias("_node"))).distinct()
+
+
+def _shingles(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory = WordHashes()
+        for batch in batches:
+            for i, text in enumerate(batch.column("_text")):
+                found = shingle_hashes(words_of(text.as_py(), lower=True), size, memory)
+                many = pa.array(np.full(len(found), i))
+                same = pa.array(np.full(len(found), len(found), np.int64))
+                columns = [batch.column("_node").take(many), batch.column("_root").take(many), same, pa.array(found.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["_node", "_root", "_n", "_g"])
+
+    return run
+
+
+def _pairs_across(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """All pairs (_a, _b) of ``members`` in different components that can be similar.
+
+    Shingles are put in one order, rarest among the members first. Sets of n and m shingles that are similar
+    share at least t = percent * (n + m) / (100 + percent), so their first n - t + 1 and m - t + 1 in that
+    order meet. A copy that differs from all others in too many words starts with shingles of its own and
+    meets nobody, which is what keeps large groups of copies from being compared pair by pair.
+    """
+    rows = members.join(texts, "_node").select("_node", "_root", "_text")
+    shingles = rows.mapInArrow(_shingles(size), "_node binary, _root binary, _n bigint, _g bigint")
+    often = shingles.groupBy("_g").agg(F.count(F.lit(1)).alias("_df")).where("_df > 1")
+    ranked = shingles.join(often, "_g", "left").withColumn(
+        "_rank", F.row_number().over(Window.partitionBy("_node").orderBy(F.coalesce("_df", F.lit(1)), "_g"))
+    )
+    # A shingle of one member takes its place in the order but meets nobody.
+    first = ranked.where((100 * F.col("_rank") <= (100 - percent) * F.col("_n") + 100) & F.col("_df").isNotNull())
+    first = checkpointed(first.select("_g", "_node", "_root", "_n", "_rank"))
+    side = lambda c: first.select("_g", *(F.col(f"_{x}").alias(f"_{x}_{c}") for x in ("node", "root", "n", "rank")))
+    a, b = side("a"), side("b")
+    common = F.ceil(F.lit(percent) * (a["_n_a"] + b["_n_b"]) / F.lit(100 + percent))
+    meet = (
+        (a["_g"] == b["_g"]) & (a["_root_a"] < b["_root_b"])
+        & (F.col("_rank_a") <= F.col("_n_a") - common + 1) & (F.col("_rank_b") <= F.col("_n_b") - common + 1)
+        & (100 * F.least("_n_a", "_n_b") >= percent * F.greatest("_n_a", "_n_b"))
+    )
+    return a.join(b, meet).select(F.col("_node_a").alias("_a"), F.col("_node_b").alias("_b")).distinct()
+
+
 def _components(links: DataFrame) -> DataFrame:
     """``_node`` and ``_root`` for the classes with a link."""
     found = connected_components(links, "_a", "_b")
@@ -216,19 +263,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = banded.groupBy("_key").agg(F.min("_node").alias("_hub"), F.count(F.lit(1)).alias("_c")).where("_c > 1")
     stars = checkpointed(banded.join(shared.select("_key", "_hub", "_c"), "_key"))
     spokes = stars.where("_node != _hub").select(F.col("_hub").alias("_a"), F.col("_node").alias("_b")).distinct()
-    links = checkpointed(_links(spokes, classes, docs, shingle_words, percent))
+    likely = checkpointed(_likely_pairs(spokes, classes, percent / 100 - MARGIN))
+    texts = _texts(_nodes(likely), classes, docs)
+    links = checkpointed(_confirm(likely, texts, shingle_words, percent))
     roots = checkpointed(_components(links))
 
     # Buckets of three or more that hold several components; the smallest class was compared with all.
     open_ = stars.where("_c > 2").join(roots, "_node", "left").withColumn("_root", F.coalesce("_root", "_node"))
     several = open_.groupBy("_key").agg(F.min("_root").alias("_low"), F.max("_root").alias("_high")).where("_low != _high")
-    members = open_.where("_node != _hub").join(several.select("_key"), "_key").select("_key", "_node", "_root")
-    left = members.select("_key", F.col("_node").alias("_a"), F.col("_root").alias("_ra"))
-    right = members.select("_key", F.col("_node").alias("_b"), F.col("_root").alias("_rb"))
-    across = left.join(right, "_key").where("_ra < _rb").select("_a", "_b").distinct()
-    more = checkpointed(_links(across, classes, docs, shingle_words, percent))
-    if not more.isEmpty():
-        roots = checkpointed(_components(links.unionByName(more)))
+    members = checkpointed(open_.where("_node != _hub").join(several.select("_key"), "_key", "left_semi").select("_node", "_root").distinct())
+    if not members.isEmpty():
+        texts = _texts(members.select("_node"), classes, docs)
+        across = _pairs_across(members, texts, shingle_words, percent)
+        more = checkpointed(_confirm(across, texts, shingle_words, percent))
+        if not more.isEmpty():
+            roots = checkpointed(_components(links.unionByName(more)))
 
     known = classes.select("_node", "_first").join(roots, "_node", "left").withColumn("_root", F.coalesce("_root", "_node"))
     heads = known.groupBy("_root").agg(F.min("_first").alias("_head"))
