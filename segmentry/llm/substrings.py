@@ -7,7 +7,7 @@ Documents are dealt into chunks by a hash. In every chunk a sketch counts, in ``
 windows of its documents. Sketches are sent as blocks of cells; the task that owns a block adds the blocks of all
 chunks and answers each chunk with a bit per cell that it filled: whether the total is two or more. A total is
 never below a window's true count, so a window whose bit is clear in any row occurs in one document only. Only
-the windows that all rows call repeated are grouped exactly, by 128-bit hashes, as one row for each window
+the windows that all rows call repeated are grouped exactly, by 96-bit hashes, as one row for each window
 and chunk, which gives the smallest id of each. The chunks then cut their texts.
 
 The text is dealt to its chunks once: the three steps that read it share that exchange. The number of cells
@@ -36,9 +36,10 @@ from segmentry.llm.hashing import WordHashes, mixed, windows, words_of
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WINDOW_WORDS = 13
-DEPTH = 2
-CELLS_PER_WORD = 8
-BLOCK_CELLS = 1 << 22
+# One row of many cells errs as rarely as several rows of few, for fewer bytes sent.
+DEPTH = 1
+CELLS_PER_WORD = 64
+BLOCK_CELLS = 1 << 24
 CHUNK_CHARS = 8 << 20
 CHARS_PER_WORD = 5
 NO_ID = np.iinfo(np.int64).max
@@ -85,16 +86,20 @@ def _sketch(size: int, n_cells: int):
 
 
 def _coded(ascending: np.ndarray) -> bytes:
-    """Gaps between ascending numbers, 16 bits each; 65535 stands for a gap to be continued."""
+    """Gaps between ascending numbers, 16 bits each, 65535 for a gap to be continued; wide gaps as 32-bit numbers."""
     gaps = np.diff(ascending, prepend=-1) - 1
     whole, rest = np.divmod(gaps, 65535)
+    if whole.sum() > len(gaps):
+        return b"w" + ascending.astype("<u4").tobytes()
     out = np.full(len(gaps) + int(whole.sum()), 65535, "<u2")
     out[np.cumsum(whole + 1) - 1] = rest
-    return out.tobytes()
+    return b"g" + out.tobytes()
 
 
 def _decoded(data: bytes) -> np.ndarray:
-    gaps = np.frombuffer(data, "<u2").astype(np.int64)
+    if data[:1] == b"w":
+        return np.frombuffer(data, "<u4", offset=1).astype(np.int64)
+    gaps = np.frombuffer(data, "<u2", offset=1).astype(np.int64)
     ends = gaps != 65535
     return np.cumsum(gaps + ends)[ends] - 1
 
@@ -118,11 +123,15 @@ def _merge():
     return run
 
 
+def short(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
 def _repeated(size: int, n_cells: int):
-    names = ["_h1", "_h2", "_chunk", "_least", "_most"]
+    kinds = pa.schema([("_h1", pa.int64()), ("_h2", pa.int32()), ("_chunk", pa.int64()), ("_least", pa.int64()), ("_several", pa.bool_())])
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        empty = pa.table([pa.array([], pa.int64())] * 5, names=names)
+        empty = kinds.empty_table()
         if not docs.num_rows or not answers.num_rows:
             return empty
         memory, chunk = WordHashes(), docs.column("_chunk")[0].as_py()
@@ -132,7 +141,7 @@ def _repeated(size: int, n_cells: int):
             if len(found):
                 ids.append(np.full(len(found), doc_id, np.int64))
                 each.append(found)
-                other.append(windows(hashes, size, 1)[first])
+                other.append(short(windows(hashes, size, 1)[first]))
         if not ids:
             return empty
         ids, h1, h2 = np.concatenate(ids), np.concatenate(each), np.concatenate(other)
@@ -150,8 +159,8 @@ def _repeated(size: int, n_cells: int):
         new = np.flatnonzero(np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]))
         last = np.concatenate([new[1:], [len(ids)]]) - 1
         # A window of one document here may still stand in another chunk.
-        columns = [h1[new].view(np.int64), h2[new].view(np.int64), np.full(len(new), chunk), ids[new], ids[last]]
-        return pa.table([pa.array(c, pa.int64()) for c in columns], names=names)
+        columns = [h1[new].view(np.int64), h2[new], np.full(len(new), chunk), ids[new], ids[last] > ids[new]]
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.types, strict=True)], schema=kinds)
 
     return run
 
@@ -168,7 +177,7 @@ def _cut(size: int, with_text: bool):
     def run(docs: pa.Table, firsts: pa.Table) -> pa.Table:
         memory = WordHashes()
         h1 = np.asarray(firsts.column("_h1")).view(np.uint64)
-        h2 = np.asarray(firsts.column("_h2")).view(np.uint64)
+        h2 = np.asarray(firsts.column("_h2"))
         least = np.asarray(firsts.column("_least"))
         order = np.argsort(h1, kind="stable")
         h1, h2, least = h1[order], h2[order], least[order]
@@ -180,7 +189,7 @@ def _cut(size: int, with_text: bool):
                 at = np.minimum(np.searchsorted(h1, own), len(h1) - 1)
                 hit = np.flatnonzero(h1[at] == own)
                 if len(hit):
-                    second = windows(hashes, size, 1)[hit]
+                    second = short(windows(hashes, size, 1)[hit])
                     hit = hit[(h2[at[hit]] == second) & (least[at[hit]] < doc_id)]
                 if len(hit):
                     gone = covered(hit, len(words), size)
@@ -215,11 +224,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         _merge(), "_chunk bigint, _row int, _block bigint, _n bigint, _bits binary"
     )
     repeated = by_chunk.cogroup(answers.groupBy("_chunk")).applyInArrow(
-        _repeated(size, n_cells), "_h1 bigint, _h2 bigint, _chunk bigint, _least bigint, _most bigint"
+        _repeated(size, n_cells), "_h1 bigint, _h2 int, _chunk bigint, _least bigint, _several boolean"
     )
     # At most one row for each chunk in a window's group.
     least = F.min("_least").over(Window.partitionBy("_h1", "_h2"))
-    firsts = repeated.withColumn("_first", least).where("_most > _first").select("_chunk", "_h1", "_h2", F.col("_first").alias("_least"))
+    firsts = repeated.withColumn("_first", least).where("_several OR _least > _first").select("_chunk", "_h1", "_h2", F.col("_first").alias("_least"))
     return by_chunk.cogroup(firsts.groupBy("_chunk")).applyInArrow(
         _cut(size, with_text), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string"
     )
