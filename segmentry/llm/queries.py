@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmentry.llm import language, mixing, near_dups, substrings, token_files
+from segmentry.llm import chat, host_rules, language, licenses, mixing, near_dups, substrings, token_files
 from segmentry.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,45 @@ def op1_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query()
+def op2_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf))
+
+
+OP4_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, regexp_replace(role, '<(\\*)(\|(?:turn|text|more|end)\|>)', '<\\\1\2', 'g') AS r,
+    regexp_replace(text, '<(\\*)(\|(?:turn|text|more|end)\|>)', '<\\\1\2', 'g') AS t,
+    lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before FROM c)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(t) + CASE WHEN before IS NULL THEN length(r) + 16 WHEN before = role THEN 8 ELSE length(r) + 23 END) + 7 AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id"""
+
+
+@query(OP4_SQL)
+def op4_chat_format(spark: SparkSession, sf: str) -> DataFrame:
+    own = "</s>[INST] ok [/INST]"
+    turns = spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", own), (-7, 1, "assistant", own)], turns.schema)
+    done = chat.format_conversations(turns.unionByName(more))
+    read = done.select(
+        "conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("turns"),
+        chat.loss_text(F.col("formatted"), F.col("loss")).alias("learned"),
+    )
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(lines.cast("binary"), 256).alias("turns_sha256"),
+        F.length("learned").cast("bigint").alias("loss_chars"), F.sha2(F.col("learned").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
 @query()
 def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
@@ -97,6 +136,34 @@ def op8_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.read_digests(spark, path)
 
 
+OP9_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM d),
+g AS (
+  SELECT rid, i, array_to_string(words[i:i + 2], ' ') AS gram FROM (SELECT rid, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
+twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, gram) AS n FROM g) WHERE n > 1),
+rep AS (SELECT rid, count(DISTINCT i + j) AS n FROM twice, range(3) r(j) GROUP BY rid),
+f AS (
+  SELECT doc_id, source, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(list_sum(list_transform(words, lambda x: length(x))) AS BIGINT) AS wc,
+    CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines, coalesce(n, 0) AS n_repeat_words
+  FROM w LEFT JOIN rep USING (rid)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f),
+h AS (SELECT source, count(*) AS docs, count(*) FILTER (base_failed) AS failed FROM b GROUP BY source),
+m AS (SELECT avg(failed / docs) AS mean, var_pop(failed / docs) AS var FROM h),
+p AS (SELECT mean, CASE WHEN var > 0 AND mean > 0 AND mean < 1 THEN greatest(mean * (1 - mean) / var - 1, 10) ELSE 10 END AS weight FROM m),
+v AS (SELECT source, (failed + mean * weight) / (docs + weight) <= 0.8 AS good FROM h, p)
+SELECT doc_id, n_words, coalesce(wc, 0) AS word_chars, n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+  n_repeat_words, base_failed, NOT base_failed AND good AS kept
+FROM b JOIN v ON b.source IS NOT DISTINCT FROM v.source"""
+
+
+@query(OP9_SQL)
+def op9_host_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return host_rules.judge(documents(spark, sf)).drop("host_rate")
+
+
 @query()
 def op10_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(documents(spark, sf)).select(
