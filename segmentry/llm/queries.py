@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmentry.llm import chat, host_rules, language, licenses, mixing, near_dups, substrings, token_files
+from segmentry.llm import chat, decontamination, host_rules, language, licenses, mixing, near_dups, substrings, token_files, warc
 from segmentry.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,11 @@ def op2_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan(documents(spark, sf))
 
 
+@query()
+def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontamination.find_leaks(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
 OP4_SQL = r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -108,6 +113,48 @@ def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language.predict(held, model, keep=("doc_id", "held_out"))
 
 
+OP6_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(url, '') AS uri, coalesce(html, '') AS html FROM pages),
+r AS (
+  SELECT *, md5('response' || chr(10) || uri || chr(10) || html) AS h,
+    trim(regexp_replace(replace(replace(replace(replace(replace(replace(
+      regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<[^>]*>', ' ', 'g'),
+      '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&nbsp;', ' '), '&amp;', '&'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS plain
+  FROM p)
+SELECT page_id, uri AS target_uri, concat('<urn:uuid:', h[1:8], '-', h[9:12], '-', h[13:16], '-', h[17:20], '-', h[21:32], '>') AS refers_to,
+  concat('sha256:', sha256(html)) AS source_digest, concat('sha256:', sha256(plain)) AS text_digest,
+  CAST(length(plain) AS BIGINT) AS text_chars, true AS linked,
+  concat('http-content-type: text/html; charset=utf-8', chr(13), chr(10), 'source-digest: sha256:', sha256(html), chr(13), chr(10),
+    'source-bytes: ', strlen(html), chr(13), chr(10)) AS metadata
+FROM r"""
+
+
+@query(OP6_SQL)
+def op6_warc_derivatives(spark: SparkSession, sf: str) -> DataFrame:
+    """Writes the derived records of all pages and reads them back from the files."""
+    source = warc.responses(spark.read.parquet(f"{sf}/pages.parquet"))
+    path = scratch_path(spark, "warc")
+    warc.write_warc(warc.derived(source), path)
+    read = warc.read_warc(spark, path)
+    # Narrow columns only: one metadata and one conversion record of each response.
+    narrow = read.select(
+        "warc_type", "record_id", "refers_to", "concurrent_to", "source_digest", "block_digest", "uri",
+        F.length("content").cast("bigint").alias("chars"), F.when(F.col("warc_type") == "metadata", F.col("content")).alias("fields"),
+        (warc.digest(F.col("content")) == F.col("block_digest")).alias("intact"),
+    )
+    kind = lambda k, c: F.max(F.when(F.col("warc_type") == k, F.col(c)))
+    pairs = narrow.groupBy("refers_to", "uri", "source_digest").agg(
+        kind("conversion", "block_digest").alias("text_digest"), kind("conversion", "chars").alias("text_chars"),
+        (F.min("intact") & kind("conversion", "record_id").eqNullSafe(kind("metadata", "concurrent_to"))
+         & kind("metadata", "record_id").eqNullSafe(kind("conversion", "concurrent_to"))).alias("linked"),
+        kind("metadata", "fields").alias("metadata"),
+    )
+    pages = source.select("page_id", "record_id")
+    return pages.join(pairs, pages["record_id"] == pairs["refers_to"]).select(
+        "page_id", F.col("uri").alias("target_uri"), "refers_to", "source_digest", "text_digest", "text_chars", "linked", "metadata"
+    )
+
+
 OP7_SQL = """
 WITH w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM documents),
