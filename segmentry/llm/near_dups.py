@@ -242,7 +242,7 @@ def _components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS,
                     percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """For every row ``doc_id``, ``n_shingles``, ``component_id``, ``kept`` and ``text_hash``.
+    """For every row ``doc_id``, ``n_shingles``, ``component_id``, ``kept``, ``text_hash`` and ``first_hash``.
 
     ``first_hash`` is the hash of the text that stands for the component: of several rows with the
     component's id, those with this hash.
@@ -264,7 +264,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = checkpointed(banded.join(shared.select("_key", "_hub", "_c"), "_key"))
     spokes = stars.where("_node != _hub").select(F.col("_hub").alias("_a"), F.col("_node").alias("_b")).distinct()
     likely = checkpointed(_likely_pairs(spokes, classes, percent / 100 - MARGIN))
-    texts = _texts(_nodes(likely), classes, docs)
+    # One pass over the texts serves both comparisons.
+    wanted = _nodes(likely).unionByName(stars.where("_c > 2").select("_node")).distinct()
+    texts = _texts(wanted, classes, docs)
     links = checkpointed(_confirm(likely, texts, shingle_words, percent))
     roots = checkpointed(_components(links))
 
@@ -273,7 +275,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     several = open_.groupBy("_key").agg(F.min("_root").alias("_low"), F.max("_root").alias("_high")).where("_low != _high")
     members = checkpointed(open_.where("_node != _hub").join(several.select("_key"), "_key", "left_semi").select("_node", "_root").distinct())
     if not members.isEmpty():
-        texts = _texts(members.select("_node"), classes, docs)
         across = _pairs_across(members, texts, shingle_words, percent)
         more = checkpointed(_confirm(across, texts, shingle_words, percent))
         if not more.isEmpty():
