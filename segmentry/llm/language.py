@@ -32,7 +32,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Rows learned from for each language, whole texts: those with the smallest hashed ids.
 SAMPLE_ROWS = 400
 # The table holds so many code lengths at most; the rarest contexts give way first.
-TABLE_CELLS = 16_000_000
+TABLE_CELLS = 4_000_000
 BYTES_PER_STEP = 1 << 20
 UNKNOWN = "und"
 ORDERS = 4  # contexts of 0 to 3 bytes
@@ -59,7 +59,8 @@ def _sample(labelled: DataFrame, rows: int) -> DataFrame:
     narrow = labelled.select("_lang", "_id", "_h").distinct()
     order = Window.partitionBy("_lang").orderBy("_h", "_id")
     chosen = narrow.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= rows).select("_lang", "_id", "_h")
-    return labelled.join(chosen, ["_lang", "_h", "_id"]).select("_lang", "_text")
+    # At most ``rows`` rows of three narrow columns for each language.
+    return labelled.join(F.broadcast(chosen), ["_lang", "_h", "_id"]).select("_lang", "_text")
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
