@@ -16,8 +16,8 @@ from segmentry.session import scratch_path
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; those without a letter go."""
     model = language.train(docs)
-    found = language.predict(docs, model, keep=tuple(docs.columns))
-    return found.where(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
+    found = language.predict(docs, model, keep=tuple(docs.columns), added=("__llm_lang", "__llm_score"))
+    return found.where(F.col("__llm_lang") != language.UNKNOWN).select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

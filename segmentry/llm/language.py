@@ -106,7 +106,7 @@ def freeze(langs: list[str], keys: np.ndarray, counts: np.ndarray, table_cells:
         return Model([], np.zeros(256, np.uint8), np.zeros(1, np.int32), np.zeros((1, 0), np.float32), 1)
     lang = np.searchsorted(np.array(languages), np.array(langs))
     order, byte, context = keys >> 32, keys & 255, (keys & 0xFFFFFFFF) >> 8
-    seen = np.unique(byte)
+    seen = np.unique(np.append(byte, BEFORE))
     a, many = len(seen) + 1, len(languages)
     symbols = np.zeros(256, np.int32)
     symbols[seen] = np.arange(1, a)
@@ -185,7 +185,7 @@ def code_lengths(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndar
     return out
 
 
-def _predicted(model_ref):
+def _predicted(model_ref, added: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*model_ref.value)
         for batch in batches:
@@ -201,16 +201,17 @@ def _predicted(model_ref):
                 names = [model.languages[b] if k else UNKNOWN for b, k in zip(best.tolist(), known.tolist(), strict=True)]
                 score = np.where(known, share, 0.0)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[2:], pa.array(names), pa.array(score)], [*batch.schema.names[2:], "lang_pred", "score"]
+                [*batch.columns[2:], pa.array(names), pa.array(score)], [*batch.schema.names[2:], *added]
             )
 
     return run
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` with ``lang_pred`` and ``score``; only the text decides."""
+def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
+            added: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The columns ``keep`` with the language and its score as ``added``; only the text decides."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(text.alias("_text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("_known"), *keep)
+    rows = docs.select(text.alias("__llm_text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("__llm_known"), *keep)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
     ref = docs.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))  # bounded by TABLE_CELLS
-    return rows.mapInArrow(_predicted(ref), f"{kinds}, lang_pred string, score double")
+    return rows.mapInArrow(_predicted(ref, added), f"{kinds}, `{added[0]}` string, `{added[1]}` double")

@@ -185,15 +185,15 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows are met by id, source and size; rows equal in all three share what the mix takes of them evenly.
     """
     times = mix(docs, id_col, text_col, source_col, **options)
-    times = times.groupBy("doc_id", "source", "size").agg(F.sum("times").alias("_times"), F.count(F.lit(1)).alias("_rows"))
-    times = times.withColumnsRenamed({"doc_id": "_own", "source": "_from", "size": "_words"})
-    sized = docs.withColumn("_size", word_total(F.col(text_col)))
-    same = sized[id_col].eqNullSafe(times["_own"]) & sized[source_col].eqNullSafe(times["_from"]) & (sized["_size"] == times["_words"])
+    times = times.groupBy("doc_id", "source", "size").agg(F.sum("times").alias("__llm_times"), F.count(F.lit(1)).alias("__llm_rows"))
+    times = times.withColumnsRenamed({"doc_id": "__llm_own", "source": "__llm_from", "size": "__llm_words"})
+    sized = docs.withColumn("__llm_size", word_total(F.col(text_col)))
+    same = sized[id_col].eqNullSafe(times["__llm_own"]) & sized[source_col].eqNullSafe(times["__llm_from"]) & (sized["__llm_size"] == times["__llm_words"])
     joined = sized.join(times, same)
-    place = F.row_number().over(Window.partitionBy(id_col, source_col, "_size").orderBy(F.lit(0)))
-    share = F.floor(F.col("_times") / F.col("_rows")) + F.when(place <= F.col("_times") % F.col("_rows"), 1).otherwise(0)
-    counted = joined.withColumn("_share", share.cast("int")).where("_share > 0")
-    repeated = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_share"))))
+    place = F.row_number().over(Window.partitionBy(id_col, source_col, "__llm_size").orderBy(F.lit(0)))
+    share = F.floor(F.col("__llm_times") / F.col("__llm_rows")) + F.when(place <= F.col("__llm_times") % F.col("__llm_rows"), 1).otherwise(0)
+    counted = joined.withColumn("__llm_share", share.cast("int")).where("__llm_share > 0")
+    repeated = counted.withColumn("__llm_copy", F.explode(F.sequence(F.lit(1), F.col("__llm_share"))))
     return repeated.select(*[F.col(c) for c in docs.columns])
 
 

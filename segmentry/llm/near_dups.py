@@ -296,10 +296,9 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """One whole row of each component; rows without words all stay."""
     found = near_duplicates(docs, id_col, text_col, **options)
     stay = found.where(F.col("kept") & (F.col("text_hash") == F.col("first_hash")))
-    # Rows without words: any number; otherwise one of the rows that are alike.
-    stay = stay.groupBy("doc_id", "text_hash").agg(F.max(F.col("n_shingles")).alias("_n"))
-    stay = stay.withColumnsRenamed({"doc_id": "_own", "text_hash": "_own_hash"})
-    hashed = docs.withColumn("_hash", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    joined = hashed.join(stay, hashed[id_col].eqNullSafe(stay["_own"]) & (hashed["_hash"] == stay["_own_hash"]))
-    place = F.row_number().over(Window.partitionBy(id_col, "_hash").orderBy(F.lit(0)))
-    return joined.withColumn("_place", place).where("_n = 0 OR _place = 1").select(*[hashed[c] for c in docs.columns])
+    stay = stay.groupBy(F.col("doc_id").alias("__llm_id"), F.col("text_hash").alias("__llm_own")).agg(F.max("n_shingles").alias("__llm_n"))
+    hashed = docs.withColumn("__llm_hash", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    joined = hashed.join(stay, F.col(id_col).eqNullSafe(F.col("__llm_id")) & (F.col("__llm_hash") == F.col("__llm_own")))
+    # Rows without words stay, any number of them; otherwise one of the rows that are alike.
+    place = F.row_number().over(Window.partitionBy(id_col, "__llm_hash").orderBy(F.lit(0)))
+    return joined.withColumn("__llm_place", place).where("__llm_n = 0 OR __llm_place = 1").select(*docs.columns)
