@@ -82,14 +82,14 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolation quantiles, one row per group, one column per entry of ``probabilities``.
 
-    ``weight`` names a column saying how often a row counts.
+    ``weight`` names a column saying how often a row counts. Null and NaN are left out.
 
     Values are counted before any shuffle of rows, so memory does not grow with repeats of a value and
     no aggregation buffer has to hold all distinct values of a group.
     """
     by = by or []
     counts = (
-        df.where(F.col(value).isNotNull())
+        df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
         .groupBy(*by, F.col(value).cast("double").alias("_v"))
         .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n"))
     )

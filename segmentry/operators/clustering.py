@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segmentry import fixed_values as fv
+from segmentry.session import checkpointed
 from segmentry.functions.kernels import texts, to_matrix, worst_ratios
 from segmentry.functions.matrix import MAX_MATRIX_BYTES, bounded_rows, euclidean, rows_within
 from segmentry.operators.search import in_blocks
@@ -253,10 +254,15 @@ def save_run(run: Clustering, path: str, run_id: str) -> None:
 
 
 def holdout_evaluation(
-    vectors: DataFrame, k: int = fv.N_SEGMENTS, vector: str = "embedding", train_share: float = 0.8, seed: int = fv.SEED
+    vectors: DataFrame, k: int = fv.N_SEGMENTS, vector: str = "embedding", train_share: float = 0.8, seed: int = fv.SEED,
+    starts: int = fv.KMEANS_STARTS,
 ) -> DataFrame:
-    """Fits on a random share of the rows and scores silhouette and Davies-Bouldin on the rest."""
+    """Fits the cheapest of several starts on a random share of the rows; silhouette and Davies-Bouldin of the rest."""
     train, test = _features(vectors, vector).randomSplit([train_share, 1 - train_share], seed)
-    model = KMeans(k=k, seed=seed, maxIter=fv.KMEANS_MAX_ITER, featuresCol="_f", predictionCol="segment_id").fit(train)
+    train = checkpointed(train)
+    fit = lambda start: KMeans(
+        k=k, seed=seed + start, maxIter=fv.KMEANS_MAX_ITER, featuresCol="_f", predictionCol="segment_id"
+    ).fit(train)
+    model = min(map(fit, range(starts)), key=lambda m: m.summary.trainingCost)
     placed = model.transform(test).drop("_f")
     return davies_bouldin(placed, vector=vector).withColumn("silhouette", F.lit(silhouette(placed, vector=vector)))

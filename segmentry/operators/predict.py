@@ -13,6 +13,7 @@ from segmentry.functions.matrix import MAX_MATRIX_BYTES, bounded_rows, nearest_r
 from segmentry.operators.search import exact_top_k
 from segmentry.operators.segments import segment_name
 from segmentry.operators.vectors import Encoder, embed_reviews
+from segmentry.session import checkpointed
 
 
 def nearest_centroid(
@@ -42,11 +43,13 @@ def nearest_centroid(
         )
     # Zero-padded ids compare as text the way numbers do, which keeps the rule for ties.
     padded = model.select(F.lpad(F.col("segment_id").cast("string"), 12, "0").alias("segment_id"), F.col("centroid").alias(vector))
-    found = exact_top_k(vectors, padded, record_id, "segment_id", k=1, vector=vector, limit_bytes=limit_bytes)
+    # A row id of its own: record ids may be null or repeated. It is stored, so both reads see the same.
+    vectors = checkpointed(vectors.withColumn("_row", F.monotonically_increasing_id()))
+    found = exact_top_k(vectors, padded, "_row", "segment_id", k=1, vector=vector, limit_bytes=limit_bytes)
     found = found.select(
         F.col("query_id"), F.col("record_id").cast("int").alias("segment_id"), F.col("score").alias("similarity")
     )
-    return vectors.join(found, F.col(record_id).cast("string") == F.col("query_id")).drop("query_id")
+    return vectors.join(found, F.col("_row").cast("string") == F.col("query_id")).drop("query_id", "_row")
 
 
 def confidence(similarity: Column) -> Column:

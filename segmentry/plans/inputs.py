@@ -91,23 +91,23 @@ def reviews(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise("")
     )
     return texts(spark, sf, "documents", "doc_id").select(
-        F.concat(F.lit("review_"), F.lpad(doc.cast("string"), 6, "0")).alias("id"),
+        F.concat(F.lit("note-"), F.lpad(doc.cast("string"), 9, "0")).alias("id"),
         F.concat("text", tail).alias("text"),
         (1 + doc % 5).cast("int").alias("rating"),
-        F.concat(F.lit("ASIN_"), F.lpad((doc % 200).cast("string"), 4, "0")).alias("product_id"),
-        F.concat(F.lit("CUST_"), F.lpad((doc * 7 % 500).cast("string"), 5, "0")).alias("customer_id"),
+        F.concat(F.lit("item-"), (doc * 3 % 170).cast("string")).alias("product_id"),
+        F.concat(F.lit("buyer-"), (doc * 11 % 430).cast("string")).alias("customer_id"),
         "lang",
     )
 
 
 REVIEWS_SQL = """reviews AS (
-  SELECT concat('review_', lpad(CAST(doc_id AS VARCHAR), 6, '0')) AS id,
+  SELECT concat('note-', lpad(CAST(doc_id AS VARCHAR), 9, '0')) AS id,
     concat(text, CASE doc_id % 5 WHEN 0 THEN ' Great product! I love it, great.'
       WHEN 1 THEN ' Terrible and broken. The worst?'
       WHEN 2 THEN ' Amazing idea, useless result, awful box.' ELSE '' END) AS text,
     CAST(1 + doc_id % 5 AS INT) AS rating,
-    concat('ASIN_', lpad(CAST(doc_id % 200 AS VARCHAR), 4, '0')) AS product_id,
-    concat('CUST_', lpad(CAST(doc_id * 7 % 500 AS VARCHAR), 5, '0')) AS customer_id, lang
+    concat('item-', CAST(doc_id * 3 % 170 AS VARCHAR)) AS product_id,
+    concat('buyer-', CAST(doc_id * 11 % 430 AS VARCHAR)) AS customer_id, lang
   FROM documents)"""
 
 

@@ -72,12 +72,16 @@ def run(
     clustering.save_run(result, f"{base}/segments", run_id)
 
     labels = spark.read.parquet(f"{base}/segments/labels").where(F.col("run_id") == run_id).drop("run_id")
-    assigned = segments.assignments(labels, ready, F.current_timestamp())
+    # All stored vectors are clustered, so records of earlier runs need their facts again.
+    earlier = spark.read.parquet(f"{base}/reviews").where(F.col("run_id") != run_id).drop("run_id")
+    earlier = earlier.join(ready.select("id"), "id", "left_anti").dropDuplicates(["id"])
+    assigned = segments.assignments(labels, ready.unionByName(earlier), F.current_timestamp())
     tables.replace_by_key(assigned, assignments_path, "record_id")
     written = tables.read_keyed(spark, assignments_path)
     summary = spark.read.parquet(f"{base}/segments/summary").where(F.col("run_id") == run_id)
     metrics = summary.unpivot(
         ["run_id"], ["silhouette", "davies_bouldin", "noise_fraction", "elapsed_seconds"], "metric", "value"
     )
-    metrics.write.mode("append").parquet(f"{base}/run_metrics")
+    # A repeated run replaces its own metrics.
+    metrics.drop("run_id").write.mode("overwrite").parquet(f"{base}/run_metrics/run_id={run_id}")
     return Run(run_id, result, written, segments.breakdown(written), metrics)

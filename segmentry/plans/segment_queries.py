@@ -55,7 +55,7 @@ def align_vectors(spark, sf):
     return segments.align(store, labels).select("record_id", "segment_id")
 
 
-ASSIGNED_SQL = f"""{CURRENT_SQL}, {REVIEWS_SQL}, labelled AS (SELECT concat('review_', lpad(record_id, 6, '0')) AS record_id, segment_id FROM cur),
+ASSIGNED_SQL = f"""{CURRENT_SQL}, {REVIEWS_SQL}, labelled AS (SELECT concat('note-', lpad(record_id, 9, '0')) AS record_id, segment_id FROM cur),
 assigned AS (SELECT l.record_id, segment_id, {NAME_SQL} AS segment_label, coalesce(rating, 0) AS rating,
     coalesce(customer_id, '') AS customer_id, coalesce(product_id, '') AS product_id
   FROM labelled l LEFT JOIN (SELECT * FROM reviews WHERE lang = 'en') r ON l.record_id = r.id)"""
@@ -64,7 +64,7 @@ assigned AS (SELECT l.record_id, segment_id, {NAME_SQL} AS segment_label, coales
 def _assigned(spark, sf):
     """Vectors labelled as reviews; only English reviews have facts, so some stay without."""
     labels = current_run(spark, sf).select(
-        F.concat(F.lit("review_"), F.lpad("record_id", 6, "0")).alias("record_id"), "segment_id"
+        F.concat(F.lit("note-"), F.lpad("record_id", 9, "0")).alias("record_id"), "segment_id"
     )
     return segments.assignments(labels, reviews(spark, sf).where("lang = 'en'"))
 

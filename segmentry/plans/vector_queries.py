@@ -289,5 +289,5 @@ def ann_all_cells(spark, sf):
 @query()
 def train_run(spark, sf):
     """Reviews to named segments: normalise, clean, embed, cluster, assign, report."""
-    job = review_segments.run(reviews(spark, sf), scratch_path(spark, "train"), starts=2)
+    job = review_segments.run(reviews(spark, sf), scratch_path(spark, "train"))
     return job.breakdown

@@ -161,6 +161,15 @@ def test_reviews_to_segments(spark, tmp_path, sample_reviews):
     assert spark.read.parquet(f"{base}/run_metrics").groupBy("run_id").count().count() == 2
 
 
+def test_a_later_run_keeps_the_facts_of_earlier_records(spark, tmp_path, sample_reviews):
+    kind = "id string, text string, rating string, product_id string, customer_id string"
+    base = str(tmp_path)
+    review_segments.run(spark.createDataFrame(sample_reviews[:50], kind), base, k=2, run_id="one", starts=1)
+    done = review_segments.run(spark.createDataFrame(sample_reviews[50:], kind), base, k=2, run_id="two", starts=1)
+    facts = {r["record_id"]: (r["rating"], r["customer_id"]) for r in done.assignments.collect()}
+    assert facts == {r["id"]: (int(r["rating"]), r["customer_id"]) for r in sample_reviews}
+
+
 def test_density_run(spark, vectors):
     result = review_segments.cluster(vectors, "density", core_share=0.8, min_cluster_size=20)
     row = result.summary.first()

@@ -331,3 +331,12 @@ def test_nothing_to_order_and_nothing_dense(spark, vectors):
     noise = density.density_segments(vectors, "record_id", 1e-6, 10, 20)
     assert {tuple(r) for r in noise.groupBy("segment_id").count().collect()} == {(-1, 200)}
     assert density.density_segments(vectors.limit(0), "record_id", 0.1).count() == 0
+
+
+def test_nearest_centroid_in_blocks_keeps_null_and_repeated_ids(spark):
+    rows = [(None, [1.0, 0.0]), ("a", [1.0, 0.0]), ("a", [0.0, 1.0]), ("b", [0.6, 0.8])]
+    frame = spark.createDataFrame(rows, "record_id string, embedding array<double>")
+    centres = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0])], "segment_id int, centroid array<double>")
+    few, blocks = (predict.nearest_centroid(frame, centres, limit_bytes=n) for n in (1 << 20, 1))
+    key = lambda df: sorted(map(str, df.select("record_id", "segment_id", "similarity").collect()))
+    assert key(few) == key(blocks) and len(key(blocks)) == 4
