@@ -16,17 +16,22 @@ from segmentry.functions.kernels import scores_of, to_matrix
 
 # A matrix is copied to every executor only below this size; beyond it the callers use a shuffle.
 MAX_MATRIX_BYTES = 128 * 1024 * 1024
-MAX_DIMENSION = 1024
 
 
-def rows_within(limit_bytes: int = MAX_MATRIX_BYTES) -> int:
-    """How many vectors of the longest dimension in use fit into the limit."""
-    return max(1, limit_bytes // (8 * MAX_DIMENSION))
+def rows_within(limit_bytes: int, dimension: int) -> int:
+    """How many vectors of a dimension fit into the limit, as double precision numbers."""
+    return max(1, limit_bytes // (8 * max(1, dimension)))
+
+
+def dimension_of(df: DataFrame) -> int:
+    """The length of the vectors in the last column, which all have one length; 1 without vectors."""
+    found = df.select(F.size(df.columns[-1]).alias("d")).where("d > 0").first()
+    return found[0] if found else 1
 
 
 def bounded_rows(df: DataFrame, limit_bytes: int = MAX_MATRIX_BYTES) -> list | None:
-    """All rows of a vector table if they fit into the limit, else None. ``df`` is evaluated once."""
-    rows = rows_within(limit_bytes)
+    """All rows of a table whose last column is a vector if they fit into the limit, else None."""
+    rows = rows_within(limit_bytes, dimension_of(df))
     found = df.take(rows + 1)
     return found if len(found) <= rows else None
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from segmentry import fixed_values as fv
 from segmentry.session import checkpointed
 from segmentry.functions.kernels import texts, to_matrix, worst_ratios
-from segmentry.functions.matrix import MAX_MATRIX_BYTES, bounded_rows, euclidean, rows_within
+from segmentry.functions.matrix import MAX_MATRIX_BYTES, bounded_rows, dimension_of, euclidean, rows_within
 from segmentry.operators.search import in_blocks
 from segmentry.operators.vectors import l2_normalize
 
@@ -132,7 +132,7 @@ def davies_bouldin(
         value = float(found.mean()) if len(found) else 0.0
         return spark.createDataFrame([(value,)], "davies_bouldin double")
     described = means.join(spread, label).select(F.col(label).cast("string").alias("segment"), "centroid", "spread")
-    blocks = max(1, -(-means.count() // min(rows_within(limit_bytes), 2048)))
+    blocks = max(1, -(-means.count() // min(rows_within(limit_bytes, dimension_of(means)), 2048)))
     left = in_blocks(described, "segment", blocks, "_a", "_b", blocks).groupBy("_a", "_b")
     right = in_blocks(described, "segment", blocks, "_b", "_a", blocks).groupBy("_a", "_b")
 
@@ -242,7 +242,8 @@ def describe_run(
 def run_kmeans(vectors: DataFrame, k: int = fv.N_SEGMENTS, record_id: str = "record_id", vector: str = "embedding", **options) -> Clustering:
     """Reduce, cluster, describe."""
     started = time.perf_counter()
-    reduced = reduce_dimensions(vectors, vector).persist(StorageLevel.MEMORY_AND_DISK)
+    # The finished run's tables are lazy and read this again, so it is stored rather than cached for good.
+    reduced = checkpointed(reduce_dimensions(vectors, vector))
     labelled = kmeans_labels(reduced, k, **options)
     return describe_run(labelled, "kmeans", started, k, record_id, vector)
 

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from segmentry import fixed_values as fv
 from segmentry.functions.kernels import RunningBest, best, chunks, result_rows, scores_of, slices, texts, to_matrix
-from segmentry.functions.matrix import MAX_MATRIX_BYTES, bounded_rows, rows_within
+from segmentry.functions.matrix import MAX_MATRIX_BYTES, bounded_rows, dimension_of, rows_within
 
 BLOCK_BYTES = 64 * 1024 * 1024
 RESULT = T.StructType(
@@ -97,6 +97,11 @@ def in_blocks(df: DataFrame, key: str, blocks: int, mine: str, other: str, other
 def _search_in_blocks(queries: DataFrame, store: DataFrame, k: int, q_blocks: int, s_blocks: int) -> DataFrame:
     left = in_blocks(queries, "query_id", q_blocks, "_q", "_s", s_blocks).groupBy("_q", "_s")
     right = in_blocks(store, "record_id", s_blocks, "_s", "_q", q_blocks).groupBy("_q", "_s")
+    return left.cogroup(right).applyInArrow(_best_of_pair(k), RESULT)
+
+
+def _best_of_pair(k: int):
+    """The k best records of one block for each query of another."""
 
     def pair(a: pa.Table, b: pa.Table) -> pa.Table:
         query_ids, record_ids = texts(a.column("query_id")), texts(b.column("record_id"))
@@ -109,7 +114,7 @@ def _search_in_blocks(queries: DataFrame, store: DataFrame, k: int, q_blocks: in
                     found.append((record_ids[at], row[at]))
         return pa.Table.from_batches([result_rows(query_ids[: len(found)], found)])
 
-    return left.cogroup(right).applyInArrow(pair, RESULT)
+    return pair
 
 
 def exact_top_k(
@@ -133,7 +138,8 @@ def exact_top_k(
     small = bounded_rows(s, limit_bytes)
     if small is not None:
         return _final(_search_small_store(q, small, k), k)
-    q_blocks, s_blocks = (max(1, math.ceil(side.count() / rows_within(block_bytes))) for side in (q, s))
+    rows = rows_within(block_bytes, dimension_of(s))
+    q_blocks, s_blocks = (max(1, math.ceil(side.count() / rows)) for side in (q, s))
     return _final(_search_in_blocks(q, s, k, q_blocks, s_blocks), k)
 
 
@@ -149,6 +155,38 @@ def build_cells(store: DataFrame, path: str, cells: int = fv.ANN_CELLS, vector:
     return np.array(model.clusterCenters())
 
 
+def _nearest_cells(wanted: np.ndarray, centers: np.ndarray, probes: int) -> np.ndarray:
+    distance = (centers**2).sum(axis=1) - 2 * wanted @ centers.T
+    return np.argsort(distance, axis=1, kind="stable")[:, :probes]
+
+
+def _probe_in_blocks(queries: DataFrame, store: DataFrame, centers: np.ndarray, k: int, probes: int, block_bytes: int) -> DataFrame:
+    """Every query goes to its cells. A cell's queries and records are cut into blocks that meet in pairs."""
+    shared = queries.sparkSession.sparkContext.broadcast(centers)
+    asking = T.StructType([*queries.schema.fields, T.StructField("cell", T.IntegerType())])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch.num_rows, len(shared.value)):
+                piece = batch.slice(part.start, part.stop - part.start)
+                near = _nearest_cells(to_matrix(piece.column("v")), shared.value, probes)
+                copies = piece.take(pa.array(np.repeat(np.arange(piece.num_rows), near.shape[1])))
+                cells = pa.array(near.reshape(-1).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([*copies.columns, cells], [*copies.schema.names, "cell"])
+
+    asked = queries.mapInArrow(send, asking)
+    rows = rows_within(block_bytes, centers.shape[1])
+    # One row for each cell, as many as there are centres.
+    blocks = lambda df, name: df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias(name))
+    sizes = F.broadcast(blocks(asked, "_nq").join(blocks(store, "_ns"), "cell"))
+    own = lambda key, n: F.pmod(F.xxhash64(key) + F.spark_partition_id(), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = asked.join(sizes, "cell").select("query_id", "v", "cell", own("query_id", "_nq").alias("_q"), every("_ns").alias("_s"))
+    right = store.join(sizes, "cell").select("record_id", "v", "cell", own("record_id", "_ns").alias("_s"), every("_nq").alias("_q"))
+    groups = left.groupBy("cell", "_q", "_s").cogroup(right.groupBy("cell", "_q", "_s"))
+    return groups.applyInArrow(_best_of_pair(k), RESULT)
+
+
 def approximate_top_k(
     queries: DataFrame,
     cell_table: DataFrame,
@@ -158,20 +196,25 @@ def approximate_top_k(
     k: int = fv.DEFAULT_TOP_K,
     probes: int = 10,
     vector: str = "embedding",
+    limit_bytes: int = MAX_MATRIX_BYTES,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Top k among the ``probes`` cells closest to each query; all cells give the exact answer.
 
-    Only the folders of probed cells are read. A hot cell is scored by as many tasks as it has file
-    splits, never as one group.
+    A query whose cells together hold fewer than k records gets fewer. With queries up to the limit, only
+    the folders of probed cells are read, and a hot cell is scored by as many tasks as it has file splits.
+    With more, queries and records of a cell meet in blocks; the result is the same.
     """
     q = _as_side(queries, query_id, vector, "query_id")
-    few = bounded_rows(q)
+    few = bounded_rows(q, limit_bytes)
     if few is None:
-        return exact_top_k(queries, cell_table, query_id, record_id, k, vector)
+        known = cell_table.select(F.col(record_id).cast("string").alias("record_id"), F.col(vector).alias("v"), "cell")
+        return _final(_probe_in_blocks(q, known, centers, k, probes, block_bytes), k)
+    if not few:
+        return _final(q.sparkSession.createDataFrame([], RESULT), k)
     ids = np.array([r[0] for r in few], dtype=object)
     matrix = np.array([r[1] for r in few], dtype=np.float64)
-    distance = (centers**2).sum(axis=1) - 2 * matrix @ centers.T
-    near = np.argsort(distance, axis=1, kind="stable")[:, :probes]
+    near = _nearest_cells(matrix, centers, probes)
     by_cell = {int(c): np.flatnonzero((near == c).any(axis=1)) for c in np.unique(near)}
     shared = cell_table.sparkSession.sparkContext.broadcast((ids, matrix, by_cell))
 

@@ -91,11 +91,14 @@ def embed_reviews(
     )
 
 
+def of_model(vectors: DataFrame, model: tuple[str, str] = HASH_MODEL) -> DataFrame:
+    """The vectors of one model version."""
+    return vectors.where((F.col("model_name") == model[0]) & (F.col("model_version") == model[1]))
+
+
 def not_embedded(reviews: DataFrame, vectors: DataFrame, record_id: str = "id", model: tuple[str, str] = HASH_MODEL) -> DataFrame:
     """Reviews without a vector of this model version. The vector table itself is the ledger."""
-    done = vectors.where(
-        (F.col("model_name") == model[0]) & (F.col("model_version") == model[1])
-    ).select(F.col("record_id").cast(reviews.schema[record_id].dataType).alias(record_id))
+    done = of_model(vectors, model).select(F.col("record_id").cast(reviews.schema[record_id].dataType).alias(record_id))
     return reviews.join(done, record_id, "left_anti")
 
 
@@ -110,9 +113,10 @@ def append_vectors(vectors: DataFrame, path: str, dim: int = fv.EMBEDDING_DIM) -
     tables.append(l2_normalize(checked), path)
 
 
-def insert_vectors(vectors: DataFrame, path: str) -> None:
-    """Insert-if-absent on record_id; the earliest vector of a record wins."""
-    tables.insert_if_absent(vectors, path, "record_id", "created_at")
+def first_records(reviews: DataFrame, record_id: str, order: str | None = None) -> DataFrame:
+    """The first row of every record by ``order``, or by the place in the input where no order is given."""
+    place = F.col(order) if order else F.monotonically_increasing_id()
+    return tables.first_per_key(reviews.withColumn("_place", place), record_id, "_place").drop("_place")
 
 
 def embed_new(
@@ -122,14 +126,16 @@ def embed_new(
     record_id: str = "id",
     model: tuple[str, str] = HASH_MODEL,
     text: str = "text",
+    order: str | None = None,
     **options,
 ) -> None:
     """Embeds only what the table lacks, so a repeated or resumed run does no work twice.
 
     Known and repeated records are removed before the encoder runs: both steps shuffle by record, and
-    no vector is made that would not be stored. Vectors of several model versions live side by side.
+    no vector is made that would not be stored. Vectors of several model versions live side by side. Of a
+    repeated record the first row counts (``first_records``).
     """
+    reviews = first_records(reviews, record_id, order)
     if tables.exists(spark, path):
         reviews = not_embedded(reviews, tables.read_keyed(spark, path), record_id, model)
-    once = tables.first_per_key(reviews, record_id, text)
-    tables.append_keyed(embed_reviews(once, record_id, text, model, **options), path, "record_id")
+    tables.append_keyed(embed_reviews(reviews, record_id, text, model, **options), path, "record_id")

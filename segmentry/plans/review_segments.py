@@ -67,7 +67,8 @@ def run(
     vectors_path, assignments_path = f"{base}/embeddings", f"{base}/segment_assignments"
     # The text is clean already, so the embedding step does not clean it a second time.
     vectors.embed_new(spark, ready, vectors_path, clean=False)
-    stored = tables.read_keyed(spark, vectors_path)
+    # Vectors of several model versions live side by side; one space is clustered.
+    stored = vectors.of_model(tables.read_keyed(spark, vectors_path))
     result = cluster(stored, algorithm, k, **options)
     clustering.save_run(result, f"{base}/segments", run_id)
 
@@ -79,8 +80,8 @@ def run(
     tables.replace_by_key(assigned, assignments_path, "record_id")
     written = tables.read_keyed(spark, assignments_path)
     summary = spark.read.parquet(f"{base}/segments/summary").where(F.col("run_id") == run_id)
-    metrics = summary.unpivot(
-        ["run_id"], ["silhouette", "davies_bouldin", "noise_fraction", "elapsed_seconds"], "metric", "value"
+    metrics = summary.withColumnRenamed("silhouette", "silhouette_score").unpivot(
+        ["run_id"], ["silhouette_score", "davies_bouldin", "noise_fraction", "elapsed_seconds"], "metric", "value"
     )
     # A repeated run replaces its own metrics.
     metrics.drop("run_id").write.mode("overwrite").parquet(f"{base}/run_metrics/run_id={run_id}")

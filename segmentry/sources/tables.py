@@ -5,7 +5,9 @@ Parquet has no MERGE. Changes therefore go one of three ways:
 * append: new files only;
 * by partition: dynamic overwrite replaces exactly the partitions that hold touched keys or months.
   Spark stages the new files and moves them at job commit, so lost executors never leave a table
-  half written, and the old rows can be read while their replacement is computed;
+  half written, and the old rows can be read while their replacement is computed. The partitions are moved
+  one after another: a driver lost during that commit leaves some old and some new, and the load is to be
+  run again;
 * by version: a change that may touch any row writes ``v=<n+1>``; readers take the highest version
   whose write was committed.
 
@@ -22,6 +24,8 @@ from pyspark.sql.types import StructType
 from segmentry.sources.trips import in_month, month_of, spread_by_partition
 
 BUCKET = "key_bucket"
+# An empty file of this name with the number of buckets behind it belongs to every keyed table.
+BUCKET_MARK = "_buckets-"
 # Enough for small tables; a table of terabytes wants one bucket per few GB, given when it is created.
 DEFAULT_BUCKETS = 16
 
@@ -90,6 +94,21 @@ def _bucket(key: str, buckets: int) -> Column:
     return F.coalesce(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)), F.lit(0)).cast("int")
 
 
+def _bucket_count(spark: SparkSession, path: str, buckets: int | None) -> int:
+    """The number of buckets of a keyed table, written down when the table is created; another one is refused."""
+    fs, p = _hadoop_path(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    known = [int(n.removeprefix(BUCKET_MARK)) for n in names if n.startswith(BUCKET_MARK)]
+    if known:
+        if buckets not in (None, known[0]):
+            raise ValueError(f"{path} has {known[0]} buckets, not {buckets}")
+        return known[0]
+    buckets = buckets or DEFAULT_BUCKETS
+    fs.mkdirs(p)
+    fs.createNewFile(spark._jvm.org.apache.hadoop.fs.Path(p, f"{BUCKET_MARK}{buckets}"))
+    return buckets
+
+
 def _touched_buckets(keyed: DataFrame) -> list[int]:
     return sorted(r[0] for r in keyed.select(BUCKET).distinct().collect())  # at most ``buckets`` values
 
@@ -98,8 +117,9 @@ def read_keyed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(BUCKET)
 
 
-def append_keyed(df: DataFrame, path: str, key: str, buckets: int = DEFAULT_BUCKETS) -> None:
+def append_keyed(df: DataFrame, path: str, key: str, buckets: int | None = None) -> None:
     """Adds rows to a keyed table without looking at the stored ones."""
+    buckets = _bucket_count(df.sparkSession, path, buckets)
     new = df.withColumn(BUCKET, _bucket(key, buckets))
     spread_by_partition(new, [BUCKET]).write.mode("append").partitionBy(BUCKET).parquet(path)
 
@@ -109,13 +129,14 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
     return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
 
 
-def replace_by_key(df: DataFrame, path: str, key: str, buckets: int = DEFAULT_BUCKETS) -> None:
+def replace_by_key(df: DataFrame, path: str, key: str, buckets: int | None = None) -> None:
     """Deletes stored rows whose key occurs in ``df`` and stores every row of ``df``.
 
     Running it again gives the same table. A null key matches nothing; repeats of a key inside the
     load are all kept. Only the buckets of the loaded keys are read and rewritten.
     """
     spark = df.sparkSession
+    buckets = _bucket_count(spark, path, buckets)
     new = df.withColumn(BUCKET, _bucket(key, buckets))
     if exists(spark, path):
         stored = spark.read.parquet(path)
@@ -138,12 +159,13 @@ def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def insert_if_absent(df: DataFrame, path: str, key: str, order: str, buckets: int = DEFAULT_BUCKETS) -> None:
+def insert_if_absent(df: DataFrame, path: str, key: str, order: str, buckets: int | None = None) -> None:
     """Appends rows whose key is not stored yet; inside the load the first row of a key wins.
 
     The key may not be null; a null one fails the load.
     """
     spark = df.sparkSession
+    buckets = _bucket_count(spark, path, buckets)
     required = F.when(F.col(key).isNull(), F.raise_error(F.lit(f"null {key}"))).otherwise(F.col(key))
     df = df.withColumn(key, required)
     new = first_per_key(df, key, order).withColumn(BUCKET, _bucket(key, buckets))

@@ -24,7 +24,11 @@ def stream_windows(
     length: str = f"{fv.ALERT_WINDOW_MINUTES} minutes",
     slide: str = "1 minute",
 ) -> DataFrame:
-    """Closed windows with requests, error rate and approximate p99. Requests later than the delay are dropped."""
+    """Closed windows with requests, error rate and approximate p99. Requests later than the delay are dropped.
+
+    A watermark needs instants, so times without a zone are read in the session's zone: use one without
+    clock changes, as ``build_session`` does.
+    """
     stamped = requests.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
     return (
         stamped.groupBy(F.window("ts", length, slide).alias("w"))
@@ -39,7 +43,7 @@ def stream_windows(
 
 def _per_slide(requests: DataFrame, slide_minutes: int, keys: list[str], *aggregates: Column) -> DataFrame:
     """Requests reduced to one row per slide (and key) before they are copied into windows."""
-    start = F.window(F.col("ts").cast("timestamp"), f"{slide_minutes} minutes").getField("start")
+    start = F.window("ts", f"{slide_minutes} minutes").getField("start")
     return requests.withColumn("_slide", start).groupBy("_slide", *keys).agg(*aggregates)
 
 

@@ -11,7 +11,7 @@ from segmentry import schemas
 from segmentry.functions import text as tx
 from segmentry.operators.predict import predict_segments
 from segmentry.operators.reviews import with_clean_text
-from segmentry.operators.vectors import HASH_MODEL, embed_new
+from segmentry.operators.vectors import HASH_MODEL, embed_new, first_records
 from segmentry.sources import tables
 from segmentry.sources.reviews import normalize
 
@@ -61,11 +61,12 @@ def embed_and_predict(
 ) -> StreamingQuery:
     """Per micro-batch: new vectors are inserted if absent, assignments replaced by key.
 
-    Both writes give the same tables when a micro-batch is run again.
+    Both writes give the same tables when a micro-batch is run again. Of a record that is repeated inside a
+    micro-batch, the first row counts in both.
     """
 
     def handle(batch: DataFrame, _: int) -> None:
-        batch.persist()
+        batch = first_records(batch, record_id).persist()
         try:
             embed_new(batch.sparkSession, batch, vectors_path, record_id, model)
             tables.replace_by_key(predict_segments(batch, centroids, record_id), assignments_path, "record_id")

@@ -61,6 +61,18 @@ def test_alert_holds_only_without_gaps(spark):
     assert held(requests({5, 6, 7, 8, 9}, quiet={7})) == []
 
 
+def test_windows_do_not_depend_on_the_session_zone(spark):
+    at = [dt.datetime(2024, 3, 10, 2, 30), dt.datetime(2024, 3, 10, 3, 30)]
+    df = spark.createDataFrame([(t, 200, 1.0) for t in at], "ts timestamp_ntz, status int, latency_s double")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rates = alerts.error_rates(df, length_minutes=1).orderBy("window_start").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert [(r["window_start"], r["requests"]) for r in rates] == [(t, 1) for t in at]
+
+
 def test_windows_count_each_request_in_every_window(spark):
     start = dt.datetime(2024, 1, 1, 0, 10)
     df = spark.createDataFrame([(start, 500, 1.0), (start, 200, 2.0)], "ts timestamp, status int, latency_s double")

@@ -61,6 +61,17 @@ def test_insert_if_absent(spark, path):
         tables.insert_if_absent(frame(spark, [(None, 1)]), path, "id", "val")
 
 
+def test_bucket_count_belongs_to_the_table(spark, path):
+    rows = [(str(i), i) for i in range(20)]
+    tables.replace_by_key(frame(spark, rows), path, "id", buckets=4)
+    tables.replace_by_key(frame(spark, rows), path, "id")
+    tables.insert_if_absent(frame(spark, rows), path, "id", "val")
+    assert content(tables.read_keyed(spark, path)) == sorted(rows)
+    for write in (tables.replace_by_key, tables.append_keyed):
+        with pytest.raises(ValueError, match="4 buckets"):
+            write(frame(spark, rows), path, "id", buckets=64)
+
+
 def test_append_matches_by_name(spark, path):
     tables.append(frame(spark, [("a", 1)]), path)
     tables.append(frame(spark, [("b", 2)]).select("val", "id"), path)

@@ -105,6 +105,13 @@ def test_embedding_is_idempotent_and_versioned(spark, path):
     vec.embed_new(spark, docs, path, model=("hashing-tf", "2"))
     assert tables.read_keyed(spark, path).groupBy("model_version").count().count() == 2
     assert tables.read_keyed(spark, path).count() == 40
+    assert vec.of_model(tables.read_keyed(spark, path)).count() == 20
+
+
+def test_first_record_counts_not_the_smallest_text(spark):
+    rows = spark.createDataFrame([("a", "z", 2), ("a", "b", 1), ("b", "q", 5), ("a", "c", 0)], "id string, text string, n int").coalesce(1)
+    assert {r["id"]: r["text"] for r in vec.first_records(rows, "id").collect()} == {"a": "z", "b": "q"}
+    assert {r["id"]: r["text"] for r in vec.first_records(rows, "id", "n").collect()} == {"a": "c", "b": "q"}
 
 
 # Search ------------------------------------------------------------------------------------
@@ -119,7 +126,7 @@ def brute(queries, store, k):
 
 
 # The three ways: few queries, small store, both sides in blocks.
-@pytest.mark.parametrize("limit, block", [(10**8, 10**8), (8 * 1024 * 201, 10**8), (1, 8 * 1024 * 60)])
+@pytest.mark.parametrize("limit, block", [(10**8, 10**8), (8 * 16 * 201, 10**8), (1, 8 * 16 * 60)])
 def test_exact_search(spark, unit_vectors, vectors, limit, block):
     rng = np.random.default_rng(3)
     wanted = np.concatenate([rng.normal(0, 1, (205, 16)), unit_vectors[:3]])
@@ -147,7 +154,7 @@ def test_search_with_hot_copies(spark, unit_vectors):
     rows = named(matrix[:40]) + [("r000", [float(x) for x in unit_vectors[0]])] * 20
     store = spark.createDataFrame(rows, "record_id string, embedding array<double>").repartition(4)
     queries = store.where("record_id = 'r000'").limit(1)
-    found = search.exact_top_k(queries, store, "record_id", "record_id", k=25, limit_bytes=1, block_bytes=8 * 1024 * 20)
+    found = search.exact_top_k(queries, store, "record_id", "record_id", k=25, limit_bytes=1, block_bytes=8 * 16 * 20)
     assert sum(r["record_id"] == "r000" for r in found.collect()) == 21
 
 
@@ -161,6 +168,11 @@ def test_approximate_search_with_all_cells_is_exact(spark, unit_vectors, vectors
     some = search.approximate_top_k(vectors, cells, centers, "record_id", "record_id", k=5, probes=2)
     hits = some.join(exact, ["query_id", "record_id"]).count()
     assert hits >= 0.7 * exact.count()
+    # More queries than the limit visit the same cells.
+    blocks = search.approximate_top_k(
+        vectors, cells, centers, "record_id", "record_id", k=5, probes=2, limit_bytes=1, block_bytes=8 * 16 * 7
+    )
+    assert sorted(map(tuple, blocks.select(*key).collect())) == sorted(map(tuple, some.select(*key).collect()))
 
 
 # Quality -----------------------------------------------------------------------------------
