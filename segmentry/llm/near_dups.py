@@ -44,6 +44,7 @@ ROWS = 5
 ZERO_BITS, MANTISSA_BITS = 6, 10
 # Estimates so far below the limit are not confirmed; more than seven standard deviations at 160 registers.
 MARGIN = 0.25
+PARITY_BITS = 512
 SHINGLE_WORDS = 5
 PERCENT = 80
 
@@ -192,6 +193,15 @@ def _nodes(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("_a").alias("_node")).unionByName(pairs.select(F.col("_b").alias("_node"))).distinct()
 
 
+def parities(hashes: np.ndarray) -> list[int]:
+    """For each of ``PARITY_BITS`` places, as signed words of 64, whether an odd number of hashes falls there.
+
+    Two sets differ in at least as many elements as their parities differ in bits.
+    """
+    odd = np.bincount((hashes % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def _shingles(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = WordHashes()
@@ -200,8 +210,10 @@ def _shingles(size: int):
                 found = shingle_hashes(words_of(text.as_py(), lower=True), size, memory)
                 many = pa.array(np.full(len(found), i))
                 same = pa.array(np.full(len(found), len(found), np.int64))
-                columns = [batch.column("_node").take(many), batch.column("_root").take(many), same, pa.array(found.view(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, ["_node", "_root", "_n", "_g"])
+                # Once for each text; the window that ranks its shingles gives it to all of them.
+                odd = pa.array([parities(found), *[None] * (len(found) - 1)], pa.list_(pa.int64()))
+                columns = [batch.column("_node").take(many), batch.column("_root").take(many), same, pa.array(found.view(np.int64)), odd]
+                yield pa.RecordBatch.from_arrays(columns, ["_node", "_root", "_n", "_g", "_odd"])
 
     return run
 
@@ -212,24 +224,28 @@ def _pairs_across(members: DataFrame, texts: DataFrame, size: int, percent: int)
     Shingles are put in one order, rarest among the members first. Sets of n and m shingles that are similar
     share at least t = percent * (n + m) / (100 + percent), so their first n - t + 1 and m - t + 1 in that
     order meet. A copy that differs from all others in too many words starts with shingles of its own and
-    meets nobody, which is what keeps large groups of copies from being compared pair by pair.
+    meets nobody, which is what keeps large groups of copies from being compared pair by pair. Pairs that meet
+    go on only if their parities leave room for t common shingles, which no similar pair fails.
     """
     rows = members.join(texts, "_node").select("_node", "_root", "_text")
-    shingles = rows.mapInArrow(_shingles(size), "_node binary, _root binary, _n bigint, _g bigint")
+    shingles = rows.mapInArrow(_shingles(size), "_node binary, _root binary, _n bigint, _g bigint, _odd array<bigint>")
     often = shingles.groupBy("_g").agg(F.count(F.lit(1)).alias("_df")).where("_df > 1")
-    ranked = shingles.join(often, "_g", "left").withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("_node").orderBy(F.coalesce("_df", F.lit(1)), "_g"))
-    )
+    ranked = shingles.join(often, "_g", "left").withColumns({
+        "_rank": F.row_number().over(Window.partitionBy("_node").orderBy(F.coalesce("_df", F.lit(1)), "_g")),
+        "_odd": F.max("_odd").over(Window.partitionBy("_node")),
+    })
     # A shingle of one member takes its place in the order but meets nobody.
     first = ranked.where((100 * F.col("_rank") <= (100 - percent) * F.col("_n") + 100) & F.col("_df").isNotNull())
-    first = checkpointed(first.select("_g", "_node", "_root", "_n", "_rank"))
-    side = lambda c: first.select("_g", *(F.col(f"_{x}").alias(f"_{x}_{c}") for x in ("node", "root", "n", "rank")))
+    first = checkpointed(first.select("_g", "_node", "_root", "_n", "_rank", "_odd"))
+    side = lambda c: first.select("_g", *(F.col(f"_{x}").alias(f"_{x}_{c}") for x in ("node", "root", "n", "rank", "odd")))
     a, b = side("a"), side("b")
     common = F.ceil(F.lit(percent) * (a["_n_a"] + b["_n_b"]) / F.lit(100 + percent))
+    apart = sum(F.bit_count(F.col("_odd_a")[i].bitwiseXOR(F.col("_odd_b")[i])) for i in range(PARITY_BITS // 64))
     meet = (
         (a["_g"] == b["_g"]) & (a["_root_a"] < b["_root_b"])
         & (F.col("_rank_a") <= F.col("_n_a") - common + 1) & (F.col("_rank_b") <= F.col("_n_b") - common + 1)
         & (100 * F.least("_n_a", "_n_b") >= percent * F.greatest("_n_a", "_n_b"))
+        & (apart <= F.col("_n_a") + F.col("_n_b") - 2 * common)
     )
     return a.join(b, meet).select(F.col("_node_a").alias("_a"), F.col("_node_b").alias("_b")).distinct()
 

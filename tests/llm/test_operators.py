@@ -359,3 +359,12 @@ def test_pipeline(spark, docs, tmp_path):
     assert Counter(r.doc_id for r in out) == ids
     starts = [r.start for r in out]
     assert starts == [0, *np.cumsum([r.n_tokens for r in out])[:-1].tolist()]
+
+
+def test_parities_never_rule_out_a_similar_pair():
+    rng = np.random.default_rng(3)
+    for size in (1, 40, 400, 9000):
+        a = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+        b = np.unique(np.concatenate([a[size // 9 :], rng.integers(0, 1 << 63, size // 9 + 1).astype(np.uint64)]))
+        differ = sum((x ^ y).bit_count() for x, y in zip(*([v % (1 << 64) for v in near_dups.parities(s)] for s in (a, b)), strict=True))
+        assert differ <= len(np.setxor1d(a, b))
