@@ -44,7 +44,7 @@ ROWS = 5
 ZERO_BITS, MANTISSA_BITS = 6, 10
 # Estimates so far below the limit are not confirmed; more than seven standard deviations at 160 registers.
 MARGIN = 0.25
-PARITY_BITS = 512
+PARITY_BITS = 256
 SHINGLE_WORDS = 5
 PERCENT = 80
 
