@@ -1,14 +1,17 @@
 """Training texts that hold benchmark items, also edited ones.
 
-Seeds are the runs of three words of the items. Their document counts over the whole corpus decide which are rare:
-those that occur in no more than twice as many documents as the item's median run. That is relative to the item, so
-an item that leaked into a third of all documents keeps its seeds while runs of common words go. Where a text
-holds a rare seed, the passage around it is aligned with the item by Smith-Waterman over words (match 2,
-mismatch and gap -1); the score is the share of the score of a perfect copy. A passage whose common words cannot
-reach the limit is not aligned.
+The score of a text and an item is that of their best local alignment by Smith-Waterman over words (match 2,
+mismatch and gap -1) as a share of a perfect copy's; a text holds the item if that reaches ``least_share``.
+
+Nothing is given up to get there. An alignment of m matches and e edits has at most e + 1 runs of matches, so at
+least m - e - 1 of the item's two-word runs stand in it, and its matches lie within e diagonals. With 2m - e >= S and
+m <= n words, that is S - n - 1 runs within 2n - S diagonals (where S <= n + 1, at least S / 2 words). Only where a
+text has so many seeds of an item that near to each other is the passage around them compared with it: first by
+the words they have in common, m, which raises the number of runs needed, then by alignment. How often a seed
+occurs elsewhere plays no part.
 
 Items are sent to the tasks in blocks of at most ``BLOCK_CHARS`` characters; more items mean more passes over the
-documents, not a larger broadcast.
+documents, not a larger broadcast. Long texts are read in overlapping pieces.
 
 Words are lower-cased and freed of ASCII punctuation. Defined results: null, empty and blank texts match nothing,
 nor do items without words; items of fewer than ``SHORT_ITEM`` words only match whole copies; repeated rows are
@@ -20,6 +23,7 @@ from __future__ import annotations
 import sys
 from collections import Counter
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +35,12 @@ from segmentry.llm.hashing import WordHashes, windows
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SEED_WORDS = 3
 SHORT_ITEM = 8
 LIMIT = 0.6
 BLOCK_CHARS = 16 << 20
 FILTER_BITS = 22
 SCORES_KEPT = 50_000
+PIECE_WORDS = 1 << 13
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 TO_BLANK = bytes.maketrans(PUNCTUATION, b" " * len(PUNCTUATION))
 
@@ -59,118 +63,114 @@ def local_score(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def least_share(words: int, limit: float) -> float:
+    """The least score of an item of so many words."""
+    return limit if words >= SHORT_ITEM else 1.0
+
+
 class Items:
     """A block of items with their seeds in sorted order."""
 
-    def __init__(self, names: list, words: list[np.ndarray]):
+    def __init__(self, names: list, words: list[np.ndarray], limit: float):
         self.names, self.words = names, words
-        memory = [(windows(w, min(SEED_WORDS, len(w))), i) for i, w in enumerate(words) if len(w)]
+        n = np.array([len(w) for w in words], np.int64)
+        self.least = np.array([max(1, ceil(least_share(len(w), limit) * 2 * len(w))) for w in words], np.int64)
+        self.slack = np.maximum(2 * n - self.least, 0)  # edits of an alignment that reaches the least score
+        self.longest = int((n + self.slack).max(initial=0))
+        size = np.where(self.least - n - 1 >= 1, 2, 1)
+        self.needed = np.where(size == 2, self.least - n - 1, -(-self.least // 2))
+        self.sizes = sorted(set(size[n > 0].tolist()))
+        memory = [(windows(w, int(size[i])), i) for i, w in enumerate(words) if len(w)]
         seeds = np.concatenate([h for h, _ in memory]) if memory else np.empty(0, np.uint64)
         item = np.concatenate([np.full(len(h), i) for h, i in memory]) if memory else np.empty(0, np.int64)
         place = np.concatenate([np.arange(len(h)) for h, _ in memory]) if memory else np.empty(0, np.int64)
         order = np.argsort(seeds, kind="stable")
-        self.keep(seeds[order], item[order], place[order])
-
-    def keep(self, seeds: np.ndarray, item: np.ndarray, place: np.ndarray) -> None:
-        self.seeds, self.item, self.place = seeds, item, place
-        self.distinct = np.unique(seeds)
-        self.first = np.searchsorted(seeds, self.distinct)
-        self.last = np.searchsorted(seeds, self.distinct, "right")
+        seeds, self.item, self.place = seeds[order], item[order], place[order]
+        self.distinct, self.first, self.count = np.unique(seeds, return_index=True, return_counts=True)
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[(self.distinct >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
 
-    def only_rare(self, counts: dict[int, int]) -> None:
-        often = np.array([counts.get(int(s), 0) for s in self.seeds.view(np.int64)], np.int64)
-        limit = np.zeros(len(self.words))
-        for i in range(len(self.words)):
-            own = often[self.item == i]
-            limit[i] = 2 * np.median(own) if len(own) else 0
-        rare = often <= np.maximum(limit[self.item], 1) if len(often) else np.zeros(0, bool)
-        self.keep(self.seeds[rare], self.item[rare], self.place[rare])
-
     def hits(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places in a text, and the number of the distinct seed at each."""
-        places, which = [], []
-        for size in range(1, SEED_WORDS + 1):
-            if size < SEED_WORDS and not self.has_short:
-                continue
+        places, which = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for size in self.sizes:
             own = windows(hashes, size)
             maybe = np.flatnonzero(self.filter[(own >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
             at = np.minimum(np.searchsorted(self.distinct, own[maybe]), len(self.distinct) - 1)
-            sure = self.distinct[at] == own[maybe] if len(self.distinct) else np.zeros(len(maybe), bool)
+            sure = self.distinct[at] == own[maybe]
             places.append(maybe[sure])
             which.append(at[sure])
         return np.concatenate(places), np.concatenate(which)
 
-    @property
-    def has_short(self) -> bool:
-        return any(0 < len(w) < SEED_WORDS for w in self.words)
-
 
-def load_items(rows: list[tuple]) -> Items:
+def load_items(rows: list[tuple], limit: float) -> Items:
     memory = WordHashes()
-    return Items([r[0] for r in rows], [memory.of(plain_words(r[1])) for r in rows])
+    return Items([r[0] for r in rows], [memory.of(plain_words(r[1])) for r in rows], limit)
 
 
-def matches(items: Items, hashes: np.ndarray, limit: float, known: dict) -> list[tuple[int, float, int]]:
-    """(item, best score, word at which the copy ends) of the items that a text holds."""
+def passages(items: Items, hashes: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """(item, from, to, number of seeds) of the passages that have seeds enough; each alignment to be found is in one."""
     places, which = items.hits(hashes)
-    if not len(places):
-        return []
-    count = items.last[which] - items.first[which]
+    count = items.count[which]
     own = np.repeat(items.first[which], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
     item, diagonal = items.item[own], np.repeat(places, count) - items.place[own]
+    enough = np.bincount(item, minlength=len(items.words)) >= items.needed
+    item, diagonal = item[enough[item]], diagonal[enough[item]]
     order = np.lexsort((diagonal, item))
     item, diagonal = item[order], diagonal[order]
+    slack, last = items.slack[item], np.arange(len(item)) + items.needed[item] - 1
+    there = np.minimum(last, len(item) - 1)
+    near = (last < len(item)) & (item[there] == item) & (diagonal[there] - diagonal <= slack)
+    starts = np.flatnonzero(near)
+    if not len(starts):
+        return
+    i, d, s = item[starts], diagonal[starts], slack[starts]
+    cut = np.flatnonzero((np.diff(i) != 0) | (np.diff(d) > s[1:]))
+    for a, b in zip([0, *(cut + 1).tolist()], [*cut.tolist(), len(starts) - 1], strict=True):
+        low, high = int(d[a] - s[a]), int(d[b] + s[b])
+        begin = np.searchsorted(item, i[a])
+        seeds = diagonal[begin : np.searchsorted(item, i[a], "right")]
+        n = np.searchsorted(seeds, high, "right") - np.searchsorted(seeds, low)
+        yield int(i[a]), max(0, low), high + len(items.words[i[a]]), int(n)
+
+
+def aligned(items: Items, i: int, passage: np.ndarray, seeds: int) -> tuple[float, int] | None:
+    """Score and end of the best alignment, if it reaches the item's least score."""
+    words, least = items.words[i], int(items.least[i])
+    have, want = Counter(passage.tolist()), Counter(words.tolist())
+    common = sum(min(n, have[w]) for w, n in want.items())
+    if 2 * common < least or seeds < least - common - 1:
+        return None
+    score, stop = local_score(words, passage)
+    return (score / (2 * len(words)), stop) if score >= least else None
+
+
+def matches(items: Items, hashes: np.ndarray, known: dict) -> list[tuple[int, float, int]]:
+    """(item, best score, word at which the copy ends) of the items that a text holds."""
     found: dict[int, tuple[float, int]] = {}
-    at = 0
-    while at < len(item):
-        i = int(item[at])
-        words = items.words[i]
-        slack = len(words) // 4 + 5
-        end = at + 1
-        while end < len(item) and item[end] == i and diagonal[end] - diagonal[end - 1] <= slack:
-            end += 1
-        low = max(0, int(diagonal[at]) - slack)
-        passage = hashes[low : int(diagonal[end - 1]) + len(words) + slack]
-        at = end
-        key = (i, passage.tobytes())
-        if key not in known:
-            need = (limit if len(words) >= SHORT_ITEM else 1.0) * 2 * len(words)
-            have, want = Counter(passage.tolist()), Counter(words.tolist())
-            result = None
-            if 2 * sum(min(n, have[w]) for w, n in want.items()) >= need:
-                score, stop = local_score(words, passage)
-                result = (score / (2 * len(words)), stop) if score >= need else None
-            if len(known) >= SCORES_KEPT:
-                known.clear()
-            known[key] = result
-        if known[key] and known[key][0] > found.get(i, (0, 0))[0]:
-            found[i] = (known[key][0], low + known[key][1])
+    # Any alignment lies whole in one of the pieces.
+    step = max(PIECE_WORDS, items.longest)
+    for start in range(0, max(1, len(hashes) - items.longest), step):
+        piece = hashes[start : start + step + items.longest]
+        for i, low, high, seeds in passages(items, piece):
+            passage = piece[low:high]
+            key = (i, seeds, passage.tobytes())
+            if key not in known:
+                if len(known) >= SCORES_KEPT:
+                    known.clear()
+                known[key] = aligned(items, i, passage, seeds)
+            if known[key] and known[key][0] > found.get(i, (0, 0))[0]:
+                found[i] = (known[key][0], start + low + known[key][1])
     return [(i, score, stop) for i, (score, stop) in found.items()]
 
 
-def _count_seeds(ref):
+def _find(ref, limit: float, text_at: int, keep_clean: bool, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, memory = load_items(ref.value), WordHashes()
-        counts = np.zeros(len(items.distinct), np.int64)
-        for batch in batches:
-            for text in batch.column(0):
-                counts[np.unique(items.hits(memory.of(plain_words(text.as_py())))[1])] += 1
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(items.distinct[some].view(np.int64)), pa.array(counts[some])], ["_seed", "_n"])
-
-    return run
-
-
-def _find(ref, counts_ref, limit: float, text_at: int, keep_clean: bool, names: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, memory, known = load_items(ref.value), WordHashes(), {}
-        items.only_rare(counts_ref.value)
+        items, memory, known = load_items(ref.value, limit), WordHashes(), {}
         for batch in batches:
             rows, found = [], []
             for row, text in enumerate(batch.column(text_at)):
-                for match in matches(items, memory.of(plain_words(text.as_py())), limit, known):
+                for match in matches(items, memory.of(plain_words(text.as_py())), known):
                     rows.append(row)
                     found.append(match)
             if keep_clean:
@@ -198,15 +198,6 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str):
         yield [tuple(r) for r in own]
 
 
-def _prepared(docs: DataFrame, text_col: str, items: list[tuple]):
-    context = docs.sparkSession.sparkContext
-    ref = context.broadcast(items)
-    counted = docs.select(F.coalesce(F.col(text_col), F.lit(""))).mapInArrow(_count_seeds(ref), "_seed bigint, _n bigint")
-    # At most a row for each seed of the block.
-    counts = {r["_seed"]: r["_n"] for r in counted.groupBy("_seed").agg(F.sum("_n").alias("_n")).collect()}
-    return ref, context.broadcast(counts)
-
-
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                item_text_col: str = "text", limit: float = LIMIT) -> DataFrame:
     """``doc_id``, ``item_id``, ``score`` and ``end_word`` for every document and item it holds a copy of."""
@@ -215,8 +206,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     out = docs.sparkSession.createDataFrame([], schema)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     for items in _blocks(benchmark, item_col, item_text_col):
-        ref, counts = _prepared(docs, text_col, items)
-        out = out.unionByName(rows.mapInArrow(_find(ref, counts, limit, 1, False, names), schema))
+        ref = docs.sparkSession.sparkContext.broadcast(items)
+        out = out.unionByName(rows.mapInArrow(_find(ref, limit, 1, False, names), schema))
     return out
 
 
@@ -225,6 +216,6 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
     """The documents that hold no item, all columns."""
     out = docs
     for items in _blocks(benchmark, item_col, item_text_col):
-        ref, counts = _prepared(docs, text_col, items)
-        out = out.mapInArrow(_find(ref, counts, limit, docs.columns.index(text_col), True, []), docs.schema)
+        ref = docs.sparkSession.sparkContext.broadcast(items)
+        out = out.mapInArrow(_find(ref, limit, docs.columns.index(text_col), True, []), docs.schema)
     return out

@@ -271,6 +271,47 @@ def test_decontamination(spark, docs, nothing):
     assert decontamination.find_leaks(nothing, bench).count() == 0
 
 
+@pytest.mark.parametrize("copies", [1, 2, 1000])
+def test_an_edited_copy_is_found_however_often_it_stands(spark, copies):
+    item = prose(40, 910)
+    changed = " ".join(f"new{k}" if k % 5 == 4 else w for k, w in enumerate(item.split()))
+    texts = [(k, f"{prose(20, k)} {changed} {prose(20, 5000 + k)}") for k in range(copies)] + [(-1, prose(80, 911))]
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(9, item)], "item_id bigint, text string")
+    found = decontamination.find_leaks(frame, bench).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(k, 9) for k in range(copies)]
+    assert min(r.score for r in found) >= 0.7
+
+
+def test_every_text_that_reaches_the_limit_is_found(monkeypatch):
+    """Against the alignment of every item with every whole text; few different words, so that seeds are common."""
+    monkeypatch.setattr(decontamination, "PIECE_WORDS", 50)
+    r = random.Random(12)
+    items = [(k, " ".join(r.choices(VOCABULARY[:60], k=n))) for k, n in enumerate([8, 9, 10, 11, 12, 15, 23, 40, 59] * 2)]
+    texts = []
+    for _, item in items:
+        w = item.split()
+        for edits in range(0, len(w) + 1, 1 + len(w) // 9):
+            own = list(w)
+            for _ in range(edits):
+                k = r.randrange(len(own))
+                own[k : k + 1] = r.choice([["x"], [], [own[k], "y"], [own[k], *r.choices(VOCABULARY[:60], k=3)]]) if len(own) > 1 else own
+            texts.append(" ".join(r.choices(VOCABULARY[:60], k=70) + own + r.choices(VOCABULARY[:60], k=30)))
+        texts += [" ".join(x + " z" * (k % 2) for k, x in enumerate(w)), " ".join(w[: len(w) // 2] + ["z"] * (len(w) // 2) + w[len(w) // 2 :])]
+    loaded, known, hashes = decontamination.load_items(items, 0.6), {}, decontamination.WordHashes()
+    reached = 0
+    for text in texts:
+        words = hashes.of(decontamination.plain_words(text))
+        want = {}
+        for i, own in enumerate(loaded.words):
+            score = decontamination.local_score(own, words)[0]
+            if score >= 0.6 * 2 * len(own):
+                want[i] = score / (2 * len(own))
+        assert {i: score for i, score, _ in decontamination.matches(loaded, words, known)} == want
+        reached += len(want)
+    assert len(items) < reached < len(texts) * len(items) // 4
+
+
 def test_licenses(spark, nothing):
     mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this fine software and associated documentation files"
     texts = [(1, "Released under the MIT License, under the mit license"), (2, "é under-the mit.license"), (3, "Apache License Version 2 CC BY NC cc by nc"),
