@@ -14,8 +14,8 @@ Items are sent to the tasks in blocks of at most ``BLOCK_CHARS`` characters; mor
 documents, not a larger broadcast. Long texts are read in overlapping pieces.
 
 Words are lower-cased and freed of ASCII punctuation. Defined results: null, empty and blank texts match nothing,
-nor do items without words; items of fewer than ``SHORT_ITEM`` words only match whole copies; repeated rows are
-judged alike; an empty benchmark matches nothing; other columns are not read.
+nor do items without words; repeated rows are judged alike; an empty benchmark matches nothing; other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -64,8 +64,8 @@ def local_score(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
 
 
 def least_share(words: int, limit: float) -> float:
-    """The least score of an item of so many words."""
-    return limit if words >= SHORT_ITEM else 1.0
+    """The least score of an item of so many words: from 1 for one word down to ``limit`` for ``SHORT_ITEM``."""
+    return limit if words >= SHORT_ITEM else 1 - (1 - limit) * (words - 1) / (SHORT_ITEM - 1)
 
 
 class Items:

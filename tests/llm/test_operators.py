@@ -312,6 +312,20 @@ def test_every_text_that_reaches_the_limit_is_found(monkeypatch):
     assert len(items) < reached < len(texts) * len(items) // 4
 
 
+def test_short_items_and_inserted_words(spark):
+    seven, long = "my dog ate seven warm apple pies", prose(20, 920)
+    texts = [(1, "so my dog ate nine warm apple pies today"), (2, "so my dog ate nine cold apple pies today"), (3, "warm apple pies"),
+             (4, " ".join(w + " oh" * (k % 2) for k, w in enumerate(long.split()))), (5, "apple"), (6, "pie apple")]
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(7, seven), (20, long), (1, "pie"), (2, "apple tart")], "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id): r.score for r in decontamination.find_leaks(frame, bench).collect()}
+    assert found == {(1, 7): pytest.approx(11 / 14), (4, 20): pytest.approx((2 * 20 - 9) / 40), (6, 1): 1.0}
+    assert [decontamination.least_share(n, 0.6) for n in (1, 8, 50)] == [1.0, 0.6, 0.6]
+    # One changed word inside, at an end.
+    assert [n for n in range(2, 9) if 1 - 1.5 / n >= decontamination.least_share(n, 0.6)] == [6, 7, 8]
+    assert [n for n in range(2, 9) if 1 - 1 / n >= decontamination.least_share(n, 0.6)] == [5, 6, 7, 8]
+
+
 def test_licenses(spark, nothing):
     mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this fine software and associated documentation files"
     texts = [(1, "Released under the MIT License, under the mit license"), (2, "é under-the mit.license"), (3, "Apache License Version 2 CC BY NC cc by nc"),
