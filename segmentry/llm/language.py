@@ -7,7 +7,9 @@ is coded in the next shorter context (n: bytes seen, d: different bytes seen); b
 byte costs 8 bits. A text gets the language that codes it in the fewest bits.
 
 The frozen trees become one table: the longest context that any language knows, times byte, gives the exact
-code length in each language, so a text is scored with a few vector lookups per byte.
+code length in each language, so a text is scored with a few vector lookups per byte. Where that table would have more
+than ``TABLE_CELLS`` cells, the trees stay as they were counted, an entry for each context or byte that a language has
+seen, and the code lengths of the different runs of four bytes in a text are put together from them. Nothing is cut.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0, and so is every text if no
 labelled row can be learned from. Equal code lengths go to the smaller language name. The score is the
@@ -31,9 +33,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Rows learned from for each language, whole texts: those with the smallest hashed ids.
 SAMPLE_ROWS = 400
-# The table holds so many code lengths at most; the rarest contexts give way first.
-TABLE_CELLS = 4_000_000
-BYTES_PER_STEP = 1 << 20
+# The table holds so many code lengths at most; larger ones are not built.
+TABLE_CELLS = 8_000_000
+CELLS_PER_STEP = 1 << 20  # code lengths at once: bytes of texts times languages
 UNKNOWN = "und"
 ORDERS = 4  # contexts of 0 to 3 bytes
 BEFORE = ord("\n")  # what stands before a text
@@ -46,6 +48,7 @@ class Model:
     states: np.ndarray  # last three symbols -> longest known context
     bits: np.ndarray  # context * side + symbol -> code length in each language
     side: int  # number of symbols
+    trees: tuple | None = None  # escapes by context and code lengths by context and byte, where there is no table
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -95,33 +98,42 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
     ).dropna(subset=["_lang", "_id", "_text"])
     counts = _sample(labelled, sample_rows).mapInArrow(_count, "_lang string, _key bigint, _n bigint")
     # Bounded by the sample: a row for each context and byte of it.
-    table = counts.groupBy("_lang", "_key").agg(F.sum("_n").alias("_n")).toArrow().to_pydict()
-    return freeze(table["_lang"], np.array(table["_key"], np.int64), np.array(table["_n"], np.int64), table_cells)
+    table = counts.groupBy("_lang", "_key").agg(F.sum("_n").alias("_n")).toArrow()
+    names = table["_lang"].combine_chunks().dictionary_encode()
+    langs = np.array(names.dictionary.to_pylist(), str)[np.asarray(names.indices)]
+    return freeze(langs, np.asarray(table["_key"]), np.asarray(table["_n"]), table_cells)
 
 
-def freeze(langs: list[str], keys: np.ndarray, counts: np.ndarray, table_cells: int = TABLE_CELLS) -> Model:
-    """The table of exact code lengths from counts of (order, context, byte) by language."""
-    languages = sorted(set(langs))
-    if not languages:
+def _trees(names: np.ndarray, lang: np.ndarray, value: np.ndarray) -> tuple:
+    """Distinct names in order, where the entries of each begin, and their languages and values."""
+    order = np.lexsort((lang, names))
+    known, first = np.unique(names[order], return_index=True)
+    return known, np.append(first, len(names)), lang[order].astype(np.int32), value[order].astype(np.float32)
+
+
+def freeze(langs: list[str] | np.ndarray, keys: np.ndarray, counts: np.ndarray, table_cells: int = TABLE_CELLS) -> Model:
+    """Exact code lengths from counts of (order, context, byte) by language."""
+    if not len(langs):
         return Model([], np.zeros(256, np.uint8), np.zeros(1, np.int32), np.zeros((1, 0), np.float32), 1)
-    lang = np.searchsorted(np.array(languages), np.array(langs))
+    languages, lang = np.unique(np.asarray(langs, str), return_inverse=True)
+    languages = languages.tolist()
     order, byte, context = keys >> 32, keys & 255, (keys & 0xFFFFFFFF) >> 8
     seen = np.unique(np.append(byte, BEFORE))
     a, many = len(seen) + 1, len(languages)
+    names = order << 24 | context
+    states, own = np.unique(names, return_inverse=True)
+    if len(states) * a * many > table_cells:
+        trees, where = np.unique(names * many + lang, return_inverse=True)
+        total, kinds = np.bincount(where, counts), np.bincount(where)
+        return Model(
+            languages, np.arange(256, dtype=np.int32), np.zeros(1, np.int32), np.zeros((1, many), np.float32), 256,
+            (_trees(trees // many, trees % many, np.log2((total + kinds) / kinds)),
+             _trees(keys, lang, np.log2((total + kinds)[where] / counts))),
+        )
     symbols = np.zeros(256, np.int32)
     symbols[seen] = np.arange(1, a)
-    names = order << 24 | context
-    states, where = np.unique(names, return_inverse=True)
-    totals = np.bincount(where, counts)
-    # A shorter context is at least as frequent as a longer one that ends in it, so it is kept with it.
-    kept = np.lexsort((states, -totals))[: max(1, table_cells // (a * many))]
-    kept = np.sort(kept)
-    number = np.full(len(states), -1)
-    number[kept] = np.arange(len(kept))
-    states, own = states[kept], number[where]
-    n = np.zeros((len(states), a, many))
-    in_tree = own >= 0
-    n[own[in_tree], symbols[byte[in_tree]], lang[in_tree]] = counts[in_tree]
+    n = np.zeros((len(states), a, many), np.int32)
+    n[own, symbols[byte], lang] = counts
     bits = np.empty((len(states), a, many), np.float32)
     lookup = np.zeros((a, a, a), np.int32)
     for o in range(ORDERS):
@@ -129,16 +141,18 @@ def freeze(langs: list[str], keys: np.ndarray, counts: np.ndarray, table_cells:
         if not len(rows):
             continue
         c = states[rows] & 0xFFFFFF
-        if o == 0:
-            shorter = np.full((len(rows), a, many), 8.0)
-        else:
-            parent = np.searchsorted(states, (o - 1) << 24 | (c & ((1 << 8 * (o - 1)) - 1)))
-            shorter = bits[parent].astype(np.float64)
-        total, kinds = n[rows].sum(1, keepdims=True), (n[rows] > 0).sum(1, keepdims=True)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            found = np.log2((total + kinds) / n[rows])
-            other = np.log2((total + kinds) / kinds) + shorter
-        bits[rows] = np.where(total == 0, shorter, np.where(n[rows] > 0, found, other))
+        for some in np.array_split(np.arange(len(rows)), 1 + n[rows[0]].size * len(rows) // (1 << 19)):
+            at = rows[some]
+            if o == 0:
+                shorter = np.full((len(at), a, many), 8.0)
+            else:
+                parent = np.searchsorted(states, (o - 1) << 24 | (c[some] & ((1 << 8 * (o - 1)) - 1)))
+                shorter = bits[parent].astype(np.float64)
+            total, kinds = n[at].sum(1, keepdims=True), (n[at] > 0).sum(1, keepdims=True)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                found = np.log2((total + kinds) / n[at])
+                other = np.log2((total + kinds) / kinds) + shorter
+            bits[at] = np.where(total == 0, shorter, np.where(n[at] > 0, found, other))
         # Bytes before, nearest lowest in ``c``; nearest last in the lookup.
         s1, s2, s3 = (symbols[(c >> 8 * j) & 255] for j in range(3))
         if o == 0:
@@ -154,6 +168,24 @@ def freeze(langs: list[str], keys: np.ndarray, counts: np.ndarray, table_cells:
     return Model(languages, symbols, lookup.reshape(-1), bits.reshape(len(states) * a, many), a)
 
 
+def _costs(model: Model, keys: np.ndarray) -> np.ndarray:
+    """Bits of bytes in every language from the trees; ``keys``: the byte lowest, the three before it above."""
+    distinct, where = np.unique(keys, return_inverse=True)
+    bits = np.full((len(distinct), len(model.languages)), 8.0)
+    for o in range(ORDERS):
+        escapes = o << 24 | (distinct >> 8) & ((1 << 8 * o) - 1)
+        found = o << 32 | distinct & ((1 << 8 * (o + 1)) - 1)
+        for names, (known, first, lang, value) in zip((escapes, found), model.trees, strict=True):
+            at = np.minimum(np.searchsorted(known, names), len(known) - 1)
+            rows = np.flatnonzero(known[at] == names)
+            low = first[at[rows]]
+            n = first[at[rows] + 1] - low
+            own = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+            cell = np.repeat(rows, n), lang[own]
+            bits[cell] = value[own] + (bits[cell] if names is escapes else 0)
+    return bits.astype(np.float32)[where]
+
+
 def code_lengths(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Bits of every text in every language; ``data`` holds the texts' bytes, text i from offsets[i] on."""
     side = model.side
@@ -162,8 +194,9 @@ def code_lengths(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndar
     before = model.symbols[BEFORE]
     starts = offsets[:-1][np.diff(offsets) > 0]
     numbers = np.flatnonzero(np.diff(offsets) > 0)
-    for low in range(first, last, BYTES_PER_STEP):
-        high = min(low + BYTES_PER_STEP, last)
+    step = max(1, CELLS_PER_STEP // max(1, len(model.languages)))
+    for low in range(first, last, step):
+        high = min(low + step, last)
         back = min(ORDERS - 1, low - first)
         symbols = model.symbols[data[low - back : high]]
         symbols = np.concatenate([np.full(ORDERS - 1 - back, before, symbols.dtype), symbols])
@@ -176,8 +209,11 @@ def code_lengths(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndar
                 at = at[(at >= low) & (at < high)] - low
                 # Beyond the end of a short text, this is a place as near to the start of a later one.
                 near[j - 1][at] = before
-        context = (near[2] * side + near[1]) * side + near[0]
-        costs = model.bits[model.states[context] * side + symbols[ORDERS - 1 :]]
+        if model.trees:
+            costs = _costs(model, ((near[2].astype(np.int64) << 8 | near[1]) << 8 | near[0]) << 8 | symbols[ORDERS - 1 :])
+        else:
+            context = (near[2] * side + near[1]) * side + near[0]
+            costs = model.bits[model.states[context] * side + symbols[ORDERS - 1 :]]
         if lo == hi or starts[lo] > low:
             lo -= 1  # the text that began before this step
         cuts = np.maximum(starts[lo:hi] - low, 0)
@@ -213,5 +249,5 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[s
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(text.alias("__llm_text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("__llm_known"), *keep)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    ref = docs.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))  # bounded by TABLE_CELLS
+    ref = docs.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))  # bounded by TABLE_CELLS or the sample
     return rows.mapInArrow(_predicted(ref, added), f"{kinds}, `{added[0]}` string, `{added[1]}` double")

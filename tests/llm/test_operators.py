@@ -198,6 +198,37 @@ def test_code_lengths_follow_the_trees():
             assert value == pytest.approx(sum(cost(lang, full[:i], full[i], 3) for i in range(3, len(full))), rel=1e-4, abs=1e-4)
 
 
+def test_no_context_is_cut_for_many_languages():
+    """Twenty languages over the same bytes with an order of their own: the table would be too large."""
+    r = np.random.default_rng(8)
+    langs, keys, counts, texts = [], [], [], []
+    for k in range(20):
+        shift = {c: r.permutation(60)[:4] for c in range(60)}
+        at, out = [0], []
+        for _ in range(12_000 if k else 1200):  # one language with few rows
+            at.append(int(shift[at[-1]][r.integers(4)]))
+        data = np.array(at[1:]) + 65
+        full = np.concatenate([[10, 10, 10], data])
+        own = Counter()
+        for o in range(4):
+            own.update((o << 32 | sum(full[3 - j : len(full) - j].astype(np.int64) << 8 * j for j in range(o + 1))).tolist())
+        out = [1] + [int(shift[1][0])]
+        while len(out) < 200:
+            out.append(int(shift[out[-1]][r.integers(4)]))
+        texts.append(bytes(65 + x for x in out))
+        langs += [f"l{k:02d}"] * len(own)
+        keys += list(own)
+        counts += list(own.values())
+    given = langs, np.array(keys), np.array(counts)
+    data, offsets = np.frombuffer(b"".join(texts) + b"\xff~", np.uint8), np.append(np.arange(21) * 200, 4002)
+    model, full = language.freeze(*given), language.freeze(*given, table_cells=10**9)
+    assert model.trees and not full.trees
+    got, want = (language.code_lengths(m, data, offsets) for m in (model, full))
+    assert got == pytest.approx(want, rel=1e-4)
+    assert got[:20].argmin(1).tolist() == list(range(20))
+    assert sum(x.nbytes for part in model.trees for x in part) < 40 * len(keys)
+
+
 def test_language_id(spark, sf, docs, nothing):
     found = queries.op5_language_id(spark, sf)
     truth = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
