@@ -13,11 +13,22 @@ from segmentry.llm import decontamination, language, mixing, near_dups, queries,
 from segmentry.session import scratch_path
 
 
+# A text is in none of the languages if each codes it in more bits than no model does (8 a byte), by so many at least.
+# Short texts of a few rare bytes stay below that; no text of sf0.1, check_s or check_h costs more than under no model.
+BITS_OVER = 32
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; those without a letter go."""
+    """Documents whose language can be told: those without a letter go, and those that no language learned explains.
+
+    Where no label can be learned from, all documents with a letter stay.
+    """
     model = language.train(docs)
-    found = language.predict(docs, model, keep=tuple(docs.columns), added=("__llm_lang", "__llm_score"))
-    return found.where(F.col("__llm_lang") != language.UNKNOWN).select(*docs.columns)
+    if not model.languages:
+        return docs.where(language.has_letter())
+    found = language.predict(docs, model, keep=tuple(docs.columns), added=("__llm_lang", "__llm_score", "__llm_gain"))
+    told = (F.col("__llm_lang") != language.UNKNOWN) & (F.col("__llm_gain") > -BITS_OVER)
+    return found.where(told).select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

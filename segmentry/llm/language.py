@@ -56,6 +56,10 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def has_letter(text_col: str = "text") -> Column:
+    return F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
+
+
 def _sample(labelled: DataFrame, rows: int) -> DataFrame:
     """At most ``rows`` rows of each language, the same in every run."""
     labelled = labelled.withColumn("_h", F.xxhash64("_id", F.lit(17)))
@@ -221,7 +225,7 @@ def code_lengths(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndar
     return out
 
 
-def _predicted(model_ref, added: tuple[str, str]):
+def _predicted(model_ref, added: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*model_ref.value)
         for batch in batches:
@@ -229,25 +233,29 @@ def _predicted(model_ref, added: tuple[str, str]):
             known = np.asarray(batch.column(1)).astype(bool)
             offsets = np.frombuffer(text.buffers()[1], np.int64, len(text) + 1, text.offset * 8)
             data = np.frombuffer(text.buffers()[2], np.uint8) if text.buffers()[2] else np.empty(0, np.uint8)
-            names, score = [UNKNOWN] * len(text), np.zeros(len(text))
+            names, score, gain = [UNKNOWN] * len(text), np.zeros(len(text)), np.zeros(len(text))
             if model.languages and len(text):
                 bits = code_lengths(model, data, offsets)
                 best = bits.argmin(1)
                 share = 1 / np.exp2(bits.min(1, keepdims=True) - bits).sum(1)
                 names = [model.languages[b] if k else UNKNOWN for b, k in zip(best.tolist(), known.tolist(), strict=True)]
                 score = np.where(known, share, 0.0)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[2:], pa.array(names), pa.array(score)], [*batch.schema.names[2:], *added]
-            )
+                gain = 8.0 * np.diff(offsets) - bits.min(1)
+            found = [pa.array(names), pa.array(score), pa.array(gain)][: len(added)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[2:], *found], [*batch.schema.names[2:], *added])
 
     return run
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
-            added: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """The columns ``keep`` with the language and its score as ``added``; only the text decides."""
+            added: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:
+    """The columns ``keep`` with the language and its score as ``added``; only the text decides.
+
+    A third name in ``added`` gets the bits that the language saves against 8 a byte, the price under no model.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(text.alias("__llm_text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("__llm_known"), *keep)
+    rows = docs.select(text.alias("__llm_text"), has_letter(text_col).alias("__llm_known"), *keep)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
     ref = docs.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))  # bounded by TABLE_CELLS or the sample
-    return rows.mapInArrow(_predicted(ref, added), f"{kinds}, `{added[0]}` string, `{added[1]}` double")
+    more = ", ".join(f"`{a}` {kind}" for a, kind in zip(added, ("string", "double", "double")))
+    return rows.mapInArrow(_predicted(ref, added), f"{kinds}, {more}")

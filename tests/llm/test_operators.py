@@ -447,6 +447,18 @@ def test_pipeline(spark, docs, tmp_path):
     assert starts == [0, *np.cumsum([r.n_tokens for r in out])[:-1].tolist()]
 
 
+def test_pipeline_keeps_what_the_languages_explain(spark, docs):
+    foreign = [(900, "東京は日本の首都であり、世界でも最大級の都市です。" * 5), (901, "Ж"), (902, prose(3, 77)), (903, prose(300, 78)), (904, "12 345")]
+    more = spark.createDataFrame([(i, t, None, "s0", len(t), "clash", "clash") for i, t in foreign], SCHEMA)
+    kept = corpus_pipeline.known_language(spark, docs.unionByName(more), "")
+    ids = {r.doc_id for r in kept.collect()}
+    assert {901, 902, 903, *range(12), *range(101, 108)} <= ids and not {900, 904, 300, 301, 302, 305} & ids
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.known_language(spark, unlabelled, "")
+    assert kept.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r[0]) for r in rows() if re.search("[^\\W\\d_]", r[1] or ""))
+
+
 def test_parities_never_rule_out_a_similar_pair():
     rng = np.random.default_rng(3)
     for size in (1, 40, 400, 9000):
