@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from segmentry import fixed_values as fv
 from segmentry.functions.matrix import MAX_MATRIX_BYTES, bounded_rows, nearest_row
+from segmentry.functions.ordering import global_row_number
 from segmentry.operators.search import exact_top_k
 from segmentry.operators.segments import segment_name
 from segmentry.operators.vectors import Encoder, embed_reviews
@@ -41,13 +42,15 @@ def nearest_centroid(
             .select("*", F.col("_n.id").alias("segment_id"), F.col("_n.score").alias("similarity"))
             .drop("_n")
         )
-    # Zero-padded ids compare as text the way numbers do, which keeps the rule for ties.
-    padded = model.select(F.lpad(F.col("segment_id").cast("string"), 12, "0").alias("segment_id"), F.col("centroid").alias(vector))
+    # Zero-padded numbers in the order of the ids compare as text the way the ids do, which keeps the rule for ties.
+    numbered = global_row_number(model, "segment_id", "_number")
+    numbered = checkpointed(numbered.withColumn("_number", F.lpad(F.col("_number").cast("string"), 19, "0")))
     # A row id of its own: record ids may be null or repeated. It is stored, so both reads see the same.
     vectors = checkpointed(vectors.withColumn("_row", F.monotonically_increasing_id()))
-    found = exact_top_k(vectors, padded, "_row", "segment_id", k=1, vector=vector, limit_bytes=limit_bytes)
-    found = found.select(
-        F.col("query_id"), F.col("record_id").cast("int").alias("segment_id"), F.col("score").alias("similarity")
+    store = numbered.select("_number", F.col("centroid").alias(vector))
+    found = exact_top_k(vectors, store, "_row", "_number", k=1, vector=vector, limit_bytes=limit_bytes)
+    found = found.join(numbered.select("_number", "segment_id"), F.col("record_id") == F.col("_number")).select(
+        F.col("query_id"), F.col("segment_id").cast("int").alias("segment_id"), F.col("score").alias("similarity")
     )
     return vectors.join(found, F.col("_row").cast("string") == F.col("query_id")).drop("query_id", "_row")
 

@@ -352,3 +352,14 @@ def test_nearest_centroid_in_blocks_keeps_null_and_repeated_ids(spark):
     few, blocks = (predict.nearest_centroid(frame, centres, limit_bytes=n) for n in (1 << 20, 1))
     key = lambda df: sorted(map(str, df.select("record_id", "segment_id", "similarity").collect()))
     assert key(few) == key(blocks) and len(key(blocks)) == 4
+
+
+def test_nearest_centroid_in_blocks_keeps_negative_ids(spark):
+    rows = [("a", [1.0, 0.0]), ("b", [0.0, 1.0]), ("c", [-1.0, 0.0])]
+    frame = spark.createDataFrame(rows, "record_id string, embedding array<double>")
+    ids = [(-1, [1.0, 0.0]), (-20, [0.0, 1.0]), (3, [0.0, 1.0]), (2_000_000_000, [-1.0, 0.0]), (-2_000_000_000, [-1.0, 0.0]), (7, [1.0, 0.0])]
+    centres = spark.createDataFrame(ids, "segment_id int, centroid array<double>")
+    for limit in (1 << 20, 1):
+        found = predict.nearest_centroid(frame, centres, limit_bytes=limit)
+        assert found.schema["segment_id"].dataType.simpleString() == "int"
+        assert {r["record_id"]: r["segment_id"] for r in found.collect()} == {"a": -1, "b": -20, "c": -2_000_000_000}
