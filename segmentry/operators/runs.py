@@ -91,8 +91,11 @@ def stalled(run_log: DataFrame, now: Column | None = None, days: int = fv.STALLE
     )
 
 
-def overdue_months(run_log: DataFrame, months: DataFrame, now: Column, due_day: int = 2) -> DataFrame:
-    """Months (``target_month``, yyyy-MM) without a successful run by day ``due_day`` of the next month."""
-    done = run_log.where("status = 'success'").select("target_month").distinct()
+def overdue_months(run_log: DataFrame, months: DataFrame, now: Column, due_day: int = 2, by: tuple[str, ...] = ()) -> DataFrame:
+    """Months (``target_month``, yyyy-MM) without a successful run by day ``due_day`` of the next month.
+
+    ``by``: columns of both tables within which a month is looked for, such as the pipeline.
+    """
+    done = run_log.where("status = 'success'").select(*by, "target_month").distinct()
     due = F.add_months(F.to_date("target_month", "yyyy-MM"), 1) + F.make_dt_interval(days=F.lit(due_day))
-    return months.where(due <= now).join(done, "target_month", "left_anti")
+    return months.where(due <= now).join(done, [*by, "target_month"], "left_anti")

@@ -144,3 +144,22 @@ def column_quality_approximate(spark, sf):
     """The distinct counts are estimates and left out of the comparison."""
     out = drift.column_quality_approximate(_orders_with_gaps(spark, sf), QUALITY_COLUMNS).drop("distinct_values")
     return out.withColumns({c: round_even(F.col(c), 4) for c in ("mean", "std")})
+
+
+ESTIMATE_ERROR = 0.15  # three standard errors of the estimate
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(DISTINCT v) AS distinct_values, true AS estimate_within_bound
+        FROM (SELECT CASE WHEN o_orderkey % 9 <> 0 THEN CAST({c} AS DOUBLE) END AS v FROM orders)"""
+        for c in QUALITY_COLUMNS
+    )
+)
+def column_distinct_estimates(spark, sf):
+    """The exact distinct counts, and whether the approximate operator's estimates are within 15 % of them."""
+    df = _orders_with_gaps(spark, sf)
+    estimate = drift.column_quality_approximate(df, QUALITY_COLUMNS).select("column_name", F.col("distinct_values").alias("_estimate"))
+    exact = drift.column_quality(df, QUALITY_COLUMNS).select("column_name", "distinct_values")
+    near = F.abs(F.col("_estimate") - F.col("distinct_values")) <= ESTIMATE_ERROR * F.col("distinct_values")
+    return exact.join(estimate, "column_name").select("column_name", "distinct_values", near.alias("estimate_within_bound"))

@@ -78,6 +78,19 @@ def overdue_months(spark, sf):
     return runs.overdue_months(log.where("dag_id = '1-URGENT' AND row_count >= 1400"), log.select("target_month").distinct(), now)
 
 
+@query(
+    f"""WITH {RUN_LOG_SQL}, m AS (SELECT DISTINCT target_month FROM run_log), d AS (SELECT DISTINCT dag_id FROM run_log)
+    SELECT dag_id, target_month FROM d, m WHERE CAST(target_month || '-01' AS DATE) + INTERVAL 1 MONTH + INTERVAL 2 DAY <= TIMESTAMP '2001-08-01'
+      AND NOT EXISTS (SELECT 1 FROM run_log r WHERE r.status = 'success' AND r.dag_id = d.dag_id AND r.target_month = m.target_month)"""
+)
+def overdue_months_by_pipeline(spark, sf):
+    """Months of the whole log without a successful run, for every pipeline; every successful run counts."""
+    log = run_log(spark, sf)
+    now = F.lit("2001-08-01 00:00:00").cast("timestamp_ntz")
+    months = log.select("dag_id").distinct().crossJoin(log.select("target_month").distinct())
+    return runs.overdue_months(log, months, now, by=("dag_id",))
+
+
 @query(f"WITH {RUN_LOG_SQL} SELECT dag_id, CAST(count(*) AS BIGINT) AS row_count, 'success' AS status FROM run_log GROUP BY 1")
 def run_log_write(spark, sf):
     """One logged run per pipeline, each logged twice under its run id."""

@@ -69,3 +69,12 @@ def test_spread_leaves_well_split_tables_alone(spark):
     few, many = spark.range(0, 100, 1, 2), spark.range(0, 100, 1, 64)
     assert spread(few, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert spread(many, "id") is many
+
+
+@pytest.mark.parametrize("name", ["overdue_months_by_pipeline", "column_distinct_estimates"])
+def test_whole_operators_agree_with_sql(spark, sf, warehouse, name):
+    df = entry.queries()[name](spark, sf)
+    relation = warehouse.execute(entry.oracle_sql()[name])
+    names = [d[0] for d in relation.description]
+    found = rows_of(df.columns, df.collect())
+    assert sorted(df.columns) == sorted(names) and found == rows_of(names, relation.fetchall()) and found
