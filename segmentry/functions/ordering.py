@@ -1,75 +1,153 @@
 """Running totals, row numbers and exact quantiles over a global order.
 
-An unpartitioned window would pull every row into one task. Here the order is cut into bins at
-approximate quantiles (a fixed number of cut points), each bin is summed in its own task, and the
-bin totals, one row per bin, are added afterwards.
+An unpartitioned window would pull every row into one task. Here the rows are dealt out by ranges of the
+order, as many ranges as the number of rows asks for; every task sorts and sums its own range, and the
+totals of the ranges before it, one row per range (and group), are added afterwards. Rows are shuffled
+once, and the dealt rows are written to the shared folder, so that all later steps see the same ranges.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
+import math
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from segmentry.session import checkpointed
 
-DEFAULT_BINS = 200
-CUT_ERROR = 0.001
+# A task sorts about so many rows.
+ROWS_PER_TASK = 500_000
+# Offsets are copied to every task up to so many rows, and joined by a shuffle beyond.
+BROADCAST_ROWS = 100_000
+# monotonically_increasing_id() counts the rows of a task in its lower 33 bits, with the task's number above.
+PLACE_BITS = 33
 
 
-def _with_bin(df: DataFrame, order: str, bins: int) -> DataFrame:
-    """Adds ``_bin``, non-decreasing in ``order``. Which cut points are used cannot change results."""
-    numeric = df.withColumn("_order", F.col(order).cast("double"))
-    shares = [i / bins for i in range(1, bins)]
-    cuts = sorted(set(numeric.approxQuantile("_order", shares, CUT_ERROR))) if shares else []
-    if not cuts:
-        return numeric.withColumn("_bin", F.lit(0.0)).drop("_order")
-    splits = [float("-inf"), *cuts, float("inf")]
-    return Bucketizer(splits=splits, inputCol="_order", outputCol="_bin").transform(numeric).drop("_order")
+def tasks_for(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> int:
+    """How many ranges a table is cut into: they grow with its rows, and occupy the cluster if it is small."""
+    return max(math.ceil(df.count() / rows_per_task), df.sparkSession.sparkContext.defaultParallelism)
 
 
-def running_sum(
-    df: DataFrame,
-    order: str,
-    values: list[str],
-    by: list[str] | None = None,
-    bins: int = DEFAULT_BINS,
-) -> DataFrame:
+def _in_ranges(df: DataFrame, order: list[str], tasks: int | None) -> DataFrame:
+    """Rows dealt out and sorted by ``order`` (nulls first), with ``_part`` and their ``_place`` in it from 0."""
+    keys = [F.col(c).asc_nulls_first() for c in order]
+    dealt = df.repartitionByRange(tasks or tasks_for(df), *keys).sortWithinPartitions(*keys)
+    at = dealt.withColumn("_at", F.monotonically_increasing_id())
+    place = F.col("_at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    return at.withColumns({"_part": F.shiftright("_at", PLACE_BITS), "_place": place}).drop("_at")
+
+
+def _with_offsets(rows: DataFrame, by: list[str], totals: list[Column], before: dict[str, str], whole: dict[str, str], keep: list[str] = []) -> DataFrame:
+    """Joins to every row what the ranges before its own hold of its group, and what the whole group holds.
+
+    ``before`` and ``whole`` name the sums to make from columns of ``totals``; ``keep`` lists columns of it to
+    keep. The totals have one row per range and group: a group has as many as the ranges it reaches into.
+    """
+    keys = [*by, "_part"]
+    sums = rows.groupBy(*keys).agg(*totals)
+    group = W.partitionBy(*(by or [F.lit(1)]))
+    earlier = group.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = checkpointed(
+        sums.select(
+            *[F.col(c).alias(f"_key{i}") for i, c in enumerate(keys)],
+            *keep,
+            *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(name) for name, c in before.items()],
+            *[F.sum(c).over(group).alias(name) for name, c in whole.items()],
+        )
+    )
+    if offsets.count() <= BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
+    same = [F.col(c).eqNullSafe(F.col(f"_key{i}")) for i, c in enumerate(keys)]
+    return rows.join(offsets, same).drop(*[f"_key{i}" for i in range(len(keys))])
+
+
+def row_numbers(df: DataFrame, order: list[str], name: str, by: list[str] | None = None, tasks: int | None = None) -> DataFrame:
+    """Adds ``name``, the number of a row from 1 in ``order`` (any types, nulls first), within ``by`` if given.
+
+    Rows that are equal in all of ``order`` are numbered in any order. A group may hold any share of the rows.
+    """
+    by = by or []
+    rows = checkpointed(_in_ranges(df, [*by, *order], tasks))
+    totals = [F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first")]
+    placed = _with_offsets(rows, by, totals, {"_before": "_n"}, {}, keep=["_first"])
+    number = F.col("_before") + F.col("_place") - F.col("_first") + F.lit(1)
+    return placed.select(*df.columns, number.alias(name))
+
+
+def _same_as_before(column: pa.ChunkedArray | pa.Array, last: list | None, at: int) -> np.ndarray:
+    """Whether each value equals the one before it; the first is compared with ``last[at]``."""
+    value = column[0].as_py()
+    head = last is not None and (value == last[at] or (value != value and last[at] != last[at]))
+    if len(column) == 1:
+        return np.array([head])
+    a, b = column.slice(1), column.slice(0, len(column) - 1)
+    equal = pc.fill_null(pc.equal(a, b), False)
+    both_null = pc.and_(pc.is_null(a), pc.is_null(b))
+    if pa.types.is_floating(column.type):
+        both_null = pc.or_(both_null, pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False))
+    return np.concatenate([[head], np.asarray(pc.or_(equal, both_null))])
+
+
+def _sums_in_range(by: list[str], values: list[str], kinds: list[pa.DataType]) -> Callable:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, carried = None, [0] * len(values)
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            same = np.ones(n, dtype=bool)
+            if last is None:
+                same[0] = False
+            for i, c in enumerate(by):
+                same &= _same_as_before(batch.column(c), last, i)
+            last = [batch.column(c)[n - 1].as_py() for c in by]
+            # The place where each row's group begins, -1 for a group that began in an earlier batch.
+            begins = np.maximum.accumulate(np.where(same, -1, np.arange(n)))
+            out = []
+            for i, (v, kind) in enumerate(zip(values, kinds)):
+                x = np.asarray(pc.fill_null(batch.column(v), 0)).astype(kind.to_pandas_dtype())
+                total = np.cumsum(x)
+                base = np.where(begins >= 0, total[begins] - x[begins], -np.asarray(carried[i], x.dtype))
+                local = total - base
+                carried[i] = local[-1]
+                out.append(pa.array(local, kind))
+            names = [*batch.schema.names, *[f"_cum_{v}" for v in values]]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *out], names)
+
+    return scan
+
+
+def running_sum(df: DataFrame, order: str, values: list[str], by: list[str] | None = None, tasks: int | None = None) -> DataFrame:
     """Adds ``cum_<v>`` and ``all_<v>`` for each value column: the sum up to this row, and over its group.
 
-    ``order`` must be numeric and distinct within a group (aggregate first), which also makes hot
-    order values harmless.
+    ``order`` must be distinct within a group (aggregate first), which also makes hot order values harmless.
+    Null values count as 0.
     """
     by = by or []
-    binned = _with_bin(df, order, bins)
-    keys = [*by, "_bin"]
-    totals = binned.groupBy(*keys).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
-    # One row per group and bin: the frames below see at most ``bins`` rows per group.
-    before = W.partitionBy(*(by or [F.lit(1)])).orderBy("_bin").rowsBetween(W.unboundedPreceding, -1)
-    whole = W.partitionBy(*(by or [F.lit(1)]))
-    totals = totals.select(
-        *keys,
-        *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_before_{v}") for v in values],
-        *[F.sum(f"_t_{v}").over(whole).alias(f"all_{v}") for v in values],
-    )
-    within = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    local = binned.select("*", *[F.sum(v).over(within).alias(f"_cum_{v}") for v in values])
-    joined = local.alias("l").join(
-        totals.alias("t"),
-        [F.col(f"l.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys],
-    )
+    whole = {v: isinstance(df.schema[v].dataType, T.IntegralType) for v in values}
+    kinds = [pa.int64() if whole[v] else pa.float64() for v in values]
+    ranged = _in_ranges(df, [*by, order], tasks)
+    added = [T.StructField(f"_cum_{v}", T.LongType() if whole[v] else T.DoubleType()) for v in values]
+    local = checkpointed(ranged.mapInArrow(_sums_in_range(by, values, kinds), T.StructType([*ranged.schema.fields, *added])))
+    totals = [F.coalesce(F.sum(v), F.lit(0)).alias(f"_t_{v}") for v in values]
+    before, all_of = {f"_before_{v}": f"_t_{v}" for v in values}, {f"all_{v}": f"_t_{v}" for v in values}
+    joined = _with_offsets(local, by, totals, before, all_of)
     return joined.select(
-        *[F.col(f"l.{c}") for c in df.columns],
-        *[(F.col(f"l._cum_{v}") + F.col(f"t._before_{v}")).alias(f"cum_{v}") for v in values],
-        *[F.col(f"t.all_{v}") for v in values],
+        *df.columns,
+        *[(F.col(f"_cum_{v}") + F.col(f"_before_{v}")).alias(f"cum_{v}") for v in values],
+        *[f"all_{v}" for v in values],
     )
 
 
-def global_row_number(df: DataFrame, order: str, name: str, bins: int = DEFAULT_BINS) -> DataFrame:
-    """Numbers rows from 1 in the order of a unique numeric column."""
-    counted = running_sum(df.withColumn("_one", F.lit(1).cast("long")), order, ["_one"], bins=bins)
-    return counted.withColumnRenamed("cum__one", name).drop("_one", "all__one")
+def global_row_number(df: DataFrame, order: str, name: str, tasks: int | None = None) -> DataFrame:
+    """Numbers rows from 1 in the order of a unique column."""
+    return row_numbers(df, [order], name, tasks=tasks)
 
 
 def exact_quantiles(
@@ -77,7 +155,7 @@ def exact_quantiles(
     value: str,
     probabilities: dict[str, float],
     by: list[str] | None = None,
-    bins: int = DEFAULT_BINS,
+    tasks: int | None = None,
     weight: str | None = None,
 ) -> DataFrame:
     """Linear-interpolation quantiles, one row per group, one column per entry of ``probabilities``.
@@ -91,10 +169,10 @@ def exact_quantiles(
     counts = (
         df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
         .groupBy(*by, F.col(value).cast("double").alias("_v"))
-        .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n"))
+        .agg((F.sum(weight) if weight else F.count(F.lit(1))).cast("long").alias("n"))
     )
-    # The cut points, the totals and the sums each read the counts once: scan the input only once.
-    ranked = running_sum(checkpointed(counts), "_v", ["n"], by=by, bins=bins)
+    # Counting the rows, finding the ranges and dealing them out each read the counts: scan the input only once.
+    ranked = running_sum(checkpointed(counts), "_v", ["n"], by=by, tasks=tasks)
     last = F.col("all_n") - 1
 
     def at(rank: Column) -> Column:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from segmentry.functions.matrix import dot, euclidean
-from segmentry.functions.ordering import exact_quantiles, global_row_number, running_sum
+from segmentry.functions.ordering import exact_quantiles, global_row_number, row_numbers, running_sum, tasks_for
 from segmentry.operators import clustering, components, density, predict, search, vectors as vec
 from segmentry.sources import tables
 
@@ -17,32 +17,57 @@ def named(matrix, prefix="r"):
 # Global order ------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("bins", [1, 20])
-def test_running_sum_and_row_number(spark, bins):
+@pytest.mark.parametrize("tasks", [1, 20])
+def test_running_sum_and_row_number(spark, tasks):
     rng = np.random.default_rng(1)
     values = np.unique(np.round(rng.exponential(10, 500), 2))
     rows = [(g, float(v), int(i)) for g in "ab" for i, v in enumerate(values)]
     df = spark.createDataFrame(rows, "g string, v double, n long").repartition(5)
-    got = running_sum(df, "v", ["n"], by=["g"], bins=bins).where("g = 'b'").orderBy("v").collect()
+    got = running_sum(df, "v", ["n"], by=["g"], tasks=tasks).where("g = 'b'").orderBy("v").collect()
     assert [r["cum_n"] for r in got] == list(np.cumsum(np.arange(len(values))))
     assert {r["all_n"] for r in got} == {int(np.arange(len(values)).sum())}
-    numbered = global_row_number(df.where("g = 'a'"), "v", "rn", bins).orderBy("v").collect()
+    numbered = global_row_number(df.where("g = 'a'"), "v", "rn", tasks).orderBy("v").collect()
     assert [r["rn"] for r in numbered] == list(range(1, len(values) + 1))
 
 
-@pytest.mark.parametrize("bins", [1, 7])
-def test_exact_quantiles(spark, bins):
+@pytest.mark.parametrize("tasks", [1, 7])
+def test_exact_quantiles(spark, tasks):
     rng = np.random.default_rng(2)
     a, b = np.round(rng.normal(0, 1, 997), 1), rng.normal(5, 2, 10)  # many repeats; few values
     rows = [("a", float(x)) for x in a] + [("b", float(x)) for x in b] + [("b", None)]
     df = spark.createDataFrame(rows, "g string, v double")
     wanted = {"p0": 0.0, "p37": 0.37, "p50": 0.5, "p95": 0.95, "p100": 1.0}
-    got = {r["g"]: r for r in exact_quantiles(df, "v", wanted, by=["g"], bins=bins).collect()}
+    got = {r["g"]: r for r in exact_quantiles(df, "v", wanted, by=["g"], tasks=tasks).collect()}
     for g, values in (("a", a), ("b", b)):
         for name, p in wanted.items():
             assert got[g][name] == pytest.approx(np.quantile(values, p), abs=1e-12)
 
 
+@pytest.mark.parametrize("tasks", [1, 3, 40])
+def test_row_numbers_in_groups(spark, tasks):
+    """One group holds most rows; names and keys may be null, and a batch ends inside a group."""
+    rows = [("hot", i, None) for i in range(900)] + [(None, i, "x") for i in range(30)] + [("é", None, "y"), ("z", 5, "q")]
+    df = spark.createDataFrame(rows, "g string, k int, _part string").drop("_part").repartition(7)
+    got = {(r["g"], r["k"]): r["rn"] for r in row_numbers(df, ["k"], "rn", by=["g"], tasks=tasks).collect()}
+    assert len(got) == len(rows)
+    assert all(got["hot", i] == i + 1 for i in range(900)) and all(got[None, i] == i + 1 for i in range(30))
+    assert got["é", None] == 1 and got["z", 5] == 1
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "13")
+    try:
+        sums = running_sum(df.withColumn("n", F.col("k").cast("double")), "k", ["k", "n"], by=["g"], tasks=tasks)
+        seen = {(r["g"], r["k"]): (r["cum_k"], r["cum_n"], r["all_k"]) for r in sums.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert all(seen["hot", i] == (i * (i + 1) // 2, i * (i + 1) / 2, 899 * 450) for i in range(900))
+    assert seen["é", None] == (0, 0.0, 0) and seen["z", 5] == (5, 5.0, 5) and seen[None, 29] == (435, 435.0, 435)
+
+
+def test_ranges_grow_with_the_rows(spark):
+    few = spark.sparkContext.defaultParallelism
+    assert tasks_for(spark.range(10)) == few
+    assert tasks_for(spark.range(1000), rows_per_task=10) == 100
+
+
 # Vectors -----------------------------------------------------------------------------------
 
 
