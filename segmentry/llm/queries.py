@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmentry.llm import chat, decontamination, host_rules, language, licenses, mixing, near_dups, substrings, token_files, warc
+from segmentry.llm import chat, decontamination, host_rules, language, licenses, manifest, mixing, near_dups, substrings, token_files, warc
 from segmentry.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -216,3 +216,55 @@ def op10_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(documents(spark, sf)).select(
         "doc_id", "size", "source_size", "target", "taken", F.col("source").alias("source"), "times"
     )
+
+
+# Trees of up to 16^5 leaves a source and 16^3 sources.
+def op13_sql(leaf_levels: int = 5, source_levels: int = 3) -> str:
+    field = lambda x: f"coalesce(strlen(CAST({x} AS VARCHAR)) || ':' || {x}, '-')"
+    leaf = lambda text: f"sha256({' || '.join(field(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    bits = "flatten(list_transform(range(1, length(i) + 1), lambda k: [CAST(ascii(i[k]) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))"
+    crc = f"xor(list_reduce(list_concat([4294967295], {bits}), lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295)"
+    parts = [
+        "d AS (SELECT row_number() OVER () AS rid, CAST(doc_id AS VARCHAR) AS i, * FROM documents)",
+        f"l AS (SELECT rid, doc_id, source, {leaf('text')} AS leaf, CASE WHEN {crc} % 5 = 0 THEN {leaf(low)} END AS changed FROM d)",
+        "src AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS s FROM (SELECT DISTINCT source FROM documents))",
+        "a AS (SELECT l.*, s, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM l JOIN src ON l.source IS NOT DISTINCT FROM src.source)",
+        "n0 AS (SELECT s, pos AS p, leaf AS digest FROM a)",
+    ]
+    joins, siblings = [], []
+
+    def tree(name: str, levels: int, place: str) -> None:
+        for k in range(levels):
+            others = lambda frame: f"coalesce(string_agg(digest, '') OVER (PARTITION BY s, p // 16 ORDER BY p ROWS BETWEEN {frame}), '')"
+            parts.append(
+                f"{name}p{k} AS (SELECT s, p, digest, count(*) OVER (PARTITION BY s) > 1 AS more, "
+                f"{others('UNBOUNDED PRECEDING AND 1 PRECEDING')} AS l, {others('1 FOLLOWING AND UNBOUNDED FOLLOWING')} AS r FROM {name}n{k})"
+            )
+            parts.append(
+                f"{name}n{k + 1} AS (SELECT s, p // 16 AS p, CASE WHEN more THEN sha256(string_agg(digest, '' ORDER BY p)) ELSE min(digest) END AS digest "
+                f"FROM {name}p{k} GROUP BY s, p // 16, more)"
+            )
+            t, on = f"{name}t{k}", "a.s" if not name else "0"
+            joins.append(f"JOIN {name}p{k} {t} ON {t}.s = {on} AND {t}.p = {place} // {16**k}")
+            siblings.append(f"{t}.l || {t}.r")
+
+    tree("", leaf_levels, "pos")
+    parts.append(f"topn0 AS (SELECT 0 AS s, s AS p, digest FROM n{leaf_levels})")
+    tree("top", source_levels, "a.s")
+    # Each level's fold is a column of its own, so that the expression does not double from level to level.
+    steps, at = [], "coalesce(changed, leaf)"
+    names = [f"t{k}" for k in range(leaf_levels)] + [f"topt{k}" for k in range(source_levels)]
+    for t in names:
+        steps.append(f"CASE WHEN {t}.more THEN sha256({t}.l || {at} || {t}.r) ELSE {at} END AS f_{t}")
+        at = f"f_{t}"
+    return (
+        "WITH " + ",\n".join(parts) + f"\nSELECT doc_id, leaf, u.digest AS subroot, w.digest AS root, sha256({' || '.join(siblings)}) AS proof_sha256, "
+        + ", ".join(steps) + f", {at} AS folded_root, folded_root = root AS verified FROM a " + " ".join(joins)
+        + f" JOIN n{leaf_levels} u ON u.s = a.s, topn{source_levels} w"
+    )
+
+
+@query(f"SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, verified FROM ({op13_sql()})")
+def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return manifest.prove(documents(spark, sf), tampered=manifest.lower_cased())
