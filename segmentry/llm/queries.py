@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmentry.llm import chat, decontamination, host_rules, language, licenses, manifest, mixing, near_dups, substrings, token_files, warc
+from segmentry.llm import chat, decontamination, host_rules, language, licenses, manifest, mixing, near_dups, secret_scan, substrings, token_files, warc, whitening
 from segmentry.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -218,6 +218,23 @@ def op10_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query()
+def op11_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
+@query()
+def op12_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    found = secret_scan.scan(documents(spark, sf))
+    base = F.filter("secrets", lambda x: x["kind"] != "random")
+    number = lambda kind: F.size(F.filter("secrets", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    line = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    return found.select(
+        "doc_id", number("assign"), number("access"), number("hex"), number("random"),
+        F.sha2(line(base).cast("binary"), 256).alias("base_sha256"), line(F.col("secrets")).alias("spans"),
+    )
+
+
 # Trees of up to 16^5 leaves a source and 16^3 sources.
 def op13_sql(leaf_levels: int = 5, source_levels: int = 3) -> str:
     field = lambda x: f"coalesce(strlen(CAST({x} AS VARCHAR)) || ':' || {x}, '-')"
