@@ -35,12 +35,12 @@ def tasks_for(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> int:
 
 
 def _in_ranges(df: DataFrame, order: list[str], tasks: int | None) -> DataFrame:
-    """Rows dealt out and sorted by ``order`` (nulls first), with ``_part`` and their ``_place`` in it from 0."""
+    """Rows dealt out and sorted by ``order`` (nulls first), with ``_order_part`` and their ``_order_place`` in it from 0."""
     keys = [F.col(c).asc_nulls_first() for c in order]
     dealt = df.repartitionByRange(tasks or tasks_for(df), *keys).sortWithinPartitions(*keys)
-    at = dealt.withColumn("_at", F.monotonically_increasing_id())
-    place = F.col("_at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
-    return at.withColumns({"_part": F.shiftright("_at", PLACE_BITS), "_place": place}).drop("_at")
+    at = dealt.withColumn("_order_at", F.monotonically_increasing_id())
+    place = F.col("_order_at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    return at.withColumns({"_order_part": F.shiftright("_order_at", PLACE_BITS), "_order_place": place}).drop("_order_at")
 
 
 def _with_offsets(rows: DataFrame, by: list[str], totals: list[Column], before: dict[str, str], whole: dict[str, str], keep: list[str] = []) -> DataFrame:
@@ -49,13 +49,13 @@ def _with_offsets(rows: DataFrame, by: list[str], totals: list[Column], before:
     ``before`` and ``whole`` name the sums to make from columns of ``totals``; ``keep`` lists columns of it to
     keep. The totals have one row per range and group: a group has as many as the ranges it reaches into.
     """
-    keys = [*by, "_part"]
+    keys = [*by, "_order_part"]
     sums = rows.groupBy(*keys).agg(*totals)
     group = W.partitionBy(*(by or [F.lit(1)]))
-    earlier = group.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    earlier = group.orderBy("_order_part").rowsBetween(W.unboundedPreceding, -1)
     offsets = checkpointed(
         sums.select(
-            *[F.col(c).alias(f"_key{i}") for i, c in enumerate(keys)],
+            *[F.col(c).alias(f"_order_key{i}") for i, c in enumerate(keys)],
             *keep,
             *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(name) for name, c in before.items()],
             *[F.sum(c).over(group).alias(name) for name, c in whole.items()],
@@ -63,8 +63,8 @@ def _with_offsets(rows: DataFrame, by: list[str], totals: list[Column], before:
     )
     if offsets.count() <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
-    same = [F.col(c).eqNullSafe(F.col(f"_key{i}")) for i, c in enumerate(keys)]
-    return rows.join(offsets, same).drop(*[f"_key{i}" for i in range(len(keys))])
+    same = [F.col(c).eqNullSafe(F.col(f"_order_key{i}")) for i, c in enumerate(keys)]
+    return rows.join(offsets, same).drop(*[f"_order_key{i}" for i in range(len(keys))])
 
 
 def row_numbers(df: DataFrame, order: list[str], name: str, by: list[str] | None = None, tasks: int | None = None) -> DataFrame:
@@ -74,9 +74,9 @@ def row_numbers(df: DataFrame, order: list[str], name: str, by: list[str] | None
     """
     by = by or []
     rows = checkpointed(_in_ranges(df, [*by, *order], tasks))
-    totals = [F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first")]
-    placed = _with_offsets(rows, by, totals, {"_before": "_n"}, {}, keep=["_first"])
-    number = F.col("_before") + F.col("_place") - F.col("_first") + F.lit(1)
+    totals = [F.count(F.lit(1)).alias("_order_n"), F.min("_order_place").alias("_order_first")]
+    placed = _with_offsets(rows, by, totals, {"_order_before": "_order_n"}, {}, keep=["_order_first"])
+    number = F.col("_order_before") + F.col("_order_place") - F.col("_order_first") + F.lit(1)
     return placed.select(*df.columns, number.alias(name))
 
 
@@ -117,7 +117,7 @@ def _sums_in_range(by: list[str], values: list[str], kinds: list[pa.DataType]) -
                 local = total - base
                 carried[i] = local[-1]
                 out.append(pa.array(local, kind))
-            names = [*batch.schema.names, *[f"_cum_{v}" for v in values]]
+            names = [*batch.schema.names, *[f"_order_cum_{v}" for v in values]]
             yield pa.RecordBatch.from_arrays([*batch.columns, *out], names)
 
     return scan
@@ -133,14 +133,14 @@ def running_sum(df: DataFrame, order: str, values: list[str], by: list[str] | No
     whole = {v: isinstance(df.schema[v].dataType, T.IntegralType) for v in values}
     kinds = [pa.int64() if whole[v] else pa.float64() for v in values]
     ranged = _in_ranges(df, [*by, order], tasks)
-    added = [T.StructField(f"_cum_{v}", T.LongType() if whole[v] else T.DoubleType()) for v in values]
+    added = [T.StructField(f"_order_cum_{v}", T.LongType() if whole[v] else T.DoubleType()) for v in values]
     local = checkpointed(ranged.mapInArrow(_sums_in_range(by, values, kinds), T.StructType([*ranged.schema.fields, *added])))
-    totals = [F.coalesce(F.sum(v), F.lit(0)).alias(f"_t_{v}") for v in values]
-    before, all_of = {f"_before_{v}": f"_t_{v}" for v in values}, {f"all_{v}": f"_t_{v}" for v in values}
+    totals = [F.coalesce(F.sum(v), F.lit(0)).alias(f"_order_t_{v}") for v in values]
+    before, all_of = {f"_order_before_{v}": f"_order_t_{v}" for v in values}, {f"all_{v}": f"_order_t_{v}" for v in values}
     joined = _with_offsets(local, by, totals, before, all_of)
     return joined.select(
         *df.columns,
-        *[(F.col(f"_cum_{v}") + F.col(f"_before_{v}")).alias(f"cum_{v}") for v in values],
+        *[(F.col(f"_order_cum_{v}") + F.col(f"_order_before_{v}")).alias(f"cum_{v}") for v in values],
         *[f"all_{v}" for v in values],
     )
 
@@ -181,13 +181,13 @@ def exact_quantiles(
         return F.max(F.when(holds, F.col("_v")))
 
     picked = ranked.groupBy(*by).agg(
-        F.first("all_n").alias("_n"),
+        F.first("all_n").alias("_order_n"),
         *[at(F.floor(last * p)).alias(f"_lo_{k}") for k, p in probabilities.items()],
         *[at(F.ceil(last * p)).alias(f"_hi_{k}") for k, p in probabilities.items()],
     )
 
     def interpolated(k: str, p: float) -> Column:
-        position = (F.col("_n") - 1) * F.lit(p)
+        position = (F.col("_order_n") - 1) * F.lit(p)
         low, high = F.col(f"_lo_{k}"), F.col(f"_hi_{k}")
         return low + (high - low) * (position - F.floor(position))
 

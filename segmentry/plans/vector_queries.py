@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 from segmentry.functions.matrix import dot
 from segmentry.functions.numeric import round_even
-from segmentry.operators import clustering, density, predict, search, vectors
+from segmentry.functions.ordering import row_numbers
+from segmentry.operators import clustering, density, hierarchy, neighbours, predict, search, vectors
 from segmentry.plans import review_segments
 from segmentry.plans.inputs import CURRENT_SQL, PREVIOUS_SQL, current_run, mean_sql, previous_run, reviews, table, texts
 from segmentry.plans.registry import query
 from segmentry.plans.text_queries import WORDS, clean_sql
-from segmentry.session import scratch_path
+from segmentry.session import scratch_path, stored
 from segmentry.sources import tables
 
 
@@ -154,6 +155,37 @@ def core_distances(spark, sf):
     return out.select("record_id", round_even(F.col("core_distance"), 5).alias("core_distance"))
 
 
+# The spanning tree grows point by point from the smallest id; its weights are the same whichever tree is found.
+TREE_SQL = """WITH RECURSIVE v AS MATERIALIZED (SELECT row_number() OVER (ORDER BY CAST(vec_id AS VARCHAR)) AS p, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+    d AS MATERIALIZED (SELECT a.p AS a, b.p AS b, list_distance(a.e, b.e) AS d FROM v a JOIN v b ON a.p <> b.p),
+    core AS (SELECT a AS p, d AS core FROM (SELECT a, d, row_number() OVER (PARTITION BY a ORDER BY d) AS rank FROM d) WHERE rank = 10),
+    w AS MATERIALIZED (SELECT a, b, greatest(d, x.core, y.core) AS w FROM d JOIN core x ON x.p = a JOIN core y ON y.p = b),
+    grown(p, best, inside) USING KEY (p) AS (
+      SELECT p, CASE WHEN p = 1 THEN 0.0 ELSE 1e300 END, false FROM v
+      UNION
+      SELECT g.p, CASE WHEN g.p = k.p THEN g.best ELSE least(g.best, coalesce(w.w, 1e300)) END, g.p = k.p
+      FROM recurring.grown g, (SELECT p FROM recurring.grown WHERE NOT inside ORDER BY best, p LIMIT 1) k LEFT JOIN w ON w.a = k.p AND w.b = g.p
+      WHERE NOT g.inside)
+    SELECT CAST(row_number() OVER (ORDER BY best) AS BIGINT) AS place, round_even(best * 1e6, 0) / 1e6 AS w FROM grown WHERE p > 1"""
+
+
+@query(TREE_SQL)
+def density_tree(spark, sf):
+    """The merging distances of the density hierarchy over all records, in order."""
+    points = table(spark, sf, "embeddings").select((F.col("vec_id")).cast("bigint").alias("p"), F.col("embedding").cast("array<double>").alias("v"))
+    points = stored(points.withColumn("weight", F.lit(1).cast("bigint")))
+    lists = neighbours.nearest_neighbours(points.select("p", "v"), 15)
+    cored = points.join(hierarchy.core_from_lists(points, lists, 10), "p").select("p", "v", "core")
+    tree = stored(hierarchy.spanning_tree(stored(cored), lists))
+    return row_numbers(tree, ["w"], "place").select("place", round_even(F.col("w"), 6).alias("w"))
+
+
+@query()
+def density_stable(spark, sf):
+    """Segments of any density, chosen by stability; no distance is given."""
+    return hierarchy.stability_segments(table(spark, sf, "embeddings"), "vec_id", min_samples=5, min_cluster_size=5)
+
+
 # Embedding and prediction ------------------------------------------------------------------
 
 
@@ -251,12 +283,11 @@ def kmeans_summary(spark, sf):
 
 @query()
 def density_run(spark, sf):
-    """The density variant of a whole run, at the distance where nine in ten records are core."""
+    """The density variant of a whole run: segments by stability, described like any other run."""
     started = time.perf_counter()
-    stored = _stored(spark, sf)
-    eps = density.eps_at_quantile(stored, "record_id", 0.9)
-    labels = density.density_segments(stored, "record_id", eps)
-    return clustering.describe_run(stored.join(labels, "record_id"), "density", started, space="embedding").summary
+    records = _stored(spark, sf)
+    labels = stored(hierarchy.stability_segments(records, "record_id", min_samples=5, min_cluster_size=5))
+    return clustering.describe_run(records.join(labels, "record_id"), "density", started, space="embedding").summary
 
 
 @query()

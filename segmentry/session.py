@@ -68,6 +68,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as a table in the shared folder and read again.
+
+    Like ``checkpointed``, but the planner knows the size of what it reads. In loops that join a table with itself,
+    estimates carried through checkpoints double in length with every round.
+    """
+    path = scratch_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def size_shuffles(spark: SparkSession, *paths: str) -> int:
     """Raises the number of shuffle partitions to suit the stored size of the inputs; never lowers it.
 
