@@ -164,6 +164,10 @@ def stats_report(features: DataFrame) -> DataFrame:
     )
 
 
+# Least share of a bin in the stability index.
+PSI_LEAST = 1e-4
+
+
 def _value_counts(df: DataFrame, columns: list[str], **sides: Column) -> DataFrame:
     """Rows per column and value, for any number of weights, from one scan of ``df``."""
     long = df.select(
@@ -198,6 +202,39 @@ def ks_statistics(counts: DataFrame) -> DataFrame:
     return cdf.groupBy("column_name").agg(F.max(F.abs(share("a") - share("b"))).alias("statistic"))
 
 
+def _kolmogorov_tail(x: Column, terms: int = 100) -> Column:
+    """Chance that the scaled gap of two samples of one distribution exceeds ``x``, by its alternating series."""
+    j = F.sequence(F.lit(1), F.lit(terms))
+    signed = lambda s, i: s + F.when(i % 2 == 1, 2.0).otherwise(-2.0) * F.exp(-2.0 * i * i * x * x)
+    # Below 0.2 the chance is 1 to twelve places, while the series needs ever more terms.
+    return F.when(x < 0.2, F.lit(1.0)).otherwise(F.greatest(F.least(F.aggregate(j, F.lit(0.0), signed), F.lit(1.0)), F.lit(0.0)))
+
+
+def distribution_tests(counts: DataFrame, level: float = 0.05, psi_limit: float = 0.2, bins: int = 10) -> DataFrame:
+    """Per column the two-sample KS test with its asymptotic p-value, and the population stability index (PSI).
+
+    Input: ``two_sided_counts``. The PSI compares the shares in bins that each hold an equal part of the reference; a
+    value's bin follows from the reference's distribution function at it, so both figures need one ordered pass. Empty
+    shares count as ``PSI_LEAST``. Without rows on one side there is no test: the figures are null and nothing drifts.
+    """
+    cdf = running_sum(counts, "v", ["a", "b"], by=["column_name"])
+    share = lambda side: F.try_divide(F.col(f"cum_{side}"), F.col(f"all_{side}"))
+    at = F.greatest(F.least(F.ceil(share("b") * bins) - 1, F.lit(bins - 1)), F.lit(0))
+    per_bin = cdf.groupBy("column_name", at.alias("bin")).agg(
+        F.max(F.abs(share("a") - share("b"))).alias("gap"), F.sum("a").alias("a"), F.sum("b").alias("b"), F.first("all_a").alias("na"), F.first("all_b").alias("nb")
+    )
+    p, q = (F.greatest(F.try_divide(F.col(x), F.col(n)), F.lit(PSI_LEAST)) for x, n in (("a", "na"), ("b", "nb")))
+    found = per_bin.groupBy("column_name").agg(
+        F.first("na").alias("n_current"), F.first("nb").alias("n_reference"), F.max("gap").alias("statistic"),
+        F.when((F.first("na") > 0) & (F.first("nb") > 0), F.sum((p - q) * F.ln(p / q))).alias("psi"),
+    )
+    root = F.sqrt(F.col("n_current") * F.col("n_reference") / (F.col("n_current") + F.col("n_reference")))
+    scaled = (root + 0.12 + F.try_divide(F.lit(0.11), root)) * F.col("statistic")
+    tested = found.withColumn("p_value", F.when(F.col("psi").isNotNull(), _kolmogorov_tail(scaled)))
+    flag = lambda c: F.coalesce(c, F.lit(False)).cast("int")
+    return tested.withColumns({"drift_detected": flag(F.col("p_value") < level), "shifted": flag(F.col("psi") >= psi_limit)})
+
+
 def category_divergences(counts: DataFrame) -> DataFrame:
     """Per column the Jensen-Shannon divergence of the value shares (input: two_sided_counts)."""
     totals = counts.groupBy("column_name").agg(F.sum("a").alias("_a"), F.sum("b").alias("_b"))

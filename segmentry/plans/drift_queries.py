@@ -116,6 +116,28 @@ def column_drift(spark, sf):
     return drift.column_drift(english, others).withColumn("statistic", round_even(F.col("statistic"), 6))
 
 
+LEVELS_SQL = """placed AS (SELECT column_name, v, a, b, least(greatest(ceil(b / nb * 10) - 1, 0), 9) AS bin FROM cdf JOIN n USING (column_name)),
+rows_of AS (SELECT l.column_name, bin, lang FROM long l JOIN placed p ON p.column_name = l.column_name AND p.v = l.v),
+shares AS (SELECT column_name, greatest(count(*) FILTER (lang = 'en') / na, 1e-4) AS p, greatest(count(*) FILTER (lang <> 'en') / nb, 1e-4) AS q
+  FROM rows_of JOIN n USING (column_name) GROUP BY column_name, bin, na, nb),
+psi AS (SELECT column_name, sum((p - q) * ln(p / q)) AS psi FROM shares GROUP BY 1),
+scaled AS (SELECT *, (sqrt(na * nb / (na + nb)) + 0.12 + 0.11 / sqrt(na * nb / (na + nb))) * statistic AS x FROM ks JOIN n USING (column_name) JOIN psi USING (column_name)),
+tested AS (SELECT *, CASE WHEN x < 0.2 THEN 1.0 ELSE greatest(least(list_sum(list_transform(range(1, 101), lambda j: CASE WHEN j % 2 = 1 THEN 2.0 ELSE -2.0 END * exp(-2.0 * j * j * x * x))), 1.0), 0.0) END AS p FROM scaled)"""
+
+
+@query(
+    f"""WITH {INPUT_SQL}, {KS_SQL}, {LEVELS_SQL} SELECT column_name, na AS n_current, nb AS n_reference, round_even(statistic * 1e6, 0) / 1e6 AS statistic,
+    round_even(p * 1e6, 0) / 1e6 AS p_value, round_even(psi * 1e6, 0) / 1e6 AS psi, CAST(p < 0.05 AS INT) AS drift_detected, CAST(psi >= 0.2 AS INT) AS shifted FROM tested"""
+)
+def column_drift_levels(spark, sf):
+    """English texts against the rest: p-value of the KS test and stability index of both lengths."""
+    english = drift.report_input(_documents(spark, sf, "lang = 'en'"))
+    others = drift.report_input(_documents(spark, sf, "lang <> 'en'"))
+    counts = checkpointed(drift.two_sided_counts(english, others, ["text_length", "word_count"]))
+    out = drift.distribution_tests(counts)
+    return out.withColumns({c: round_even(F.col(c), 6) for c in ("statistic", "p_value", "psi")})
+
+
 QUALITY_COLUMNS = ["o_orderkey", "o_custkey", "o_totalprice"]
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from segmentry.functions.numeric import round_even
-from segmentry.operators import runs
+from segmentry.operators import runs, sketches
 from segmentry.operators.reviews import tagged
 from segmentry.plans.inputs import (
     MODEL_RUNS_SQL,
@@ -147,6 +147,26 @@ def latency_p99_windows(spark, sf):
     return plain_time(out.withColumn("p99", round_even(F.col("p99"), 8)), "window_start")
 
 
+def _checked_p99(windows, incoming):
+    """Adds whether the rank of each window's p99 among all its latencies is within the sketch's error."""
+    slides = incoming.where("latency_s IS NOT NULL").withColumn("_slide", F.window("ts", "15 minutes").getField("start").cast("timestamp"))
+    inside = alerts._in_windows(slides, 60, 15).join(windows.select("window_start", "p99"), "window_start")
+    ranked = inside.groupBy("window_start").agg(
+        F.count_if(F.col("latency_s") < F.col("p99")).alias("_below"), F.count_if(F.col("latency_s") <= F.col("p99")).alias("_upto"), F.count(F.lit(1)).alias("_n")
+    )
+    near = sketches.within_rank(F.col("_below"), F.col("_upto"), F.col("_n"), 0.99, sketches.rank_error())
+    return windows.join(ranked.select("window_start", near.alias("p99_within_bound")), "window_start")
+
+
+@query(f"WITH {REQUESTS_SQL}, {_windows_sql(60, 15)} SELECT window_start, count(latency_s) AS requests, true AS p99_within_bound FROM w GROUP BY 1")
+def latency_sketches(spark, sf):
+    """p99 of sliding windows out of stored sketches of their quarter hours, checked against all requests."""
+    path, incoming = scratch_path(spark, "sketches"), requests(spark, sf)
+    alerts.slide_sketches(incoming, 15).write.parquet(path)
+    windows = alerts.sketched_p99(spark.read.parquet(path), 60, 15, limit=0.1)
+    return plain_time(_checked_p99(windows, incoming).select("window_start", "requests", "p99_within_bound"), "window_start")
+
+
 # Streams ---------------------------------------------------------------------------------
 
 
@@ -179,7 +199,7 @@ def stream_dedup(spark, sf):
 
 @query(
     f"""WITH {REQUESTS_SQL}, {_windows_sql(60, 15)}, closed AS (SELECT window_start, count(*) AS requests, count(*) FILTER (status >= 500) / count(*) AS error_rate FROM w GROUP BY 1)
-    SELECT window_start, requests, round_even(error_rate * 1e6, 0) / 1e6 AS error_rate FROM closed
+    SELECT window_start, requests, round_even(error_rate * 1e6, 0) / 1e6 AS error_rate, true AS p99_within_bound FROM closed
     WHERE window_start + INTERVAL 60 MINUTE <= (SELECT max(ts) FROM requests) - INTERVAL 10 MINUTE"""
 )
 def stream_alerts(spark, sf):
@@ -191,5 +211,6 @@ def stream_alerts(spark, sf):
     windows = alerts.stream_windows(source, "10 minutes", "60 minutes", "15 minutes")
     writer = windows.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state")
     writer.trigger(availableNow=True).start().awaitTermination()
-    out = spark.read.parquet(f"{base}/out").select("window_start", "requests", round_even(F.col("error_rate"), 6).alias("error_rate"))
+    out = _checked_p99(spark.read.parquet(f"{base}/out"), incoming)
+    out = out.select("window_start", "requests", round_even(F.col("error_rate"), 6).alias("error_rate"), "p99_within_bound")
     return plain_time(out, "window_start")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from segmentry import fixed_values as fv
 from segmentry.functions.ordering import exact_quantiles
+from segmentry.operators import sketches
 
 SERVER_ERROR = (500, 599)
 
@@ -24,7 +25,9 @@ def stream_windows(
     length: str = f"{fv.ALERT_WINDOW_MINUTES} minutes",
     slide: str = "1 minute",
 ) -> DataFrame:
-    """Closed windows with requests, error rate and approximate p99. Requests later than the delay are dropped.
+    """Closed windows with requests, error rate, p99 and the sketch it is read from. Requests later than the delay are dropped.
+
+    The sketches of stored windows can be merged into those of longer ones (``sketches.merged``).
 
     A watermark needs instants, so times without a zone are read in the session's zone: use one without
     clock changes, as ``build_session`` does.
@@ -35,10 +38,13 @@ def stream_windows(
         .agg(
             F.count(F.lit(1)).alias("requests"),
             (F.count_if(_is_error()) / F.count(F.lit(1))).alias("error_rate"),
-            F.percentile_approx("latency_s", 0.99, 10000).alias("p99"),
+            F.kll_sketch_agg_double(F.col("latency_s").cast("double"), sketches.SKETCH_K).alias("sketch"),
         )
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "requests", "error_rate", "p99")
-    )
+        .select(
+            F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "requests", "error_rate",
+            F.when(sketches.rows_in() > 0, sketches.quantile(0.99)).alias("p99"), "sketch",
+        )
+    )
 
 
 def _per_slide(requests: DataFrame, slide_minutes: int, keys: list[str], *aggregates: Column) -> DataFrame:
@@ -88,6 +94,19 @@ def p99_latencies(
     )
 
 
+def sketched_p99(slides: DataFrame, length_minutes: int = fv.ALERT_WINDOW_MINUTES, slide_minutes: int = 1, limit: float = fv.P99_LIMIT_SECONDS) -> DataFrame:
+    """p99 of every non-empty window from stored sketches of its slides (``_slide``, ``sketch``)."""
+    windows = sketches.merged(_in_windows(slides, length_minutes, slide_minutes), ["window_start"])
+    out = windows.select("window_start", sketches.rows_in().alias("requests"), sketches.quantile(0.99).alias("p99"))
+    return out.withColumn("breach", (F.col("p99") > limit).cast("int"))
+
+
+def slide_sketches(requests: DataFrame, slide_minutes: int = 1) -> DataFrame:
+    """One sketch of the latencies of every slide, to be stored."""
+    start = F.window("ts", f"{slide_minutes} minutes").getField("start")
+    return sketches.quantile_sketches(requests.withColumn("_slide", start), ["_slide"], "latency_s")
+
+
 def held(windows: DataFrame, hold_minutes: int = fv.ALERT_HOLD_MINUTES, slide_minutes: int = 1) -> DataFrame:
     """Windows at which the condition has held: this one and all of the last ``hold_minutes`` breach.
 
