@@ -22,7 +22,7 @@ from segmentry.plans.text_queries import CLEAN_SQL, NORMAL_SQL, RAW_SQL, TAG_SQL
 from segmentry.session import scratch_path
 from segmentry.sources import reviews as src
 from segmentry.sources import tables
-from segmentry.streaming import alerts
+from segmentry.streaming import alerts, held
 from segmentry.streaming import reviews as stream
 
 
@@ -214,3 +214,40 @@ def stream_alerts(spark, sf):
     out = _checked_p99(spark.read.parquet(f"{base}/out"), incoming)
     out = out.select("window_start", "requests", round_even(F.col("error_rate"), 6).alias("error_rate"), "p99_within_bound")
     return plain_time(out, "window_start")
+
+
+HELD_SQL = f"""{REQUESTS_SQL}, {_windows_sql(60, 15)}, closed AS (
+    SELECT window_start, count(*) FILTER (status >= 500) AS errors, count(*) AS requests FROM w GROUP BY 1
+    HAVING window_start + INTERVAL 60 MINUTE <= (SELECT max(ts) FROM requests) - INTERVAL 10 MINUTE),
+  breaches AS (SELECT 'error_rate' AS alert, window_start FROM closed WHERE errors / requests > 0.1
+    UNION ALL SELECT 'few_requests', window_start FROM closed WHERE requests < 8),
+  runs AS (SELECT alert, min(window_start) AS first, max(window_start) AS last FROM (
+    SELECT *, epoch(window_start) / 900 - row_number() OVER (PARTITION BY alert ORDER BY window_start) AS run FROM breaches) GROUP BY alert, run),
+  seen AS (SELECT alert, 'pending' AS transition, first AS at_time FROM runs
+    UNION ALL SELECT alert, 'firing', first + INTERVAL 45 MINUTE FROM runs WHERE last >= first + INTERVAL 45 MINUTE
+    UNION ALL SELECT alert, 'resolved', last + INTERVAL 15 MINUTE FROM runs WHERE last >= first + INTERVAL 45 MINUTE
+      AND last + INTERVAL 75 MINUTE <= (SELECT max(ts) FROM requests) - INTERVAL 10 MINUTE)"""
+
+
+@query(f"WITH {HELD_SQL} SELECT alert, transition, at_time FROM seen")
+def stream_held_alerts(spark, sf):
+    """Pending, firing and resolved alerts of a stream that arrives in several drops, in order of time."""
+    base = scratch_path(spark, "held")
+    incoming = requests(spark, sf)
+    span = incoming.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    conditions = {"error_rate": F.col("errors") / F.col("requests") > 0.1, "few_requests": F.col("requests") < 8}
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", held.STATE_STORE)
+    try:
+        for part in range(2):
+            middle = span["lo"] + (span["hi"] - span["lo"]) / 2
+            half = F.col("ts") < F.lit(middle) if part == 0 else F.col("ts") >= F.lit(middle)
+            incoming.where(half).write.mode("append").parquet(f"{base}/in")
+            source = spark.readStream.schema(incoming.schema).parquet(f"{base}/in")
+            transitions = held.held_alerts(source, conditions, "10 minutes", 60, 15, 45)
+            writer = transitions.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state")
+            writer.trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass") if before is None else spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    out = spark.read.parquet(f"{base}/out").select("alert", "transition", F.col("at").alias("at_time"))
+    return plain_time(out, "at_time")
