@@ -43,9 +43,11 @@ class Holding(StatefulProcessor):
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
 
-    def _rows(self, name: str, found: list[tuple[str, int]]) -> pd.DataFrame:
-        at = [dt.datetime.fromtimestamp(ms / 1000, dt.timezone.utc).replace(tzinfo=None) for _, ms in found]
-        return pd.DataFrame({"alert": [name] * len(found), "transition": [t for t, _ in found], "at": pd.Series(at, dtype="datetime64[ns]")})
+    def _rows(self, name: str, found: list[tuple[str, int]]) -> Iterator[pd.DataFrame]:
+        if found:
+            at = [dt.datetime.fromtimestamp(ms / 1000, dt.timezone.utc).replace(tzinfo=None) for _, ms in found]
+            text = lambda values: pd.Series(values, dtype=object)
+            yield pd.DataFrame({"alert": text([name] * len(found)), "transition": text([t for t, _ in found]), "at": pd.Series(at, dtype="datetime64[ns]")})
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
         windows = sorted(
@@ -71,7 +73,7 @@ class Holding(StatefulProcessor):
         if since is not None:
             self.run.update((since, last, fired))
             self.handle.registerTimer(self._timer(last))
-        yield self._rows(key[0], found)
+        yield from self._rows(key[0], found)
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802
         state = self.run.get()
@@ -81,7 +83,7 @@ class Holding(StatefulProcessor):
             if expiredTimerInfo.getExpiryTimeInMs() >= self._timer(last):
                 found = [("resolved", last + self.slide)] if fired else []
                 self.run.clear()
-        yield self._rows(key[0], found)
+        yield from self._rows(key[0], found)
 
     def close(self) -> None:
         pass
