@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 from segmentry import fixed_values as fv
 from segmentry import schemas
 from segmentry.functions import text as tx
-from segmentry.sources import tables
+from segmentry.session import stored
+from segmentry.sources import filters, tables
 
 HASH_MODEL = ("hashing-tf", "1")
 
@@ -136,6 +137,18 @@ def embed_new(
     repeated record the first row counts (``first_records``).
     """
     reviews = first_records(reviews, record_id, order)
-    if tables.exists(spark, path):
-        reviews = not_embedded(reviews, tables.read_keyed(spark, path), record_id, model)
-    tables.append_keyed(embed_reviews(reviews, record_id, text, model, **options), path, "record_id")
+    # The filter knows a record by its id and model version. A table without one from its first load on is read instead.
+    stamp = F.concat_ws("\n", F.col(record_id).cast("string"), F.lit(model[0]), F.lit(model[1]))
+    stamped, begun = reviews.withColumn("_stamp", F.when(F.col(record_id).isNotNull(), stamp)), tables.exists(spark, path)
+    filtered = not begun or filters.exists(spark, path)
+    if begun and filtered:
+        known = tables.read_keyed(spark, path)
+        known = known.select(F.concat_ws("\n", "record_id", "model_name", "model_version").alias("_stamp"))
+        stamped = stored(filters.not_stored(stamped, path, "_stamp", known))
+    elif begun:
+        stamped = not_embedded(stamped, tables.read_keyed(spark, path), record_id, model)
+    else:
+        stamped = stored(stamped)
+    if filtered:
+        filters.add(stamped, path, "_stamp")
+    tables.append_keyed(embed_reviews(stamped.drop("_stamp"), record_id, text, model, **options), path, "record_id")
