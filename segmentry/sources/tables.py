@@ -8,8 +8,8 @@ Parquet has no MERGE. Changes therefore go one of three ways:
   half written, and the old rows can be read while their replacement is computed. The partitions are moved
   one after another: a driver lost during that commit leaves some old and some new, and the load is to be
   run again;
-* by version: a change that may touch any row writes ``v=<n+1>``; readers take the highest version
-  whose write was committed.
+* by version: a change that may touch any row writes the list of files that are version n+1, and new files only
+  for those that held a touched row; readers take the highest version whose list was committed.
 
 One writer per table at a time.
 """
@@ -201,6 +201,8 @@ def write_months(df: DataFrame, path: str, column: str = "tpep_pickup_datetime")
 
 
 # By version --------------------------------------------------------------------------------
+#
+# ``data-<n>/`` holds the files that version n added; ``v=<n>/`` is a small table of the names of all its files.
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
@@ -213,31 +215,62 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(n for n in numbers if fs.exists(jvm_path(f"{path}/v={n}/_SUCCESS")))
 
 
-def read_versioned(spark: SparkSession, path: str) -> DataFrame:
-    """The highest committed version."""
+def version_files(spark: SparkSession, path: str, version: int | None = None) -> list[str]:
+    """The files of a version (the highest committed one), relative to the table. As many names as a scan would list."""
     versions = _versions(spark, path)
     if not versions:
         raise FileNotFoundError(f"no committed version under {path}")
-    return spark.read.parquet(f"{path}/v={versions[-1]}")
+    rows = spark.read.schema("file string").parquet(f"{path}/v={version or versions[-1]}").collect()
+    return sorted(r[0] for r in rows)
 
 
-def write_version(df: DataFrame, path: str) -> int:
-    """Writes the whole table as the next version. An unfinished earlier attempt is overwritten."""
-    version = max(_versions(df.sparkSession, path), default=0) + 1
-    df.write.mode("overwrite").parquet(f"{path}/v={version}")
+def _read_files(spark: SparkSession, path: str, files: list[str]) -> DataFrame:
+    return spark.read.parquet(*[f"{path}/{f}" for f in files])
+
+
+def read_versioned(spark: SparkSession, path: str) -> DataFrame:
+    """The highest committed version."""
+    return _read_files(spark, path, version_files(spark, path))
+
+
+def _commit_version(df: DataFrame, path: str, unchanged: list[str]) -> int:
+    """Writes ``df`` as new files, and these and the unchanged ones as the next version."""
+    spark = df.sparkSession
+    version = max(_versions(spark, path), default=0) + 1
+    # An unfinished earlier attempt at this version is overwritten.
+    df.write.mode("overwrite").parquet(f"{path}/data-{version}")
+    fs, folder = _hadoop_path(spark, f"{path}/data-{version}")
+    added = [f"data-{version}/{s.getPath().getName()}" for s in fs.listStatus(folder) if s.getPath().getName()[0] not in "._"]
+    names = spark.createDataFrame([(f,) for f in [*unchanged, *added]], "file string")
+    names.coalesce(1).write.mode("overwrite").parquet(f"{path}/v={version}")
     return version
 
 
+def write_version(df: DataFrame, path: str) -> int:
+    """Writes the whole table as the next version."""
+    return _commit_version(df, path, [])
+
+
 def replace_where(df: DataFrame, path: str, condition: str | None) -> int:
-    """Deletes stored rows for which the condition is true, adds all rows of ``df``; returns the version."""
+    """Deletes stored rows for which the condition is true, adds all rows of ``df``; returns the version.
+
+    Only files that hold such a row are rewritten. They are found by a scan of the condition's columns, which
+    skips what the files' statistics rule out.
+    """
     spark = df.sparkSession
-    if _versions(spark, path):
-        old = read_versioned(spark, path)
-        _require_same_columns(old, df)
-        if condition:
-            old = old.where(~F.coalesce(F.expr(condition), F.lit(False)))
-        df = old.unionByName(df)
-    return write_version(df, path)
+    if not _versions(spark, path):
+        return write_version(df, path)
+    files = version_files(spark, path)
+    old = _read_files(spark, path, files)
+    _require_same_columns(old, df)
+    if not condition:
+        return _commit_version(df.select(*old.columns), path, files)
+    hit = old.where(F.expr(condition)).select(F.regexp_extract("_metadata.file_path", "(data-[0-9]+/[^/]+)$", 1).alias("f")).distinct()
+    touched = {r[0] for r in hit.collect()}  # file names
+    if touched:
+        kept = _read_files(spark, path, sorted(touched)).where(~F.coalesce(F.expr(condition), F.lit(False)))
+        df = kept.unionByName(df)
+    return _commit_version(df, path, [f for f in files if f not in touched])
 
 
 def copy_into(

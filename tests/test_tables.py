@@ -170,3 +170,22 @@ def test_batch_fingerprint_ignores_order(spark):
 def test_pipeline_stats_without_rows(spark):
     row = runs.pipeline_stats(spark.createDataFrame([], "status string"), elapsed_seconds=0).first()
     assert (row["total_records"], row["throughput_rps"], row["success_rate"]) == (0, 0.0, 0.0)
+
+
+def test_only_touched_files_are_rewritten(spark, path):
+    """Four loads of files of their own; a replacement that hits one of them leaves the others as they are."""
+    for low in (0, 100, 200, 300):
+        tables.replace_where(spark.range(low, low + 50).selectExpr("cast(id as string) AS id", "cast(id as int) AS val").repartition(2), path, None)
+    before = tables.version_files(spark, path)
+    assert len(before) == 8
+    touching = frame(spark, [("new", 777)])
+    version = tables.replace_where(touching, path, "val BETWEEN 110 AND 120")
+    after = tables.version_files(spark, path)
+    gone = set(before) - set(after)
+    assert gone and all(f.startswith("data-2/") for f in gone) and len(set(after) & set(before)) == 8 - len(gone)
+    rows = {r["val"] for r in tables.read_versioned(spark, path).collect()}
+    assert rows == {v for low in (0, 100, 200, 300) for v in range(low, low + 50)} - set(range(110, 121)) | {777}
+    # Nothing to delete: everything stays, the load is added. The earlier version can still be read.
+    tables.replace_where(touching, path, "val > 5000")
+    assert set(after) < set(tables.version_files(spark, path))
+    assert tables.version_files(spark, path, version) == after
