@@ -4,23 +4,23 @@ from __future__ import annotations
 
 import datetime as dt
 import time
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from segmentry import fixed_values as fv
 from segmentry.session import checkpointed
-from segmentry.functions.kernels import texts, to_matrix, worst_ratios
+from segmentry.functions.kernels import chunks, squared_distances, texts, to_matrix, worst_ratios
 from segmentry.functions.matrix import MAX_MATRIX_BYTES, bounded_rows, dimension_of, euclidean, rows_within
 from segmentry.operators.search import in_blocks
 from segmentry.operators.vectors import l2_normalize
@@ -28,6 +28,10 @@ from segmentry.operators.vectors import l2_normalize
 
 # Stop rule of the K-Means starts, relative to the spread of the data.
 RELATIVE_TOLERANCE = 1e-4
+# Rows among which the first centres are chosen.
+START_ROWS = 4096
+# All iterations run in one task up to so many numbers.
+TASK_CELLS = 4_000_000
 
 
 def _features(df: DataFrame, vector: str) -> DataFrame:
@@ -162,6 +166,151 @@ class Clustering:
     profiles: DataFrame  # segment_id, size, silhouette_score
 
 
+@dataclass
+class KMeansFit:
+    """The cheapest of several starts."""
+
+    centres: np.ndarray  # k x dim
+    cost: float  # summed squared distance to the nearest centre
+    costs: list[float]  # of every start
+    iterations: int
+
+
+def _spread_centres(rows: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """k rows, each drawn with a chance that grows with its squared distance to those before."""
+    rng = np.random.default_rng(seed)
+    centres = [rows[rng.integers(len(rows))]]
+    nearest = np.full(len(rows), np.inf)
+    for _ in range(1, k):
+        nearest = np.minimum(nearest, ((rows - centres[-1]) ** 2).sum(axis=1))
+        total = nearest.sum()
+        at = rng.choice(len(rows), p=nearest / total) if total > 0 else rng.integers(len(rows))
+        centres.append(rows[at])
+    return np.array(centres)
+
+
+def _nearest_of_each(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every row and start the nearest centre and the squared distance; all starts in one product."""
+    starts, k, dim = centres.shape
+    distance = squared_distances(x, centres.reshape(starts * k, dim)).reshape(len(x), starts, k)
+    at = distance.argmin(axis=2)
+    return at, np.maximum(np.take_along_axis(distance, at[:, :, None], axis=2)[:, :, 0], 0.0)
+
+
+def _summed(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, sums and costs of every centre of every start."""
+    starts, k, dim = centres.shape
+    n, sums, cost = np.zeros(starts * k, np.int64), np.zeros((starts * k, dim)), np.zeros(starts * k)
+    for part in chunks(len(x), starts * k):
+        at, distance = _nearest_of_each(x[part], centres)
+        for s in range(starts):
+            place = s * k + at[:, s]
+            n += np.bincount(place, minlength=starts * k)
+            cost += np.bincount(place, weights=distance[:, s], minlength=starts * k)
+            hits = np.zeros((k, len(at)))
+            hits[at[:, s], np.arange(len(at))] = 1.0
+            sums[s * k : (s + 1) * k] += hits @ x[part]
+    return n, sums, cost
+
+
+def _lloyd(step, centres: np.ndarray, tolerance: float, max_iter: int) -> tuple[np.ndarray, list[float], int]:
+    """Iterations of all starts until each has ended; ``step`` gives rows, sums and costs for the centres asked about."""
+    starts, k, dim = centres.shape
+    running, costs, rounds = list(range(starts)), [0.0] * starts, 0
+    while running:
+        n, sums, cost = step(centres[running])
+        n, sums = n.reshape(-1, k, 1), sums.reshape(-1, k, dim)
+        after = np.where(n > 0, sums / np.maximum(n, 1), centres[running])
+        rounds += 1
+        moved = ((after - centres[running]) ** 2).sum(axis=(1, 2))
+        ended = (moved <= tolerance) | (rounds > max_iter)
+        for i, s in enumerate(running):
+            costs[s] = float(cost.reshape(-1, k)[i].sum())
+            # The cost belongs to the centres of this pass; they are kept when a start ends.
+            centres[s] = centres[s] if ended[i] else after[i]
+        running = [s for i, s in enumerate(running) if not ended[i]]
+    return centres, costs, rounds
+
+
+SUMS = "place int, n long, sums array<double>, cost double"
+
+
+def _sums_in_tasks(x: DataFrame, vector: str):
+    """A step over all tasks: each gives one row per start and centre, which are added up before they are collected."""
+
+    def step(centres: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        places = centres.shape[0] * centres.shape[1]
+
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            n, sums, cost = np.zeros(places, np.int64), np.zeros((places, centres.shape[2])), np.zeros(places)
+            for batch in batches:
+                if batch.num_rows:
+                    more = _summed(to_matrix(batch.column(vector)), centres)
+                    n, sums, cost = n + more[0], sums + more[1], cost + more[2]
+            columns = [pa.array(np.arange(places, dtype=np.int32)), pa.array(n), pa.array(sums.tolist(), pa.list_(pa.float64())), pa.array(cost)]
+            yield pa.RecordBatch.from_arrays(columns, names=["place", "n", "sums", "cost"])
+
+        parts = x.mapInArrow(scan, SUMS)
+        summed = parts.groupBy("place").agg(F.sum("n").alias("n"), Summarizer.sum(array_to_vector("sums")).alias("sums"), F.sum("cost").alias("cost"))
+        rows = sorted(summed.collect())  # starts x k rows
+        return np.array([r["n"] for r in rows]), np.array([r["sums"].toArray() for r in rows]), np.array([r["cost"] for r in rows])
+
+    return step
+
+
+def fit_kmeans(
+    rows: DataFrame,
+    k: int,
+    vector: str,
+    seed: int = fv.SEED,
+    starts: int = fv.KMEANS_STARTS,
+    max_iter: int = fv.KMEANS_MAX_ITER,
+    task_cells: int = TASK_CELLS,
+) -> KMeansFit:
+    """Lloyd's iterations of all starts together: one pass and one small aggregate per iteration.
+
+    Each start begins with centres spread over the first ``START_ROWS`` rows in a fixed random order. A start ends when
+    its centres together move by no more than a ten-thousandth of the mean variance of the features (squared), and
+    leaves the passes that follow. A centre that loses all its rows stays where it is. ``rows`` is read once per
+    iteration (pass a stored or persisted table), unless all its numbers, counted first, fit one task.
+    """
+    x = rows.select(vector)
+    sample = x.orderBy(F.xxhash64(vector)).limit(START_ROWS).collect()
+    first = np.array([r[0] for r in sample], dtype=np.float64)
+    if not len(first):
+        return KMeansFit(np.zeros((k, 0)), 0.0, [0.0] * starts, 0)
+    total, variance = x.select(F.count(F.lit(1)), Summarizer.variance(array_to_vector(F.col(vector)))).first()
+    tolerance = RELATIVE_TOLERANCE * float(np.mean(variance.toArray()))
+    centres = np.array([_spread_centres(first, k, seed + s) for s in range(starts)])
+    if total * first.shape[1] <= task_cells:
+
+        def whole(table: pa.Table) -> pa.Table:
+            data = to_matrix(table.column(vector))
+            found, costs, rounds = _lloyd(lambda c: _summed(data, c), centres.copy(), tolerance, max_iter)
+            flat = [c.ravel().tolist() for c in found]
+            return pa.table({"start": pa.array(range(len(flat)), pa.int32()), "centres": pa.array(flat, pa.list_(pa.float64())), "cost": costs, "rounds": pa.array([rounds] * len(flat), pa.int32())})
+
+        done = sorted(x.groupBy(F.lit("all")).applyInArrow(whole, "start int, centres array<double>, cost double, rounds int").collect())
+        centres = np.array([r["centres"] for r in done]).reshape(centres.shape)
+        costs, rounds = [r["cost"] for r in done], done[0]["rounds"]
+    else:
+        centres, costs, rounds = _lloyd(_sums_in_tasks(x, vector), centres, tolerance, max_iter)
+    best = int(np.argmin(costs))
+    return KMeansFit(centres[best], costs[best], costs, rounds)
+
+
+def with_nearest_centre(rows: DataFrame, centres: np.ndarray, vector: str, name: str = "segment_id") -> DataFrame:
+    """Adds the number of the nearest centre, the lowest on ties."""
+
+    @F.arrow_udf(T.IntegerType())
+    def nearest(vectors: pa.Array) -> pa.Array:
+        x = to_matrix(vectors)
+        at = [_nearest_of_each(x[part], centres[None])[0][:, 0] for part in chunks(len(x), len(centres))]
+        return pa.array(np.concatenate(at).astype(np.int32) if at else [], pa.int32())
+
+    return rows.withColumn(name, nearest(F.col(vector).cast("array<double>")))
+
+
 def kmeans_labels(
     vectors: DataFrame,
     k: int = fv.N_SEGMENTS,
@@ -169,36 +318,14 @@ def kmeans_labels(
     seed: int = fv.SEED,
     starts: int = fv.KMEANS_STARTS,
     max_iter: int = fv.KMEANS_MAX_ITER,
-    parallel: int = 10,
 ) -> DataFrame:
-    """Adds ``segment_id`` of the cheapest of several K-Means starts.
-
-    The input is read once and kept; the starts run side by side, so that one start's last tasks do
-    not leave the cluster idle. A start ends when its centres together move by no more than a
-    ten-thousandth of the mean variance of the features (squared).
-    """
-    ready = _features(vectors, vector).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def fit(start: int):
-        return KMeans(
-            k=k,
-            seed=seed + start,
-            maxIter=max_iter,
-            tol=tolerance,
-            initMode="k-means||",
-            featuresCol="_f",
-            predictionCol="segment_id",
-        ).fit(ready)
-
+    """Adds ``segment_id`` of the cheapest of several K-Means starts (``fit_kmeans``)."""
+    ready = vectors.select(F.col(vector).cast("array<double>").alias(vector)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        variance = ready.select(Summarizer.variance(F.col("_f")).alias("v")).first()["v"]
-        tolerance = float(np.sqrt(RELATIVE_TOLERANCE * np.mean(variance.toArray()) / k))
-        with ThreadPoolExecutor(parallel) as pool:
-            models = list(pool.map(fit, range(starts)))
-        best = min(models, key=lambda m: m.summary.trainingCost)
+        fit = fit_kmeans(ready, k, vector, seed, starts, max_iter)
     finally:
         ready.unpersist()
-    return best.transform(_features(vectors, vector)).drop("_f")
+    return with_nearest_centre(vectors, fit.centres, vector)
 
 
 def describe_run(
@@ -259,11 +386,7 @@ def holdout_evaluation(
     starts: int = fv.KMEANS_STARTS,
 ) -> DataFrame:
     """Fits the cheapest of several starts on a random share of the rows; silhouette and Davies-Bouldin of the rest."""
-    train, test = _features(vectors, vector).randomSplit([train_share, 1 - train_share], seed)
-    train = checkpointed(train)
-    fit = lambda start: KMeans(
-        k=k, seed=seed + start, maxIter=fv.KMEANS_MAX_ITER, featuresCol="_f", predictionCol="segment_id"
-    ).fit(train)
-    model = min(map(fit, range(starts)), key=lambda m: m.summary.trainingCost)
-    placed = model.transform(test).drop("_f")
+    train, test = vectors.withColumn(vector, F.col(vector).cast("array<double>")).randomSplit([train_share, 1 - train_share], seed)
+    fit = fit_kmeans(checkpointed(train.select(vector)), k, vector, seed, starts)
+    placed = with_nearest_centre(test, fit.centres, vector)
     return davies_bouldin(placed, vector=vector).withColumn("silhouette", F.lit(silhouette(placed, vector=vector)))

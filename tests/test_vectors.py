@@ -275,6 +275,31 @@ def test_kmeans_finds_the_groups(spark, vectors, path):
     assert spark.read.parquet(f"{path}/labels").where("run_id = 'x'").count() == 180
 
 
+def test_ten_starts_in_one_pass(spark):
+    """All starts together cost what each costs alone, and the best is no worse than Spark's own K-Means."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    rng = np.random.default_rng(12)
+    x = np.concatenate([rng.normal(c, 0.4, (60, 5)) for c in rng.normal(0, 1.5, (7, 5))])
+    df = spark.createDataFrame([([float(v) for v in row],) for row in x], "v array<double>").repartition(3).cache()
+    together = clustering.fit_kmeans(df, 7, "v", seed=3, starts=4)
+    passes = clustering.fit_kmeans(df, 7, "v", seed=3, starts=4, max_iter=12, task_cells=0)
+    assert passes.costs == pytest.approx(clustering.fit_kmeans(df, 7, "v", seed=3, starts=4, max_iter=12).costs, rel=1e-9)
+    alone = [clustering.fit_kmeans(df, 7, "v", seed=3 + s, starts=1).cost for s in range(4)]
+    assert together.costs == pytest.approx(alone, rel=1e-9) and together.cost == pytest.approx(min(alone))
+    labels = clustering.with_nearest_centre(df, together.centres, "v").collect()
+    assert sum(((np.array(r["v"]) - together.centres[r["segment_id"]]) ** 2).sum() for r in labels) == pytest.approx(together.cost)
+    theirs = min(
+        KMeans(k=7, seed=s, maxIter=300, tol=1e-6, featuresCol="f").fit(df.select(array_to_vector("v").alias("f"))).summary.trainingCost for s in range(4)
+    )
+    assert together.cost <= theirs * 1.02
+    # Fewer different rows than centres, and none.
+    few = spark.createDataFrame([([1.0],), ([1.0],), ([2.0],)], "v array<double>")
+    assert clustering.fit_kmeans(few, 4, "v", starts=2).cost == 0.0
+    assert clustering.fit_kmeans(few.limit(0), 2, "v", starts=2).cost == 0.0
+
+
 def test_holdout(spark, vectors):
     row = clustering.holdout_evaluation(vectors.limit(180), k=3).first()
     assert -1 <= row["silhouette"] <= 1 and row["davies_bouldin"] > 0
