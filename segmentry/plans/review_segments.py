@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segmentry import fixed_values as fv
-from segmentry.operators import clustering, density, reviews, segments, vectors
+from segmentry.operators import clustering, density, hierarchy, reviews, segments, vectors
 from segmentry.operators.clustering import Clustering
-from segmentry.session import size_shuffles
+from segmentry.session import checkpointed, size_shuffles
 from segmentry.sources import tables
 from segmentry.sources.reviews import normalize
 
@@ -39,13 +39,17 @@ def valid_reviews(raw: DataFrame, min_chars: int = fv.MIN_REVIEW_CHARS) -> DataF
 def cluster(
     stored: DataFrame, algorithm: str = "kmeans", k: int = fv.N_SEGMENTS, core_share: float = 0.9, **options
 ) -> Clustering:
-    """K-Means on reduced vectors, or density segments at the distance where ``core_share`` is core."""
+    """K-Means on reduced vectors (``kmeans``), segments of any density by stability (``density``), or density segments
+    at the one distance where ``core_share`` of the records is core (``density_cut``)."""
     if algorithm == "kmeans":
         return clustering.run_kmeans(stored, k, **options)
     started = time.perf_counter()
-    reduced = clustering.reduce_dimensions(stored)
-    eps = density.eps_at_quantile(reduced, "record_id", core_share, "reduced")
-    labels = density.density_segments(reduced, "record_id", eps, vector="reduced", **options)
+    reduced = checkpointed(clustering.reduce_dimensions(stored))
+    if algorithm == "density":
+        labels = checkpointed(hierarchy.stability_segments(reduced, "record_id", vector="reduced", **options))
+    else:
+        eps = density.eps_at_quantile(reduced, "record_id", core_share, "reduced")
+        labels = density.density_segments(reduced, "record_id", eps, vector="reduced", **options)
     return clustering.describe_run(reduced.join(labels, "record_id"), "density", started)
 
 
@@ -73,10 +77,11 @@ def run(
     clustering.save_run(result, f"{base}/segments", run_id)
 
     labels = spark.read.parquet(f"{base}/segments/labels").where(F.col("run_id") == run_id).drop("run_id")
-    # All stored vectors are clustered, so records of earlier runs need their facts again.
-    earlier = spark.read.parquet(f"{base}/reviews").where(F.col("run_id") != run_id).drop("run_id")
-    earlier = earlier.join(ready.select("id"), "id", "left_anti").dropDuplicates(["id"])
-    assigned = segments.assignments(labels, ready.unionByName(earlier), F.current_timestamp())
+    # All stored vectors are clustered, so records of earlier runs need their facts again. Of every record the facts
+    # of the run that brought it last are kept, without its text.
+    facts = ready.select("id", "rating", "customer_id", "product_id")
+    tables.replace_by_key(facts, f"{base}/record_facts", "id")
+    assigned = segments.assignments(labels, tables.read_keyed(spark, f"{base}/record_facts"), F.current_timestamp())
     tables.replace_by_key(assigned, assignments_path, "record_id")
     written = tables.read_keyed(spark, assignments_path)
     summary = spark.read.parquet(f"{base}/segments/summary").where(F.col("run_id") == run_id)

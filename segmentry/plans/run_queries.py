@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from segmentry.functions.numeric import round_even
-from segmentry.operators import runs, sketches
+from segmentry.operators import predict, runs, sketches
 from segmentry.operators.reviews import tagged
 from segmentry.plans.inputs import (
     MODEL_RUNS_SQL,
@@ -19,7 +19,7 @@ from segmentry.plans.inputs import (
 )
 from segmentry.plans.registry import query
 from segmentry.plans.text_queries import CLEAN_SQL, NORMAL_SQL, RAW_SQL, TAG_SQL, raw_reviews
-from segmentry.session import scratch_path
+from segmentry.session import scratch_path, stored
 from segmentry.sources import reviews as src
 from segmentry.sources import tables
 from segmentry.streaming import alerts, held
@@ -79,16 +79,19 @@ def overdue_months(spark, sf):
 
 
 @query(
-    f"""WITH {RUN_LOG_SQL}, m AS (SELECT DISTINCT target_month FROM run_log), d AS (SELECT DISTINCT dag_id FROM run_log)
-    SELECT dag_id, target_month FROM d, m WHERE CAST(target_month || '-01' AS DATE) + INTERVAL 1 MONTH + INTERVAL 2 DAY <= TIMESTAMP '2001-08-01'
-      AND NOT EXISTS (SELECT 1 FROM run_log r WHERE r.status = 'success' AND r.dag_id = d.dag_id AND r.target_month = m.target_month)"""
+    f"""WITH {RUN_LOG_SQL}, per AS (SELECT concat(dag_id, '/', row_count % 50) AS dag_id, target_month, status FROM run_log),
+    m AS (SELECT DISTINCT dag_id, unnest(['1995-01', '1996-02', '1997-03', '1998-04', '2001-07']) AS target_month FROM per)
+    SELECT dag_id, target_month, CAST(CAST(target_month || '-01' AS DATE) + INTERVAL 1 MONTH + INTERVAL 2 DAY <= TIMESTAMP '2001-08-01'
+      AND NOT EXISTS (SELECT 1 FROM per r WHERE r.status = 'success' AND r.dag_id = m.dag_id AND r.target_month = m.target_month) AS INT) AS overdue FROM m"""
 )
 def overdue_months_by_pipeline(spark, sf):
-    """Months of the whole log without a successful run, for every pipeline; every successful run counts."""
-    log = run_log(spark, sf)
+    """Five months of every pipeline of the log (fifty customers each), due ones without a successful run marked."""
+    log = run_log(spark, sf).withColumn("dag_id", F.concat_ws("/", "dag_id", F.col("row_count") % 50))
     now = F.lit("2001-08-01 00:00:00").cast("timestamp_ntz")
-    months = log.select("dag_id").distinct().crossJoin(log.select("target_month").distinct())
-    return runs.overdue_months(log, months, now, by=("dag_id",))
+    wanted = F.explode(F.array(*map(F.lit, ("1995-01", "1996-02", "1997-03", "1998-04", "2001-07")))).alias("target_month")
+    months = log.select("dag_id").distinct().select("dag_id", wanted)
+    late = runs.overdue_months(log, months, now, by=("dag_id",)).withColumn("overdue", F.lit(1))
+    return months.join(late, ["dag_id", "target_month"], "left").select("dag_id", "target_month", F.coalesce("overdue", F.lit(0)).alias("overdue"))
 
 
 @query(f"WITH {RUN_LOG_SQL} SELECT dag_id, CAST(count(*) AS BIGINT) AS row_count, 'success' AS status FROM run_log GROUP BY 1")
@@ -216,6 +219,28 @@ def stream_alerts(spark, sf):
     return plain_time(out, "window_start")
 
 
+@query("SELECT CAST(doc_id AS VARCHAR) AS record_id, CAST(1 AS BIGINT) AS vectors, CAST(1 AS BIGINT) AS assigned, true AS as_in_batch FROM documents")
+def stream_predict(spark, sf):
+    """Documents arrive in two drops and once more from the start: one vector and one assignment each, as in batch."""
+    from segmentry.plans.vector_queries import _language_centroids
+
+    base = scratch_path(spark, "predict")
+    docs = texts(spark, sf, "documents", "doc_id").select(F.col("doc_id").cast("string").alias("id"), "text")
+    centres = stored(_language_centroids(spark, sf))
+    for drop in range(3):
+        if drop < 2:
+            docs.where(F.pmod(F.xxhash64("id"), F.lit(2)) == drop).write.mode("append").parquet(f"{base}/in")
+        source = spark.readStream.schema(docs.schema).parquet(f"{base}/in")
+        # The last run has a checkpoint of its own, so it sees everything again.
+        state = f"{base}/state-{drop // 2}"
+        stream.embed_and_predict(source, centres, f"{base}/vectors", f"{base}/assigned", state).awaitTermination()
+    batch = predict.predict_segments(docs, centres).select("record_id", F.col("segment_id").alias("_batch"))
+    kept = tables.read_keyed(spark, f"{base}/vectors").groupBy("record_id").agg(F.count(F.lit(1)).alias("vectors"))
+    placed = tables.read_keyed(spark, f"{base}/assigned").groupBy("record_id").agg(F.count(F.lit(1)).alias("assigned"), F.min("segment_id").alias("_stream"))
+    both = kept.join(placed, "record_id", "full").join(batch, "record_id", "full")
+    return both.select("record_id", "vectors", "assigned", F.col("_stream").eqNullSafe(F.col("_batch")).alias("as_in_batch"))
+
+
 HELD_SQL = f"""{REQUESTS_SQL}, {_windows_sql(60, 15)}, closed AS (
     SELECT window_start, count(*) FILTER (status >= 500) AS errors, count(*) AS requests FROM w GROUP BY 1
     HAVING window_start + INTERVAL 60 MINUTE <= (SELECT max(ts) FROM requests) - INTERVAL 10 MINUTE),

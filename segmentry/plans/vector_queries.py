@@ -6,6 +6,7 @@ import time
 
 from pyspark.sql import functions as F
 
+from segmentry.functions import text as tx
 from segmentry.functions.matrix import dot
 from segmentry.functions.numeric import round_even
 from segmentry.functions.ordering import row_numbers
@@ -256,6 +257,83 @@ def predict_raw(spark, sf):
     return predict.predict_segments(docs, _language_centroids(spark, sf), clean=False).select("record_id", "segment_id")
 
 
+def _is_nearest(rows, centres, vector, segment):
+    """Per record whether no centre has a larger inner product with it than its own, by comparing all (few) centres."""
+    listed = centres.agg(F.collect_list(F.struct(F.col("segment_id").alias("s"), F.col("centroid").alias("c"))).alias("_all"))
+    met = rows.crossJoin(F.broadcast(listed))
+    products = F.transform("_all", lambda z: F.struct(z["s"].alias("s"), F.aggregate(F.zip_with(F.col(vector).cast("array<double>"), z["c"], lambda x, y: x * y), F.lit(0.0), lambda a, b: a + b).alias("dot")))
+    best = F.array_max(F.transform(products, lambda z: z["dot"]))
+    own = F.element_at(F.filter(products, lambda z: z["s"] == F.col(segment)), 1)["dot"]
+    return met.withColumns({"_own": own, "_best": best}).withColumn("nearest", F.col("_own") >= F.col("_best") - 1e-8).drop("_all")
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS record_id, true AS nearest, true AS confident, true AS as_raw FROM documents")
+def predict_checks(spark, sf):
+    """Every document's predicted segment against all centres, its confidence against the similarity, and the raw form."""
+    docs = texts(spark, sf, "documents", "doc_id").select(F.col("doc_id").alias("id"), "text")
+    centres = stored(_language_centroids(spark, sf))
+    found = predict.predict_segments(docs, centres)
+    embedded = stored(vectors.embed_reviews(docs).select("record_id", "embedding").join(found, "record_id"))
+    checked = _is_nearest(embedded, centres, "embedding", "segment_id")
+    confident = F.abs(F.col("confidence") - F.least(F.greatest((F.col("_own") + 1) / 2, F.lit(0.0)), F.lit(1.0))) < 1e-6
+    # Cleaning the cleaned text changes nothing, so the raw form on it gives the same segments.
+    cleaned = docs.select("id", tx.clean_text(F.col("text")).alias("text"))
+    raw = predict.predict_segments(cleaned, centres, clean=False).select("record_id", F.col("segment_id").alias("_raw"))
+    return checked.join(raw, "record_id").select("record_id", "nearest", confident.alias("confident"), (F.col("_raw") == F.col("segment_id")).alias("as_raw"))
+
+
+@query(
+    """SELECT CAST(vec_id AS VARCHAR) AS record_id, true AS nearest, true AS centre_is_mean, true AS sizes_add_up FROM embeddings"""
+)
+def kmeans_checks(spark, sf):
+    """Every record of a K-Means run lies nearest to the mean of its own segment; sizes of the profiles add up to all."""
+    run = clustering.run_kmeans(_stored(spark, sf))
+    records = _stored(spark, sf).withColumn("embedding", F.col("embedding").cast("array<double>"))
+    # In the space that was clustered: the reduced vectors of the same records.
+    reduced = clustering.reduce_dimensions(records).join(run.labels, "record_id")
+    fit = stored(reduced.select("record_id", "reduced", "segment_id", "embedding"))
+    means = {r["segment_id"]: r["centroid"] for r in clustering.mean_vectors(fit, vector="reduced").collect()}  # k rows
+    gap = lambda c: F.aggregate(F.zip_with("reduced", F.array(*[F.lit(x) for x in c]), lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, b: a + b)
+    distances = {s: gap(c) for s, c in means.items()}
+    own = F.coalesce(*[F.when(F.col("segment_id") == s, d) for s, d in distances.items()])
+    # The last iteration moves the means a little, so a record between two of them may be off by as much.
+    near = own <= F.least(*distances.values()) * 1.02 + 1e-6
+    centres = run.centroids.select("segment_id", F.col("centroid").alias("_kept"))
+    true_means = clustering.centroids(fit).select("segment_id", F.col("centroid").alias("_true"))
+    same = centres.join(true_means, "segment_id").select("segment_id", (dot(F.col("_kept"), F.col("_true")) > 1 - 1e-9).alias("centre_is_mean"))
+    added = run.profiles.agg(F.sum("size")).first()[0] == fit.count()
+    return fit.join(same, "segment_id").select("record_id", near.alias("nearest"), "centre_is_mean", F.lit(added).alias("sizes_add_up"))
+
+
+@query(
+    """SELECT CAST(c AS INT) AS component, true AS ordered, true AS uncorrelated FROM range(1, (SELECT least(50, max(len(embedding))) FROM embeddings) + 1) r(c)"""
+)
+def pca_checks(spark, sf):
+    """Components of the reduction by falling variance, no two of them correlated, over all records."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Correlation, Summarizer
+
+    reduced = stored(clustering.reduce_dimensions(table(spark, sf, "embeddings")).select("reduced"))
+    ready = reduced.select(array_to_vector("reduced").alias("f"))
+    variances = ready.select(Summarizer.variance(F.col("f")).alias("v")).select(vector_to_array("v").alias("v")).first()["v"]
+    matrix = Correlation.corr(ready, "f").first()[0].toArray()  # at most 50 x 50
+    rows = [
+        (i + 1, i == 0 or variances[i] <= variances[i - 1] * (1 + 1e-9), bool(abs(matrix[i]).sum() - abs(matrix[i, i]) < 1e-6 * len(matrix)))
+        for i in range(len(variances))
+    ]
+    return spark.createDataFrame(rows, "component int, ordered boolean, uncorrelated boolean")
+
+
+@query(f"WITH found AS ({TOP_SQL}) SELECT segment_id, count(*) AS nearest, true AS found_nine_in_ten FROM found GROUP BY 1")
+def ann_recall(spark, sf):
+    """Records among the ten nearest of each segment centre, and whether probing 30 of 100 cells finds nine in ten of all."""
+    exact = vector_topk(spark, sf).select("segment_id", "record_id")
+    found = stored(_search_cells(spark, sf, 30).select("segment_id", "record_id", F.lit(1).alias("hit")))
+    met = stored(exact.join(found, ["segment_id", "record_id"], "left"))
+    share = met.agg(F.avg(F.coalesce("hit", F.lit(0)))).first()[0]
+    return met.groupBy("segment_id").agg(F.count(F.lit(1)).alias("nearest")).withColumn("found_nine_in_ten", F.lit(share >= 0.9))
+
+
 # Clustering ------------------------------------------------------------------------------
 
 
