@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,7 @@ from pyspark.sql import types as T
 from segmentry import fixed_values as fv
 from segmentry.functions.kernels import RunningBest, best, chunks, result_rows, scores_of, slices, texts, to_matrix
 from segmentry.functions.matrix import MAX_MATRIX_BYTES, bounded_rows, dimension_of, rows_within
+from segmentry.session import stored
 
 BLOCK_BYTES = 64 * 1024 * 1024
 RESULT = T.StructType(
@@ -160,22 +162,28 @@ def _nearest_cells(wanted: np.ndarray, centers: np.ndarray, probes: int) -> np.n
     return np.argsort(distance, axis=1, kind="stable")[:, :probes]
 
 
-def _probe_in_blocks(queries: DataFrame, store: DataFrame, centers: np.ndarray, k: int, probes: int, block_bytes: int) -> DataFrame:
-    """Every query goes to its cells. A cell's queries and records are cut into blocks that meet in pairs."""
+def _with_cells(queries: DataFrame, centers: np.ndarray, choose) -> DataFrame:
+    """One copy of each query for each of its cells; ``choose`` gives an array of cells per row of a batch."""
     shared = queries.sparkSession.sparkContext.broadcast(centers)
-    asking = T.StructType([*queries.schema.fields, T.StructField("cell", T.IntegerType())])
+    kept = T.StructType([f for f in queries.schema.fields if f.name in ("query_id", "v")])
+    asking = T.StructType([*kept.fields, T.StructField("cell", T.IntegerType())])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch.num_rows, len(shared.value)):
                 piece = batch.slice(part.start, part.stop - part.start)
-                near = _nearest_cells(to_matrix(piece.column("v")), shared.value, probes)
-                copies = piece.take(pa.array(np.repeat(np.arange(piece.num_rows), near.shape[1])))
-                cells = pa.array(near.reshape(-1).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([*copies.columns, cells], [*copies.schema.names, "cell"])
+                cells = choose(piece, shared.value)
+                rows = np.repeat(np.arange(piece.num_rows), [len(c) for c in cells])
+                copies = piece.select(["query_id", "v"]).take(pa.array(rows))
+                flat = np.concatenate(cells).astype(np.int32) if len(cells) else np.empty(0, np.int32)
+                yield pa.RecordBatch.from_arrays([*copies.columns, pa.array(flat)], [*copies.schema.names, "cell"])
+
+    return queries.mapInArrow(send, asking)
+
 
-    asked = queries.mapInArrow(send, asking)
-    rows = rows_within(block_bytes, centers.shape[1])
+def _meet_in_cells(asked: DataFrame, store: DataFrame, dimension: int, k: int, block_bytes: int) -> DataFrame:
+    """Queries and records of a cell are cut into blocks that meet in pairs."""
+    rows = rows_within(block_bytes, dimension)
     # One row for each cell, as many as there are centres.
     blocks = lambda df, name: df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias(name))
     sizes = F.broadcast(blocks(asked, "_nq").join(blocks(store, "_ns"), "cell"))
@@ -187,6 +195,81 @@ def _probe_in_blocks(queries: DataFrame, store: DataFrame, centers: np.ndarray,
     return groups.applyInArrow(_best_of_pair(k), RESULT)
 
 
+def _probe_in_blocks(queries: DataFrame, store: DataFrame, centers: np.ndarray, k: int, probes: int, block_bytes: int) -> DataFrame:
+    """Every query goes to its nearest cells."""
+    near = lambda piece, at: list(_nearest_cells(to_matrix(piece.column("v")), at, probes))
+    return _meet_in_cells(_with_cells(queries, centers, near), store, centers.shape[1], k, block_bytes)
+
+
+@dataclass
+class BoundedSearch:
+    """The exact answer, and the share of all query-record pairs that were compared for it."""
+
+    found: DataFrame
+    compared: float
+
+
+def bounded_top_k(
+    queries: DataFrame,
+    cell_table: DataFrame,
+    centers: np.ndarray,
+    query_id: str,
+    record_id: str,
+    k: int = fv.DEFAULT_TOP_K,
+    probes: int = 2,
+    vector: str = "embedding",
+    block_bytes: int = BLOCK_BYTES,
+) -> BoundedSearch:
+    """The exact k best, without the cells that cannot hold one of them.
+
+    A record of a cell scores at most the query's product with the centre plus the query's length times the cell's
+    radius. The nearest cells give each query a k-th best score so far; then only cells whose bound reaches it are
+    searched. Rows of an unlisted cell are never compared. Nothing but one row per cell is collected.
+    """
+    spark = queries.sparkSession
+    q = stored(_as_side(queries, query_id, vector, "query_id").select("query_id", F.col("v").cast("array<double>").alias("v")))
+    known = cell_table.select(F.col(record_id).cast("string").alias("record_id"), F.col(vector).cast("array<double>").alias("v"), "cell")
+    radii, sizes = np.zeros(len(centers)), np.zeros(len(centers), np.int64)
+    for r in _cell_sizes(known, centers).collect():  # one row per cell
+        radii[r["cell"]], sizes[r["cell"]] = r["radius"], r["n"]
+
+    near = lambda piece, at: list(_nearest_cells(to_matrix(piece.column("v")), at, probes))
+    first = stored(_final(_meet_in_cells(_with_cells(q, centers, near), known, centers.shape[1], k, block_bytes), k).drop("rank"))
+    # Fewer than k so far: every cell may hold one.
+    floors = first.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("floor"))
+    asking = stored(q.join(floors, "query_id", "left"))
+
+    def reaching(piece: pa.RecordBatch, at: np.ndarray) -> list[np.ndarray]:
+        x = to_matrix(piece.column("v"))
+        bound = x @ at.T + np.linalg.norm(x, axis=1)[:, None] * radii[None, :]
+        floor = np.asarray(piece.column("floor").fill_null(-np.inf))
+        # Scores are rounded, so the bound gives a hair more.
+        open_ = (bound >= floor[:, None] - 1e-8) & (sizes > 0)[None, :]
+        np.put_along_axis(open_, _nearest_cells(x, at, probes), False, axis=1)
+        return [np.flatnonzero(row) for row in open_]
+
+    rest = stored(_with_cells(asking, centers, reaching))
+    more = _meet_in_cells(rest, known, centers.shape[1], k, block_bytes)
+    counts = spark.createDataFrame([(i, int(n)) for i, n in enumerate(sizes)], "cell int, n long")
+    opened = rest.join(F.broadcast(counts), "cell").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    probed = _with_cells(q, centers, near).join(F.broadcast(counts), "cell").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    pairs = max(1, q.count() * int(sizes.sum()))
+    return BoundedSearch(_final(first.unionByName(more), k), (opened + probed) / pairs)
+
+
+def _cell_sizes(known: DataFrame, centers: np.ndarray) -> DataFrame:
+    """Rows and radius of every cell."""
+    shared = known.sparkSession.sparkContext.broadcast(centers)
+
+    @F.arrow_udf(T.DoubleType())
+    def off(vectors: pa.Array, cell: pa.Array) -> pa.Array:
+        x, at = to_matrix(vectors), np.asarray(cell)
+        return pa.array(np.sqrt(((x - shared.value[at]) ** 2).sum(axis=1)) if len(x) else np.empty(0))
+
+    measured = known.select("cell", off("v", "cell").alias("off"))
+    return measured.groupBy("cell").agg(F.max("off").alias("radius"), F.count(F.lit(1)).alias("n"))
+
+
 def approximate_top_k(
     queries: DataFrame,
     cell_table: DataFrame,

@@ -395,6 +395,18 @@ def ann_all_cells(spark, sf):
     return _search_cells(spark, sf, 100)
 
 
+@query(TOP_SQL)
+def vector_topk_bounded(spark, sf):
+    """The exact search again, over the cells that can hold one of the ten best."""
+    path = scratch_path(spark, "cells")
+    centers = search.build_cells(_stored(spark, sf), path)
+    queries = clustering.centroids(current_run(spark, sf)).select("segment_id", F.col("centroid").alias("embedding"))
+    found = search.bounded_top_k(queries, spark.read.parquet(path), centers, "segment_id", "record_id").found
+    return found.select(
+        F.col("query_id").cast("int").alias("segment_id"), "rank", "record_id", round_even(F.col("score"), 6).alias("score")
+    )
+
+
 @query()
 def train_run(spark, sf):
     """Reviews to named segments: normalise, clean, embed, cluster, assign, report."""

@@ -229,6 +229,21 @@ def brute_davies_bouldin(x, labels):
     return float(np.mean([max((s[i] + s[j]) / np.linalg.norm(c[i] - c[j]) for j in range(len(ids)) if j != i) for i in range(len(ids))]))
 
 
+@pytest.mark.parametrize("k", [5, 40])
+def test_bounded_search_is_exact_and_skips_cells(spark, unit_vectors, vectors, path, k):
+    centers = search.build_cells(vectors, path, cells=12)
+    asked = vectors.where("record_id < 'r060'")
+    out = search.bounded_top_k(asked, spark.read.parquet(path), centers, "record_id", "record_id", k=k)
+    exact = search.exact_top_k(asked, vectors, "record_id", "record_id", k=k)
+    rows = lambda df: {(r["query_id"], r["rank"], r["record_id"]) for r in df.collect()}
+    assert rows(out.found) == rows(exact)
+    # Three tight groups: the cells of the other groups are never opened.
+    assert 0 < out.compared < 0.75
+    # More asked for than there are records, and nothing asked.
+    assert search.bounded_top_k(asked.limit(2), spark.read.parquet(path), centers, "record_id", "record_id", k=500).found.count() == 400
+    assert search.bounded_top_k(asked.limit(0), spark.read.parquet(path), centers, "record_id", "record_id", k=5).found.count() == 0
+
+
 @pytest.mark.parametrize("limit", [10**8, 1])
 def test_quality_figures(spark, unit_vectors, limit):
     labels = np.array([0] * 60 + [1] * 60 + [2] * 60 + [-1] * 19 + [3])
