@@ -9,7 +9,8 @@ Candidates are compared without making all pairs of a bucket:
 1. every class is compared with the smallest class of each of its buckets;
 2. what is confirmed is joined to components. Classes of buckets that then still hold several components are
    joined by their rarest shingles, as many as a similar pair must share (``_pairs_across``), and pairs in
-   different components are compared. A bucket of a thousand copies is one component by then.
+   different components are compared in rounds, the nearest pairs of each component first; what is confirmed
+   contracts components, and pairs inside one are dropped. A bucket of a thousand copies is one component by then.
 So every similar pair that a band finds is either compared or known to be connected.
 
 A comparison first estimates the similarity from the sketches, corrected for registers that agree by chance,
@@ -44,7 +45,11 @@ ROWS = 5
 ZERO_BITS, MANTISSA_BITS = 6, 10
 # Estimates so far below the limit are not confirmed; more than seven standard deviations at 160 registers.
 MARGIN = 0.25
+# Parities that travel with each shingle, and those that are compared for each pair that is left.
 PARITY_BITS = 256
+SIGN_BITS = 2048
+# The pairs for a component grow by this factor from round to round.
+ROUND_FACTOR = 8
 SHINGLE_WORDS = 5
 PERCENT = 80
 
@@ -193,13 +198,18 @@ def _nodes(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("_a").alias("_node")).unionByName(pairs.select(F.col("_b").alias("_node"))).distinct()
 
 
-def parities(hashes: np.ndarray) -> list[int]:
-    """For each of ``PARITY_BITS`` places, as signed words of 64, whether an odd number of hashes falls there.
+def parity_bits(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """For each of ``bits`` places, packed to bytes, whether an odd number of hashes falls there.
 
     Two sets differ in at least as many elements as their parities differ in bits.
     """
-    odd = np.bincount((hashes % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+    odd = np.bincount((hashes % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8))
+
+
+def parities(hashes: np.ndarray) -> list[int]:
+    """``PARITY_BITS`` parities as signed words of 64."""
+    return parity_bits(hashes, PARITY_BITS).view(np.int64).tolist()
 
 
 def _shingles(size: int):
@@ -218,14 +228,47 @@ def _shingles(size: int):
     return run
 
 
+def _signs(size: int):
+    """Parities of ``SIGN_BITS`` places for each text, as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory = WordHashes()
+        for batch in batches:
+            counts, signs = [], []
+            for text in batch.column("_text"):
+                found = shingle_hashes(words_of(text.as_py(), lower=True), size, memory)
+                counts.append(len(found))
+                signs.append(parity_bits(found, SIGN_BITS).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_node"), pa.array(counts, pa.int64()), pa.array(signs, pa.binary())], ["_node", "_n", "_signs"]
+            )
+
+    return run
+
+
+def _near(percent: int):
+    """Pairs whose parities leave room for enough common shingles, with the number of parities that differ."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                side = lambda c: np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1)  # noqa: B023, E731
+                both = np.asarray(batch.column("_n_a"), np.int64) + np.asarray(batch.column("_n_b"), np.int64)
+                apart = np.bitwise_count(side("_signs_a") ^ side("_signs_b")).sum(1, dtype=np.int64)
+                good = apart <= both - 2 * -(-percent * both // (100 + percent))
+                kept = batch.select(["_a", "_b", "_root_a", "_root_b"]).append_column("_apart", pa.array(apart))
+                yield kept.filter(pa.array(good))
+
+    return run
+
+
 def _pairs_across(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """All pairs (_a, _b) of ``members`` in different components that can be similar.
+    """All pairs (_a, _b) of ``members`` in different components (_root_a, _root_b) that can be similar.
 
     Shingles are put in one order, rarest among the members first. Sets of n and m shingles that are similar
     share at least t = percent * (n + m) / (100 + percent), so their first n - t + 1 and m - t + 1 in that
     order meet. A copy that differs from all others in too many words starts with shingles of its own and
-    meets nobody, which is what keeps large groups of copies from being compared pair by pair. Pairs that meet
-    go on only if their parities leave room for t common shingles, which no similar pair fails.
+    meets nobody, which is what keeps large groups of copies from being compared pair by pair. Pairs that meet go on only if their parities leave room for t common shingles, which no similar pair fails.
     """
     rows = members.join(texts, "_node").select("_node", "_root", "_text")
     shingles = rows.mapInArrow(_shingles(size), "_node binary, _root binary, _n bigint, _g bigint, _odd array<bigint>")
@@ -237,17 +280,59 @@ def _pairs_across(members: DataFrame, texts: DataFrame, size: int, percent: int)
     # A shingle of one member takes its place in the order but meets nobody.
     first = ranked.where((100 * F.col("_rank") <= (100 - percent) * F.col("_n") + 100) & F.col("_df").isNotNull())
     first = checkpointed(first.select("_g", "_node", "_root", "_n", "_rank", "_odd"))
-    side = lambda c: first.select("_g", *(F.col(f"_{x}").alias(f"_{x}_{c}") for x in ("node", "root", "n", "rank", "odd")))
-    a, b = side("a"), side("b")
-    common = F.ceil(F.lit(percent) * (a["_n_a"] + b["_n_b"]) / F.lit(100 + percent))
+    # Of a shingle's components the one with most members is paired with all others, so that what is paired inside
+    # one component and thrown away is never more than what is paired across.
+    groups = first.groupBy("_g", "_root").agg(F.count(F.lit(1)).alias("_c"))
+    mains = groups.groupBy("_g").agg(F.max(F.struct("_c", "_root"))["_root"].alias("_main"), F.count(F.lit(1)).alias("_roots"))
+    first = checkpointed(first.join(mains.where("_roots > 1").drop("_roots"), "_g").withColumn("_main", F.col("_root") == F.col("_main")))
+    side = lambda c: first.select("_g", *(F.col(f"_{x}").alias(f"_{x}_{c}") for x in ("node", "root", "n", "rank", "odd", "main")))
+    a, b = side("a").where("NOT _main_a"), side("b")
+    common = F.ceil(F.lit(percent) * (F.col("_n_a") + F.col("_n_b")) / F.lit(100 + percent))
     apart = sum(F.bit_count(F.col("_odd_a")[i].bitwiseXOR(F.col("_odd_b")[i])) for i in range(PARITY_BITS // 64))
     meet = (
-        (a["_g"] == b["_g"]) & (a["_root_a"] < b["_root_b"])
+        (a["_g"] == b["_g"]) & (F.col("_main_b") | (F.col("_root_a") < F.col("_root_b")))
         & (F.col("_rank_a") <= F.col("_n_a") - common + 1) & (F.col("_rank_b") <= F.col("_n_b") - common + 1)
         & (100 * F.least("_n_a", "_n_b") >= percent * F.greatest("_n_a", "_n_b"))
         & (apart <= F.col("_n_a") + F.col("_n_b") - 2 * common)
     )
-    return a.join(b, meet).select(F.col("_node_a").alias("_a"), F.col("_node_b").alias("_b")).distinct()
+    x, y = (F.struct(F.col(f"_node_{c}").alias("node"), F.col(f"_root_{c}").alias("root")) for c in "ab")
+    ordered = a.join(b, meet).select(F.least(x, y).alias("_x"), F.greatest(x, y).alias("_y")).distinct()
+    pairs = checkpointed(ordered.select(
+        F.col("_x.node").alias("_a"), F.col("_y.node").alias("_b"), F.col("_x.root").alias("_root_a"), F.col("_y.root").alias("_root_b")
+    ))
+    # Now a text's parities over more places, carried by pairs instead of by shingles.
+    asked = texts.join(_nodes(pairs), "_node", "left_semi")
+    signs = checkpointed(asked.mapInArrow(_signs(size), "_node binary, _n bigint, _signs binary"))
+    sign = lambda c: signs.select(*(F.col(f"_{x}").alias(f"_{c}" if x == "node" else f"_{x}_{c}") for x in ("node", "n", "signs")))
+    signed = pairs.join(sign("b"), "_b").join(sign("a"), "_a").select("_a", "_b", "_root_a", "_root_b", "_n_a", "_n_b", "_signs_a", "_signs_b")
+    return signed.mapInArrow(_near(percent), "_a binary, _b binary, _root_a binary, _root_b binary, _apart bigint")
+
+
+def _links_across(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame | None:
+    """Similar pairs (_a, _b) that connect all components that ``pairs`` can connect; None if there are none.
+
+    In each round every component has its nearest open pairs confirmed, what is confirmed contracts components, and
+    pairs whose ends have met are dropped. The number of pairs for a component grows with the rounds by
+    ``ROUND_FACTOR``, so the rounds are few and every pair is either confirmed, refused, or known to be connected.
+    """
+    open_, share, links = checkpointed(pairs), 1, None
+    while not open_.isEmpty():
+        ends = open_.select(F.col("_root_a").alias("_end"), "_a", "_b", "_apart")
+        ends = ends.unionByName(open_.select(F.col("_root_b").alias("_end"), "_a", "_b", "_apart"))
+        place = F.row_number().over(Window.partitionBy("_end").orderBy("_apart", "_a", "_b"))
+        asked = checkpointed(ends.withColumn("_place", place).where(F.col("_place") <= share).select("_a", "_b").distinct())
+        good = checkpointed(_confirm(asked, texts, size, percent))
+        left = open_.join(asked, ["_a", "_b"], "left_anti")
+        if not good.isEmpty():
+            links = good if links is None else links.unionByName(good)
+            met = open_.join(good, ["_a", "_b"], "left_semi").select("_root_a", "_root_b").distinct()
+            roots = checkpointed(connected_components(met, "_root_a", "_root_b"))
+            for end in ("_root_a", "_root_b"):
+                now = roots.select(F.col("node").alias(end), F.col("root").alias("_now"))
+                left = left.join(now, end, "left").withColumn(end, F.coalesce("_now", end)).drop("_now")
+            left = left.where("_root_a != _root_b")
+        open_, share = checkpointed(left.select("_a", "_b", "_root_a", "_root_b", "_apart")), share * ROUND_FACTOR
+    return links
 
 
 def _components(links: DataFrame) -> DataFrame:
@@ -291,9 +376,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     several = open_.groupBy("_key").agg(F.min("_root").alias("_low"), F.max("_root").alias("_high")).where("_low != _high")
     members = checkpointed(open_.where("_node != _hub").join(several.select("_key"), "_key", "left_semi").select("_node", "_root").distinct())
     if not members.isEmpty():
-        across = _pairs_across(members, texts, shingle_words, percent)
-        more = checkpointed(_confirm(across, texts, shingle_words, percent))
-        if not more.isEmpty():
+        more = _links_across(_pairs_across(members, texts, shingle_words, percent), texts, shingle_words, percent)
+        if more is not None:
             roots = checkpointed(_components(links.unionByName(more)))
 
     known = classes.select("_node", "_first").join(roots, "_node", "left").withColumn("_root", F.coalesce("_root", "_node"))

@@ -96,6 +96,33 @@ def test_pairs_across_components_are_found_without_their_hub(spark):
     assert (b"2", b"3") in {(bytes(r[0]), bytes(r[1])) for r in found}
 
 
+def test_rounds_connect_what_all_pairs_connect(spark, monkeypatch):
+    """Chains of copies and texts just below the limit: components by rounds are those of all similar pairs."""
+    monkeypatch.setattr(near_dups, "ROUND_FACTOR", 2)
+    texts = []
+    for family in range(4):
+        base = prose(120, 300 + family)
+        for i in range(12):
+            texts.append(edited(base, 0.02 + 0.015 * (i % 6), 40 * family + i))
+    nodes = [b"%03d" % i for i in range(len(texts))]
+    frame = spark.createDataFrame([(n, n, t) for n, t in zip(nodes, texts, strict=True)], "_node binary, _root binary, _text string")
+    held = frame.drop("_root").persist()
+    links = near_dups._links_across(near_dups._pairs_across(frame.drop("_text"), held, 2, 80), held, 2, 80)
+    sets = [near_dups.shingle_set(t, 2) for t in texts]
+    similar = lambda i, j: 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])
+
+    def labels(pairs):
+        up = list(range(len(texts)))
+        for i, j in sorted(pairs) * len(texts):
+            up[i] = up[j] = min(up[i], up[j])
+        return up
+
+    found = {(int(bytes(r[0])), int(bytes(r[1]))) for r in links.collect()}
+    every = {(i, j) for i in range(len(texts)) for j in range(i) if similar(i, j)}
+    assert all(similar(i, j) for i, j in found)
+    assert labels(found) == labels(every) and len(every) > len(found)
+
+
 def test_sketch_estimates_similarity():
     order = near_dups.bucket_order(160)
     r = np.random.default_rng(1)
