@@ -7,7 +7,6 @@ adaptive skew joins, so a giant component does not end in one task.
 
 from __future__ import annotations
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,10 +42,10 @@ def _state(edges: DataFrame) -> tuple:
 
 
 def _in_one_task(table: pa.Table) -> pa.Table:
-    """Components of whole-number nodes by union-find."""
-    up: dict[int, int] = {}
+    """Components by union-find."""
+    up: dict = {}
 
-    def root(x: int) -> int:
+    def root(x):
         while (y := up.setdefault(x, x)) != x:
             up[x] = up[y]
             x = up[x]
@@ -55,20 +54,22 @@ def _in_one_task(table: pa.Table) -> pa.Table:
     for a, b in zip(table.column("src").to_pylist(), table.column("dst").to_pylist()):
         a, b = root(a), root(b)
         up[max(a, b)] = min(a, b)
-    nodes = np.fromiter(up, np.int64, len(up))
-    return pa.table({"node": pa.array(nodes), "root": pa.array([root(x) for x in nodes.tolist()], pa.int64())})
+    nodes, kind = list(up), table.schema.field("src").type
+    return pa.table({"node": pa.array(nodes, kind), "root": pa.array(map(root, nodes), kind)})
 
 
 def connected_components(edges: DataFrame, src: str, dst: str, task_edges: int = 0) -> DataFrame:
     """``node``, ``root`` for every node of some edge; the root is the smallest node of its component.
 
-    Up to ``task_edges`` edges between whole numbers are counted and then solved in one task; beyond, by rounds.
+    Up to ``task_edges`` edges are counted and then solved in one task; beyond, by rounds, with the same result.
+    Nodes of one task are compared by Python: whole numbers, strings and bytes have the order that Spark gives them.
     """
     edges = edges.select(F.greatest(src, dst).alias("src"), F.least(src, dst).alias("dst"))
     if task_edges:
         edges = checkpointed(edges)
         if edges.count() <= task_edges:
-            return edges.groupBy(F.lit("all")).applyInArrow(_in_one_task, "node bigint, root bigint")
+            kind = edges.schema["src"].dataType.simpleString()
+            return edges.coalesce(1).groupBy(F.lit("all")).applyInArrow(_in_one_task, f"node {kind}, root {kind}")
     own = edges.select(F.col("dst").alias("node")).unionByName(edges.select(F.col("src").alias("node"))).distinct()
     links = checkpointed(edges.where(F.col("src") != F.col("dst")).distinct())
     state = _state(links)
