@@ -48,6 +48,8 @@ MARGIN = 0.25
 # Parities that travel with each shingle, and those that are compared for each pair that is left.
 PARITY_BITS = 256
 SIGN_BITS = 2048
+# Up to so many links and open pairs (three binary ids and two numbers each) are counted and handled in one task.
+TASK_ROWS = 200_000
 # The pairs for a component grow by this factor from round to round.
 ROUND_FACTOR = 8
 SHINGLE_WORDS = 5
@@ -297,7 +299,7 @@ def _pairs_across(members: DataFrame, texts: DataFrame, size: int, percent: int)
     )
     x, y = (F.struct(F.col(f"_node_{c}").alias("node"), F.col(f"_root_{c}").alias("root")) for c in "ab")
     ordered = a.join(b, meet).select(F.least(x, y).alias("_x"), F.greatest(x, y).alias("_y")).distinct()
-    pairs = checkpointed(ordered.select(
+    pairs = _narrow(ordered.select(
         F.col("_x.node").alias("_a"), F.col("_y.node").alias("_b"), F.col("_x.root").alias("_root_a"), F.col("_y.root").alias("_root_b")
     ))
     # Now a text's parities over more places, carried by pairs instead of by shingles.
@@ -308,6 +310,12 @@ def _pairs_across(members: DataFrame, texts: DataFrame, size: int, percent: int)
     return signed.mapInArrow(_near(percent), "_a binary, _b binary, _root_a binary, _root_b binary, _apart bigint")
 
 
+def _narrow(rows: DataFrame) -> DataFrame:
+    """``rows`` checkpointed; few rows in one partition, so that what follows needs no exchange."""
+    kept = checkpointed(rows)
+    return kept.coalesce(1) if kept.count() <= TASK_ROWS else kept
+
+
 def _links_across(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame | None:
     """Similar pairs (_a, _b) that connect all components that ``pairs`` can connect; None if there are none.
 
@@ -315,29 +323,29 @@ def _links_across(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -
     pairs whose ends have met are dropped. The number of pairs for a component grows with the rounds by
     ``ROUND_FACTOR``, so the rounds are few and every pair is either confirmed, refused, or known to be connected.
     """
-    open_, share, links = checkpointed(pairs), 1, None
+    open_, share, links = _narrow(pairs), 1, None
     while not open_.isEmpty():
         ends = open_.select(F.col("_root_a").alias("_end"), "_a", "_b", "_apart")
         ends = ends.unionByName(open_.select(F.col("_root_b").alias("_end"), "_a", "_b", "_apart"))
         place = F.row_number().over(Window.partitionBy("_end").orderBy("_apart", "_a", "_b"))
-        asked = checkpointed(ends.withColumn("_place", place).where(F.col("_place") <= share).select("_a", "_b").distinct())
-        good = checkpointed(_confirm(asked, texts, size, percent))
+        asked = _narrow(ends.withColumn("_place", place).where(F.col("_place") <= share).select("_a", "_b").distinct())
+        good = _narrow(_confirm(asked, texts.join(_nodes(asked), "_node", "left_semi"), size, percent))
         left = open_.join(asked, ["_a", "_b"], "left_anti")
         if not good.isEmpty():
             links = good if links is None else links.unionByName(good)
             met = open_.join(good, ["_a", "_b"], "left_semi").select("_root_a", "_root_b").distinct()
-            roots = checkpointed(connected_components(met, "_root_a", "_root_b"))
+            roots = _narrow(connected_components(met, "_root_a", "_root_b", TASK_ROWS))
             for end in ("_root_a", "_root_b"):
                 now = roots.select(F.col("node").alias(end), F.col("root").alias("_now"))
                 left = left.join(now, end, "left").withColumn(end, F.coalesce("_now", end)).drop("_now")
             left = left.where("_root_a != _root_b")
-        open_, share = checkpointed(left.select("_a", "_b", "_root_a", "_root_b", "_apart")), share * ROUND_FACTOR
+        open_, share = _narrow(left.select("_a", "_b", "_root_a", "_root_b", "_apart")), share * ROUND_FACTOR
     return links
 
 
 def _components(links: DataFrame) -> DataFrame:
     """``_node`` and ``_root`` for the classes with a link."""
-    found = connected_components(links, "_a", "_b")
+    found = connected_components(links, "_a", "_b", TASK_ROWS)
     return found.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
 
 
