@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -61,5 +63,10 @@ def windows(hashes: np.ndarray, size: int, which: int = 0) -> np.ndarray:
     return mixed(out)
 
 
+def row_hash(rows: DataFrame) -> Column:
+    """A hash of all columns of a row but those that hold maps, which have no order."""
+    return F.xxhash64(*(F.col(f"`{f.name}`") for f in rows.schema if "map<" not in f.dataType.simpleString()))
+
+
 def strings(column: pa.Array | pa.ChunkedArray) -> list:
     return column.to_pylist()

@@ -25,6 +25,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from segmentry.llm.hashing import row_hash
 from segmentry.session import checkpointed
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -182,7 +183,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """Every row as often as the mix takes it, all columns.
 
-    Rows are met by id, source and size; rows equal in all three share what the mix takes of them evenly.
+    Rows are met by id, source and size; rows equal in all three share what the mix takes of them evenly, an odd
+    rest going to those whose columns have the smallest hashes, however the rows are dealt out.
     """
     times = mix(docs, id_col, text_col, source_col, **options)
     times = times.groupBy("doc_id", "source", "size").agg(F.sum("times").alias("__llm_times"), F.count(F.lit(1)).alias("__llm_rows"))
@@ -190,7 +192,7 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sized = docs.withColumn("__llm_size", word_total(F.col(text_col)))
     same = sized[id_col].eqNullSafe(times["__llm_own"]) & sized[source_col].eqNullSafe(times["__llm_from"]) & (sized["__llm_size"] == times["__llm_words"])
     joined = sized.join(times, same)
-    place = F.row_number().over(Window.partitionBy(id_col, source_col, "__llm_size").orderBy(F.lit(0)))
+    place = F.row_number().over(Window.partitionBy(id_col, source_col, "__llm_size").orderBy(row_hash(docs)))
     share = F.floor(F.col("__llm_times") / F.col("__llm_rows")) + F.when(place <= F.col("__llm_times") % F.col("__llm_rows"), 1).otherwise(0)
     counted = joined.withColumn("__llm_share", share.cast("int")).where("__llm_share > 0")
     repeated = counted.withColumn("__llm_copy", F.explode(F.sequence(F.lit(1), F.col("__llm_share"))))

@@ -34,7 +34,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from segmentry.llm.hashing import WordHashes, mixed, windows, words_of
+from segmentry.llm.hashing import WordHashes, mixed, row_hash, windows, words_of
 from segmentry.operators.components import connected_components
 from segmentry.session import checkpointed
 
@@ -401,12 +401,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One whole row of each component; rows without words all stay."""
+    """One whole row of each component; rows without words all stay.
+
+    Of several rows with the id and text that stay, the one whose columns have the smallest hash is taken, so the
+    choice does not depend on how rows are dealt out; columns that cannot be hashed (maps) do not count.
+    """
     found = near_duplicates(docs, id_col, text_col, **options)
     stay = found.where(F.col("kept") & (F.col("text_hash") == F.col("first_hash")))
     stay = stay.groupBy(F.col("doc_id").alias("__llm_id"), F.col("text_hash").alias("__llm_own")).agg(F.max("n_shingles").alias("__llm_n"))
     hashed = docs.withColumn("__llm_hash", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     joined = hashed.join(stay, F.col(id_col).eqNullSafe(F.col("__llm_id")) & (F.col("__llm_hash") == F.col("__llm_own")))
     # Rows without words stay, any number of them; otherwise one of the rows that are alike.
-    place = F.row_number().over(Window.partitionBy(id_col, "__llm_hash").orderBy(F.lit(0)))
+    place = F.row_number().over(Window.partitionBy(id_col, "__llm_hash").orderBy(row_hash(docs)))
     return joined.withColumn("__llm_place", place).where("__llm_n = 0 OR __llm_place = 1").select(*docs.columns)

@@ -123,6 +123,17 @@ def test_rounds_connect_what_all_pairs_connect(spark, monkeypatch):
     assert labels(found) == labels(every) and len(every) > len(found)
 
 
+def test_picks_do_not_depend_on_partitions(spark):
+    """Rows of one id and text that differ in other columns: the same one stays, the same ones are mixed."""
+    rows = [(7, "a b c d e f", "s", i) for i in range(5)] + [(8, "g h i j k l m n o", "t", 9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, mark int")
+    dealt = [docs.coalesce(1), docs.repartition(7, "mark"), docs.orderBy(docs["mark"].desc())]
+    kept = [sorted(r.mark for r in near_dups.drop_near_duplicates(d).collect()) for d in dealt]
+    assert kept[0] == kept[1] == kept[2] and len(kept[0]) == 2
+    taken = [sorted(r.mark for r in mixing.mixed_rows(d).collect()) for d in dealt]
+    assert taken[0] == taken[1] == taken[2]
+
+
 def test_sketch_estimates_similarity():
     order = near_dups.bucket_order(160)
     r = np.random.default_rng(1)
