@@ -4,8 +4,8 @@ Sources in code point order (null last) have the weights 5, 2, 1, repeating, and
 table. A target above ``max_times`` times its source is cut to that and the excess shared again by weight.
 Every source is taken whole as often as it fits its target; what is left of the target is a budget below the
 source's size. The budget is met from counts of documents by exact length: the same share of every length
-first, then large lengths, and a bounded-knapsack table decides the last ``TABLE_WORDS`` words, so a
-source misses its target only by what no subset of the remaining documents can reach. Which documents of a
+first, up to a reserve of several longest documents, which a bounded-knapsack table decides, so a source misses its
+target only by what no subset of the documents held back can reach. Which documents of a
 length are taken follows a seeded hash of their ids, so reruns agree.
 
 Nothing but a row for each source, length and slice of the seeded order is gathered for a source; documents of
@@ -35,8 +35,8 @@ MAX_TIMES = 3
 SEED = 20
 # The seeded order is cut into so many slices for each source and length.
 SLICES = 4096
-# Budgets up to this many words are decided by the knapsack table.
-TABLE_WORDS = 1 << 16
+# The knapsack table covers the words of so many of a source's longest documents, more if that misses the budget.
+RESERVES = (4, 32)
 SPACE = "[^\\x20\\x09-\\x0D]+"
 
 
@@ -67,52 +67,62 @@ def targets(sizes: dict[str | None, int], max_times: int = MAX_TIMES) -> dict[st
 def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many of each length to take for a sum as near below ``budget`` as the lengths allow.
 
-    ``budget`` and the table are small here. Reachable sums are bits of an integer; each length enters
-    as bundles of 1, 2, 4, ... pieces.
+    The table has a place for each sum up to ``budget`` and notes which bundle reached it first; each length enters
+    as bundles of 1, 2, 4, ... pieces, so a sum without its bundle was reached by earlier ones.
     """
-    bundles, reach, history = [], 1, []
-    mask = (1 << (budget + 1)) - 1
+    unit = int(np.gcd.reduce(lengths))
+    budget, lengths = budget // unit, lengths // unit
+    by = np.full(budget + 1, -1, np.int32)
+    by[0] = 0
+    bundles: list[tuple[int, int]] = [(0, 0)]
     for i, (length, count) in enumerate(zip(lengths.tolist(), counts.tolist(), strict=True)):
         left, bundle = min(count, budget // length), 1
-        while left > 0:
+        while left > 0 and by[budget] < 0:
             bundle = min(bundle, left)
-            bundles.append((i, bundle, bundle * length))
-            history.append(reach)
-            reach |= (reach << (bundle * length)) & mask
+            words = bundle * length
+            by[np.flatnonzero((by[: budget + 1 - words] >= 0) & (by[words:] < 0)) + words] = len(bundles)
+            bundles.append((i, bundle))
             left -= bundle
             bundle *= 2
-        if reach >> budget & 1:
-            break
     take = np.zeros(len(lengths), np.int64)
-    at = reach.bit_length() - 1
-    for (i, bundle, words), before in zip(reversed(bundles), reversed(history), strict=True):
-        if not before >> at & 1:
-            take[i] += bundle
-            at -= words
+    at = int(np.flatnonzero(by >= 0)[-1])
+    while at:
+        i, bundle = bundles[by[at]]
+        take[i] += bundle
+        at -= bundle * int(lengths[i])
     return take
 
 
 def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each length (> 0) make up ``budget`` words, at most all of them."""
+    """How many documents of each length (> 0) make up ``budget`` words, at most all of them.
+
+    Budgets of up to ``RESERVES[0]`` longest documents are solved exactly. Of larger ones so many words are held back
+    for the table, and again more of them where the first reserve misses the budget.
+    """
     total = int((lengths * counts).sum())
     if budget <= 0 or total == 0:
         return np.zeros(len(lengths), np.int64)
     if budget >= total:
         return counts.copy()
-    take = np.array([c * budget // total for c in counts.tolist()], np.int64)
-    left = budget - int((lengths * take).sum())
-    order = np.argsort(-lengths)
-    for i in order.tolist():
-        if left <= TABLE_WORDS:
+    best, missed = np.zeros(len(lengths), np.int64), budget
+    for longest in RESERVES:
+        reserve = min(longest * int(lengths.max()), budget)
+        take = np.array([c * (budget - reserve) // total for c in counts.tolist()], np.int64)
+        left = budget - int((lengths * take).sum())
+        # What rounding down took from the shares, at most one document of each length.
+        for i in np.argsort(-lengths).tolist():
+            if left - int(lengths[i]) >= reserve and take[i] < counts[i]:
+                take[i] += 1
+                left -= int(lengths[i])
+        some = np.flatnonzero((lengths <= left) & (counts > take))
+        if len(some):
+            take[some] += knapsack(lengths[some], (counts - take)[some], left)
+        short = budget - int((lengths * take).sum())
+        if short < missed:
+            best, missed = take, short
+        if missed == 0 or reserve == budget:
             break
-        more = min(int(counts[i] - take[i]), left // int(lengths[i]))
-        take[i] += more
-        left -= more * int(lengths[i])
-    # Budgets beyond the table occur only when the remaining lengths are all larger than what is left.
-    small = np.flatnonzero((lengths <= left) & (counts > take))
-    if len(small) and left <= TABLE_WORDS:
-        take[small] += knapsack(lengths[small], (counts - take)[small], left)
-    return take
+    return best
 
 
 def _plan(budgets: dict[str | None, tuple[int, int]]):

@@ -134,6 +134,22 @@ def test_picks_do_not_depend_on_partitions(spark):
     assert taken[0] == taken[1] == taken[2]
 
 
+def test_budgets_are_met_as_nearly_as_any_subset_meets_them():
+    r = random.Random(5)
+    for case in range(1500):
+        lengths = np.array(sorted(r.sample(range(1, 40), r.randint(1, 6))), np.int64)
+        counts = np.array([r.randint(1, 60 if case % 3 == 0 else 4) for _ in lengths], np.int64)
+        budget, sums = r.randint(1, int((lengths * counts).sum())), 1
+        for length, count in zip(lengths.tolist(), counts.tolist(), strict=True):
+            for _ in range(count):
+                sums |= sums << length
+        take = mixing.fit(lengths, counts, budget)
+        assert (take >= 0).all() and (take <= counts).all()
+        assert int((lengths * take).sum()) == (sums & ((1 << (budget + 1)) - 1)).bit_length() - 1, (lengths, counts, budget)
+    large = mixing.fit(np.array([80_000, 80_001, 90_000]), np.array([2, 2, 2]), 160_001)
+    assert int((large * [80_000, 80_001, 90_000]).sum()) == 160_001
+
+
 def test_sketch_estimates_similarity():
     order = near_dups.bucket_order(160)
     r = np.random.default_rng(1)
