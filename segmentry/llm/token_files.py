@@ -162,13 +162,26 @@ class PieceIds(dict):
         return np.frombuffer(b"".join(map(self.__getitem__, pieces)) + end, "<u4")
 
 
+# Blanks and line ends before, between and behind words, digits, punctuation and other scripts.
+PROBES = (" ab", "ab  cd ", "ab\n\ncd", "\nA b. 12 34", "été  日本 語 \n", "x - y", "it 's ok", " ", "\n")
+
+
+def drops_white_space(tokenizer) -> bool:
+    """Whether a text's ids are those of its pieces between blanks and line ends, on texts that would show it."""
+    ids = lambda t: tokenizer.encode(t, add_special_tokens=False).ids
+    return all(ids(t) == [i for piece in t.replace("\n", " ").split(" ") for i in ids(piece)] for t in PROBES)
+
+
 def piece_ids(tokenizer_path: str) -> PieceIds:
     """The worker's own memory for a tokenizer; a module of that name keeps it from task to task."""
     from tokenizers import Tokenizer
 
     kept = vars(sys.modules.setdefault("_segmentry_worker", types.ModuleType("_segmentry_worker")))
     if tokenizer_path not in kept:
-        kept[tokenizer_path] = PieceIds(Tokenizer.from_file(tokenizer_path))
+        tokenizer = Tokenizer.from_file(tokenizer_path)
+        if not drops_white_space(tokenizer):
+            raise ValueError(f"{tokenizer_path}: white space is part of this tokenizer's ids, so pieces have other ids than texts")
+        kept[tokenizer_path] = PieceIds(tokenizer)
     return kept[tokenizer_path]
 
 
@@ -227,7 +240,7 @@ def write_token_files(
     """Encodes every whole text, appends ``end_id``, and writes the blocks in ascending id order.
 
     ``tokenizer_path`` names a file of the tokenizers library that every executor can read; its tokenizer
-    must drop white space.
+    must drop white space; one that does not is refused by an error.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("bigint").alias("_id"), text.alias("_text"))

@@ -150,6 +150,13 @@ def test_budgets_are_met_as_nearly_as_any_subset_meets_them():
     assert int((large * [80_000, 80_001, 90_000]).sum()) == 160_001
 
 
+def test_tokenizers_that_keep_white_space_are_refused():
+    path = queries.tokenizer_path()
+    assert token_files.piece_ids(path).tokenizer is not None
+    with pytest.raises(ValueError, match="white space"):
+        token_files.piece_ids(path.replace("word_bpe_49k", "byte_bpe_50k"))
+
+
 def test_sketch_estimates_similarity():
     order = near_dups.bucket_order(160)
     r = np.random.default_rng(1)
