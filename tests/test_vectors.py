@@ -200,6 +200,23 @@ def test_approximate_search_with_all_cells_is_exact(spark, unit_vectors, vectors
     assert sorted(map(tuple, blocks.select(*key).collect())) == sorted(map(tuple, some.select(*key).collect()))
 
 
+def test_approximate_search_goes_on_until_it_finds_nine_in_ten(spark, path):
+    # Vectors without any groups: the nearest lie in many cells.
+    x = np.random.default_rng(3).normal(0, 1, (2000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    store = spark.createDataFrame([(f"r{i}", v.tolist()) for i, v in enumerate(x)], "record_id string, embedding array<double>").repartition(4)
+    asked = store.where(F.col("record_id").isin([f"r{i}" for i in range(0, 2000, 50)]))
+    centers = search.build_cells(store, path, cells=20)
+    cells = spark.read.parquet(path)
+    exact = {(r.query_id, r.record_id) for r in search.exact_top_k(asked, store, "record_id", "record_id").collect()}
+    share = lambda **o: sum((r.query_id, r.record_id) in exact for r in search.approximate_top_k(asked, cells, centers, "record_id", "record_id", probes=2, **o).collect()) / len(exact)
+    assert share() < 0.9 <= share(least_recall=0.9)
+    # Fewer cells than measured do not reach it.
+    fewest = search.probes_for_recall(asked, cells, centers, "record_id", "record_id")
+    below = search.approximate_top_k(asked, cells, centers, "record_id", "record_id", probes=fewest - 1).collect()
+    assert 2 < fewest < 20 and sum((r.query_id, r.record_id) in exact for r in below) / len(exact) < 0.9
+
+
 # Quality -----------------------------------------------------------------------------------
 
 
