@@ -13,13 +13,16 @@ come first; repeated rows are written as often as they occur; other columns are
 
 from __future__ import annotations
 
+import re
+import struct
 import sys
 import types
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,11 +34,13 @@ COUNTS = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 BITS = np.array([0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.int64)
 IDS_PER_BLOCK = 1 << 16
 IDS_PER_OFFSET = 4096
-# A worker process remembers the ids of so many pieces and of so many words, over all tasks that it runs
-# (together about 200 MB).
-PIECES_KEPT = 300_000
-WORDS_KEPT = 600_000
+# A worker process remembers the ids of twice so many words and of twice so many other pieces, over all tasks that it
+# runs (together about 60 MB).
+WORDS_KEPT = 100_000
+PIECES_KEPT = 20_000
 PIECE_CHARS_KEPT = 64
+# Texts are cut into pieces so many bytes at a time.
+BYTES_AT_ONCE = 500_000
 # Apostrophes are left out: some tokenizers join them with the letters around them.
 PUNCTUATION = "!\"#$%&()*+,-./:;=?@[]^_`{}~"
 
@@ -56,13 +61,14 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = len(values)
     lengths = _bit_lengths(values)
     selectors = np.zeros(n, np.uint8)
+    widest, width = lengths, 1  # the widest of the next ``width`` ids; no count is more than twice the one before
     for s in range(len(COUNTS) - 1, 0, -1):  # the selector of most ids is tried last and wins
         count = int(COUNTS[s])
         if n < count:
             break
-        wide = np.zeros(n + 1, np.int32)
-        np.cumsum(lengths > BITS[s], out=wide[1:])
-        selectors[: n - count + 1][wide[count:] == wide[: n - count + 1]] = s
+        more = count - width
+        widest, width = np.maximum(widest[: n - count + 1], widest[more : more + n - count + 1]), count
+        np.putmask(selectors[: n - count + 1], widest <= BITS[s], s)
     steps = COUNTS[selectors].astype(np.uint8).tobytes()
     starts, at = [], 0
     while at < n:
@@ -99,20 +105,45 @@ def unpack(words: np.ndarray, escapes: np.ndarray) -> np.ndarray:
     return out
 
 
-class PieceIds(dict):
+class Recent(dict):
+    """Values made on demand. Of those beyond ``most``, the ones asked for again since the last time it was full stay."""
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        super().__init__()
+        self.make, self.most, self.before = make, most, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= PIECE_CHARS_KEPT:
+            if len(self) >= self.most:
+                self.before = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
+def _strings(texts: pa.Array) -> list[str]:
+    return texts.to_numpy(zero_copy_only=False).tolist()  # several times as fast as to_pylist
+
+
+class PieceIds:
     """The ids of each piece of text between blanks and line ends, as little-endian 32-bit integers.
 
     Words never span white space in a tokenizer that drops it, so a text's ids are those of its pieces. For
     tokenizers that lower-case, cut between letters and other characters and write bytes as characters, a
     piece of Latin letters with ASCII punctuation behind it has the ids of the lower-case word and of the
-    punctuation; the word goes straight to the BPE model. Every other piece is encoded as it is.
+    punctuation; the word goes straight to the BPE model. Every other piece is encoded as it is. Of the texts
+    encoded together, every different word and piece is looked up once.
     """
 
     def __init__(self, tokenizer):
-        super().__init__()
         self.tokenizer, self.model = tokenizer, tokenizer.model
-        self.words: dict[str, bytes] = {}
         self.letters = self._letters()
+        self.words, self.pieces = Recent(self._word, WORDS_KEPT), Recent(self._encode, PIECES_KEPT)
+        letters = "".join(map(chr, self.letters or ()))
+        self.plain = f"^(?P<word>[{letters}]+)(?P<behind>[{re.escape(PUNCTUATION)}]*)$" if letters else None
 
     def _letters(self) -> dict[int, str] | None:
         """What the model sees for each Latin letter; None if the tokenizer does not work as above."""
@@ -135,31 +166,57 @@ class PieceIds(dict):
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
-        seen = word.translate(self.letters)
-        value = self.words.get(seen)
-        if value is None:
-            value = np.array([t.id for t in self.model.tokenize(seen)], "<u4").tobytes()
-            if len(word) <= PIECE_CHARS_KEPT:
-                if len(self.words) >= WORDS_KEPT:
-                    self.words.clear()
-                self.words[seen] = value
-        return value
-
-    def __missing__(self, piece: str) -> bytes:
-        word = piece.rstrip(PUNCTUATION)
-        if self.letters and word and self.letters.keys() >= set(map(ord, word)):
-            value = self._word(word) + (self[piece[len(word) :]] if len(word) < len(piece) else b"")
-        else:
-            value = self._encode(piece)
-        if len(piece) <= PIECE_CHARS_KEPT:
-            if len(self) >= PIECES_KEPT:
-                self.clear()
-            self[piece] = value
-        return value
+        ids = [t.id for t in self.model.tokenize(word.translate(self.letters))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _values(self, pieces: pa.Array) -> tuple[list[bytes], np.ndarray]:
+        """Ids of words and other pieces, and for each of the (different) pieces the places of the two that make it up."""
+        if self.plain is None:
+            return [b"", *map(self.pieces.__getitem__, _strings(pieces))], np.stack([np.arange(len(pieces)) + 1, np.zeros(len(pieces), np.int64)], axis=1).astype(np.int32)
+        cut = pc.extract_regex(pieces, self.plain)
+        plain = np.asarray(cut.is_valid())
+        words, behind = (x.dictionary_encode() for x in cut.filter(pa.array(plain)).flatten())
+        # The tokenizer lower-cases, so this changes no ids.
+        lower = pc.ascii_lower(words.dictionary).dictionary_encode()
+        values = [b"", *map(self.words.__getitem__, _strings(lower.dictionary))]
+        places = np.zeros((len(pieces), 2), np.int32)
+        places[plain, 0] = 1 + np.asarray(lower.indices)[np.asarray(words.indices)]
+        places[plain, 1] = len(values) + np.asarray(behind.indices)
+        values += map(self.pieces.__getitem__, _strings(behind.dictionary))
+        others = pieces.filter(pa.array(~plain))
+        places[~plain, 0] = len(values) + np.arange(len(others))
+        values += map(self.pieces.__getitem__, _strings(others))
+        return values, places
+
+    def of_texts(self, texts: pa.Array, end: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, ``end`` behind each, and how many each text has."""
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = lists.flatten().dictionary_encode()
+        values, places = self._values(coded.dictionary)
+        values.append(end)
+        lengths = np.fromiter(map(len, values), np.int32, len(values)) // 4
+        pool, first = np.frombuffer(b"".join(values), "<u4"), np.cumsum(lengths) - lengths
+        # Both parts of each piece, and the end behind the last piece of each text.
+        ends = 2 * np.cumsum(np.asarray(pc.list_value_length(lists), np.int64))
+        parts = np.insert(places[np.asarray(coded.indices)].ravel(), ends, len(values) - 1)
+        n = lengths[parts]
+        after = np.cumsum(n, dtype=np.int64)
+        at = np.repeat(first[parts] - after + n, n)
+        at += np.arange(len(at))
+        return pool[at], np.diff(after[ends + np.arange(len(ends))], prepend=0)
 
     def of(self, text: str, end: bytes) -> np.ndarray:
-        pieces = text.replace("\n", " ").split(" ")
-        return np.frombuffer(b"".join(map(self.__getitem__, pieces)) + end, "<u4")
+        return self.of_texts(pa.array([text]), end)[0]
+
+
+def _runs(texts: pa.Array) -> Iterator[pa.Array]:
+    """Consecutive texts of about ``BYTES_AT_ONCE`` bytes together, at least one."""
+    before, start = np.cumsum(np.asarray(pc.binary_length(texts), np.int64)), 0
+    while start < len(texts):
+        done = before[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(before, done + BYTES_AT_ONCE, "right")))
+        yield texts.slice(start, stop - start)
+        start = stop
 
 
 # Blanks and line ends before, between and behind words, digits, punctuation and other scripts.
@@ -204,16 +261,24 @@ def _blocks(tokenizer_path: str, end_id: int, ids_per_block: int):
             return pa.RecordBatch.from_pylist([row], schema=ARROW_BLOCK)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = pieces.of(text.as_py(), end)
-                names.append(doc_id)
-                counts.append(len(found))
-                ids.append(found)
-                held += len(found)
-                if held >= ids_per_block:
-                    yield flush()
-                    block += 1
-                    names, counts, ids, held = [], [], [], 0
+            doc_ids, row = batch.column(0).to_pylist(), 0
+            for texts in _runs(batch.column(1)):
+                found, lengths = pieces.of_texts(texts, end)
+                ends, start = np.cumsum(lengths), 0
+                while start < len(texts):
+                    before = int(ends[start - 1]) if start else 0
+                    # The block ends with the document that fills it.
+                    stop = min(int(np.searchsorted(ends, before + ids_per_block - held)) + 1, len(texts))
+                    names.extend(doc_ids[row + start : row + stop])
+                    counts.extend(lengths[start:stop].tolist())
+                    ids.append(found[before : int(ends[stop - 1])])
+                    held += len(ids[-1])
+                    start = stop
+                    if held >= ids_per_block:
+                        yield flush()
+                        block += 1
+                        names, counts, ids, held = [], [], [], 0
+                row += len(texts)
         if names:
             yield flush()
 

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -230,6 +231,23 @@ def test_pieces_have_the_ids_of_the_text(text):
     assert token_files.PieceIds(tokenizer).of(text, b"").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_frequent_words_stay_remembered_and_blocks_stay_whole(monkeypatch):
+    monkeypatch.setattr(token_files, "WORDS_KEPT", 50)
+    monkeypatch.setattr(token_files, "BYTES_AT_ONCE", 400)
+    tokenizer, met = Tokenizer.from_file(queries.tokenizer_path()), []
+    word = token_files.PieceIds._word
+    monkeypatch.setattr(token_files.PieceIds, "_word", lambda self, w: (met.append(w), word(self, w))[1])
+    pieces = token_files.PieceIds(tokenizer)
+    rare = ["".join(chr(97 + i // 26**j % 26) for j in range(4)) for i in range(2000)]
+    texts = [f"Often {' '.join(rare[i : i + 40])}, often! 7\n" for i in range(0, 2000, 40)] + ["", "x" * 900]
+    found = [pieces.of_texts(run, b"\1\0\0\0") for run in token_files._runs(pa.array(texts))]
+    assert len(found) > 20 and sum(w.lower() == "often" for w in met) == 1
+    assert len(pieces.words) <= 50 and len(pieces.words.before) <= 50
+    want = [tokenizer.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+    assert np.concatenate([ids for ids, _ in found]).tolist() == sum(want, [])
+    assert np.concatenate([n for _, n in found]).tolist() == [len(ids) for ids in want]
+
+
 def test_code_lengths_follow_the_trees():
     counts = {}
     for lang, text in (("a", b"abab abc"), ("b", b"bcbc bcd")):
