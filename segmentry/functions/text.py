@@ -95,7 +95,8 @@ def word_count(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Lower-case words in order, duplicates kept."""
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(f"{WORD}+"), F.lit(0))
+    # Cutting at what is no word is several times as fast as collecting matches; ends that are no word leave empty pieces.
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), f"[^{WORD[1:-1]}]+"), "")
 
 
 def _lexicon_hits(text: Column) -> Column:

@@ -71,10 +71,15 @@ def predict_segments(
     names: dict[int, str] | None = None,
 ) -> DataFrame:
     """Clean, embed, assign, name: record_id, segment_id, segment_label, confidence."""
-    vectors = embed_reviews(reviews, record_id, text, make_encoder=make_encoder, dim=dim, clean=clean)
+    return name_segments(embed_reviews(reviews, record_id, text, make_encoder=make_encoder, dim=dim, clean=clean), centroids, names)
+
+
+def name_segments(vectors: DataFrame, centroids: DataFrame, names: dict[int, str] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The same for records that are embedded already: rows of the vector table. ``keep`` names columns that stay."""
     return nearest_centroid(vectors, centroids).select(
         "record_id",
         "segment_id",
         segment_name(F.col("segment_id"), names).alias("segment_label"),
         confidence(F.col("similarity")).alias("confidence"),
+        *keep,
     )

@@ -222,11 +222,12 @@ def stream_alerts(spark, sf):
 @query("SELECT CAST(doc_id AS VARCHAR) AS record_id, CAST(1 AS BIGINT) AS vectors, CAST(1 AS BIGINT) AS assigned, true AS as_in_batch FROM documents")
 def stream_predict(spark, sf):
     """Documents arrive in two drops and once more from the start: one vector and one assignment each, as in batch."""
-    from segmentry.plans.vector_queries import _language_centroids
+    from segmentry.plans.vector_queries import _embedded_documents, _language_centroids
 
     base = scratch_path(spark, "predict")
     docs = texts(spark, sf, "documents", "doc_id").select(F.col("doc_id").cast("string").alias("id"), "text")
-    centres = stored(_language_centroids(spark, sf))
+    embedded = _embedded_documents(spark, sf)
+    centres = _language_centroids(embedded)
     for drop in range(3):
         if drop < 2:
             docs.where(F.pmod(F.xxhash64("id"), F.lit(2)) == drop).write.mode("append").parquet(f"{base}/in")
@@ -234,7 +235,7 @@ def stream_predict(spark, sf):
         # The last run has a checkpoint of its own, so it sees everything again.
         state = f"{base}/state-{drop // 2}"
         stream.embed_and_predict(source, centres, f"{base}/vectors", f"{base}/assigned", state).awaitTermination()
-    batch = predict.predict_segments(docs, centres).select("record_id", F.col("segment_id").alias("_batch"))
+    batch = predict.name_segments(embedded.drop("segment_id"), centres).select("record_id", F.col("segment_id").alias("_batch"))
     kept = tables.read_keyed(spark, f"{base}/vectors").groupBy("record_id").agg(F.count(F.lit(1)).alias("vectors"))
     placed = tables.read_keyed(spark, f"{base}/assigned").groupBy("record_id").agg(F.count(F.lit(1)).alias("assigned"), F.min("segment_id").alias("_stream"))
     both = kept.join(placed, "record_id", "full").join(batch, "record_id", "full")

@@ -418,6 +418,29 @@ def test_prediction(spark):
     assert all(0 <= r["confidence"] <= 1 for r in got.values())
 
 
+def test_words_are_runs_of_letters_digits_and_underscores(spark):
+    from segmentry.functions import text as tx
+
+    texts = [None, "", " .,", "One, two", "-a_1-É9 ß", "x", "日本 𝒳𝟙 ok!", "\n b\t"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(tx.words(F.col("t")).alias("w")).collect()
+    assert [r.w for r in rows] == [[], [], [], ["one", "two"], ["a_1", "é9", "ß"], ["x"], ["日本", "𝒳𝟙", "ok"], ["b"]]
+
+
+def test_prediction_queries_embed_each_text_once(spark, sf, monkeypatch):
+    from segmentry.plans import vector_queries
+
+    met, make = [], vec.embed_reviews
+    for module in (vec, predict):
+        monkeypatch.setattr(module, "embed_reviews", lambda *a, **o: (met.append(1), make(*a, **o))[1])
+    found = vector_queries.predict_segment(spark, sf)
+    docs = vector_queries.texts(spark, sf, "documents", "doc_id").select(F.col("doc_id").alias("id"), "text")
+    assert len(met) == 1 and found.count() == docs.count()
+    # The same segments as by embedding the texts again.
+    centres = vector_queries._language_centroids(vector_queries._embedded_documents(spark, sf))
+    again = predict.predict_segments(docs, centres).select("record_id", "segment_id")
+    assert again.exceptAll(found.select("record_id", "segment_id")).count() == 0
+
+
 def test_nothing_to_order_and_nothing_dense(spark, vectors):
     empty = spark.createDataFrame([], "g string, v double")
     assert exact_quantiles(empty, "v", {"p": 0.5}, by=["g"]).count() == 0
