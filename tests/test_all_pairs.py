@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from segmentry.functions import kernels
-from segmentry.operators import density, hierarchy, neighbours
+from segmentry.operators import clustering, density, hierarchy, neighbours
 
 POINTS = "p bigint, v array<double>"
 
@@ -106,3 +106,20 @@ def test_wide_distance_takes_pairs_of_blocks(spark, monkeypatch):
     whole = run(pivots=2)
     assert len(set(whole.values())) == 4
     assert run(pair_rows=40, one_block=1, most_visits=0) == whole
+
+
+def test_a_pass_of_kmeans_needs_no_exchange(spark, monkeypatch):
+    """Sums of all starts over many partitions: at most one row for each core, added up without a shuffle."""
+    rng = np.random.default_rng(4)
+    x, centres = rng.normal(0, 1, (500, 6)), rng.normal(0, 1, (3, 4, 6))
+    df = spark.createDataFrame([([float(c) for c in v],) for v in x], "v array<double>").repartition(37)
+    step = clustering._sums_in_tasks(df, "v")
+    monkeypatch.setattr(type(df), "groupBy", None)
+    n, sums, cost = step(centres)
+    squared = ((x[:, None, None] - centres[None]) ** 2).sum(axis=3)
+    at = squared.argmin(axis=2)
+    for s in range(3):
+        for k in range(4):
+            mine = at[:, s] == k
+            assert n[4 * s + k] == mine.sum() and sums[4 * s + k] == pytest.approx(x[mine].sum(axis=0))
+            assert cost[4 * s + k] == pytest.approx(squared[mine, s, k].sum())
