@@ -113,9 +113,7 @@ class Recent(dict):
         self.make, self.most, self.before = make, most, {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self.before.get(key)
-        if value is None:
-            value = self.make(key)
+        value = self.before.get(key) or self.make(key)
         if len(key) <= PIECE_CHARS_KEPT:
             if len(self) >= self.most:
                 self.before = dict(self)
@@ -141,8 +139,12 @@ class PieceIds:
     def __init__(self, tokenizer):
         self.tokenizer, self.model = tokenizer, tokenizer.model
         self.letters = self._letters()
+        # For words of few ids; made here, as they cannot be sent to a worker.
+        self.packers = [struct.Struct(f"<{n}I").pack for n in range(16)]
         self.words, self.pieces = Recent(self._word, WORDS_KEPT), Recent(self._encode, PIECES_KEPT)
         letters = "".join(map(chr, self.letters or ()))
+        # Words are lower-cased before they are looked up.
+        self.ascii_as_is = bool(letters) and all(self.letters.get(c) == chr(c) for c in range(ord("a"), ord("z") + 1))
         self.plain = f"^(?P<word>[{letters}]+)(?P<behind>[{re.escape(PUNCTUATION)}]*)$" if letters else None
 
     def _letters(self) -> dict[int, str] | None:
@@ -166,8 +168,9 @@ class PieceIds:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
-        ids = [t.id for t in self.model.tokenize(word.translate(self.letters))]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        seen = word if self.ascii_as_is and word.isascii() else word.translate(self.letters)
+        ids = [t.id for t in self.model.tokenize(seen)]
+        return self.packers[len(ids)](*ids) if len(ids) < len(self.packers) else struct.pack(f"<{len(ids)}I", *ids)
 
     def _values(self, pieces: pa.Array) -> tuple[list[bytes], np.ndarray]:
         """Ids of words and other pieces, and for each of the (different) pieces the places of the two that make it up."""
